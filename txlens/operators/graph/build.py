@@ -78,11 +78,14 @@ def edges_into(edges: DataFrame, vertex_ids: DataFrame, id_col: str = "id") -> D
 
 
 def community_edges(edges: DataFrame, members: DataFrame, id_col: str = "id") -> DataFrame:
-    """Edges with both ends in the set; if there are none, edges touching it."""
-    ids = members.select(F.col(id_col).alias("_vid"))
-    inside = (edges.join(ids, edges.src == ids._vid, "left_semi")
-                   .join(ids, edges.dst == ids._vid, "left_semi"))
+    """Edges with both ends in the set; if there are none, edges touching it.
+
+    Members are unique vertex ids, so the two left joins never duplicate an edge.
+    """
+    ids = members.select(F.col(id_col).alias("_vid")).distinct()
+    tagged = (edges.join(ids.select(F.col("_vid").alias("_s")), edges.src == F.col("_s"), "left")
+                   .join(ids.select(F.col("_vid").alias("_d")), F.col("dst") == F.col("_d"), "left"))
+    inside = tagged.filter(F.col("_s").isNotNull() & F.col("_d").isNotNull()).drop("_s", "_d")
     if not inside.isEmpty():
         return inside
-    return (edges.join(ids, edges.src == ids._vid, "left_semi")
-                 .unionByName(edges.join(ids, edges.dst == ids._vid, "left_semi")).distinct())
+    return tagged.filter(F.col("_s").isNotNull() | F.col("_d").isNotNull()).drop("_s", "_d")
