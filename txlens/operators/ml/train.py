@@ -89,8 +89,8 @@ def scores(predictions: DataFrame, id_col: str = "TRANSACTION_ID", label: str =
 def confusion_matrix(predictions: DataFrame, label: str = LABEL) -> DataFrame:
     """A10: counts by (label, prediction), pivoted to a 2x2 matrix."""
     return (predictions.groupBy(label).pivot("prediction", [0.0, 1.0]).agg(F.count(F.lit(1)))
-                       .select(label, F.coalesce(F.col("0.0"), F.lit(0)).alias("pred_0"),
-                               F.coalesce(F.col("1.0"), F.lit(0)).alias("pred_1"))
+                       .select(label, F.coalesce(F.col("`0.0`"), F.lit(0)).alias("pred_0"),
+                               F.coalesce(F.col("`1.0`"), F.lit(0)).alias("pred_1"))
                        .orderBy(label))
 
 
