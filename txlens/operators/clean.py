@@ -27,11 +27,11 @@ _CASTS = {
 
 # NULL -> default after the cast (E5).  Ids and the timestamp keep NULL.
 _DEFAULTS = {
-    "TX_AMOUNT": F.lit(0.0),
-    "TX_TIME_SECONDS": F.lit(0).cast("bigint"),
-    "TX_TIME_DAYS": F.lit(0),
-    "TX_FRAUD": F.lit(0),
-    "TX_FRAUD_SCENARIO": F.lit(0),
+    "TX_AMOUNT": (0.0, "double"),
+    "TX_TIME_SECONDS": (0, "bigint"),
+    "TX_TIME_DAYS": (0, "int"),
+    "TX_FRAUD": (0, "int"),
+    "TX_FRAUD_SCENARIO": (0, "int"),
 }
 
 
@@ -64,7 +64,7 @@ def cast_types(df: DataFrame) -> DataFrame:
 def fill_defaults(df: DataFrame) -> DataFrame:
     """E5: NULL amounts/times/labels -> 0."""
     return df.select(*[
-        F.coalesce(F.col(c), _DEFAULTS[c]).alias(c) if c in _DEFAULTS else F.col(c)
+        F.coalesce(F.col(c), F.lit(_DEFAULTS[c][0]).cast(_DEFAULTS[c][1])).alias(c) if c in _DEFAULTS else F.col(c)
         for c in df.columns
     ])
 
