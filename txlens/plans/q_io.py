@@ -155,3 +155,13 @@ def q_fallback(spark, sf):
     if not re.match(r"^csv:", source):
         raise RuntimeError(source)
     return df.select(*CLEANED_COLUMNS)
+
+
+@query("stream_ingest", with_("clean_a", extra=CLEAN_EXTRA) + f"SELECT {CLEAN_COLS} FROM clean_a")
+def q_stream(spark, sf):
+    """Streaming: raw CSV drops ingested one file per micro-batch; months recomputed per batch."""
+    from txlens.streaming.ingest import ingest_available
+    src = scratch_path(spark, "stream-src")
+    (raw_a(spark, sf).repartitionByRange(4, "TX_DATETIME").write.mode("overwrite")
+        .option("header", "true").option("escape", '"').csv(src))
+    return _clean_cols(ingest_available(spark, src, max_files_per_trigger=1))
