@@ -85,33 +85,36 @@ def add_risk_flags(df: DataFrame) -> DataFrame:
     )
 
 
+# Join-key sentinels standing for NULL (a NULL month or id forms its own
+# group, as a window partition would); neither can be a real value.
+_NULL_MONTH = "__null__"
+_NULL_ID = -(2 ** 63)
+
+
+def _key(c: str, sentinel):
+    return F.coalesce(F.col(c), F.lit(sentinel))
+
+
 def add_month_features(df: DataFrame) -> DataFrame:
     """Monthly per-customer count/avg and per-terminal count on each row.
 
-    Written as grouped aggregates joined back (null-safe keys: a NULL month or
-    id forms its own group, as a window partition would).  Compared with two
-    window specs this keeps map-side partial aggregation, lets AQE broadcast a
-    small aggregate side at runtime, and lets AQE split a hot (month, key)
-    group across tasks in the join, where a window would put the whole group
-    in one task.
+    Written as grouped aggregates left-joined back on NULL-free keys instead
+    of two window specs:
+      * map-side partial aggregation; AQE may broadcast a small aggregate at
+        runtime, and splits a hot (month, key) group in the join, where a
+        window would sort the whole group in one task;
+      * the aggregate side is unique on the join keys, so when a consumer
+        does not use a feature column Catalyst removes that join entirely.
     """
-    t = df.alias("t")
-    cust = (df.groupBy("tx_year_month", "CUSTOMER_ID")
-              .agg(F.count("TRANSACTION_ID").alias("customer_tx_count"),
-                   F.avg("TX_AMOUNT").alias("customer_avg_amount"))
-              .alias("c"))
-    term = (df.groupBy("tx_year_month", "TERMINAL_ID")
-              .agg(F.count("TRANSACTION_ID").alias("terminal_tx_count"))
-              .alias("p"))
-    j = t.join(cust, F.col("t.tx_year_month").eqNullSafe(F.col("c.tx_year_month"))
-               & F.col("t.CUSTOMER_ID").eqNullSafe(F.col("c.CUSTOMER_ID")), "inner")
-    j = j.join(term, F.col("t.tx_year_month").eqNullSafe(F.col("p.tx_year_month"))
-               & F.col("t.TERMINAL_ID").eqNullSafe(F.col("p.TERMINAL_ID")), "inner")
-    return j.select(
-        *[F.col(f"t.{c}") for c in df.columns if c not in
-          ("customer_tx_count", "customer_avg_amount", "terminal_tx_count")],
-        F.col("c.customer_tx_count"), F.col("c.customer_avg_amount"), F.col("p.terminal_tx_count"),
-    )
+    mk, ck, tk = _key("tx_year_month", _NULL_MONTH), _key("CUSTOMER_ID", _NULL_ID), _key("TERMINAL_ID", _NULL_ID)
+    keep = [c for c in df.columns if c not in ("customer_tx_count", "customer_avg_amount", "terminal_tx_count")]
+    base = df.select(*keep, mk.alias("_mk"), ck.alias("_ck"), tk.alias("_tk"))
+    cust = (base.groupBy("_mk", "_ck")
+                .agg(F.count("TRANSACTION_ID").alias("customer_tx_count"),
+                     F.avg("TX_AMOUNT").alias("customer_avg_amount")))
+    term = base.groupBy("_mk", "_tk").agg(F.count("TRANSACTION_ID").alias("terminal_tx_count"))
+    out = base.join(cust, ["_mk", "_ck"], "left").join(term, ["_mk", "_tk"], "left")
+    return out.select(*keep, "customer_tx_count", "customer_avg_amount", "terminal_tx_count")
 
 
 def add_features(base: DataFrame) -> DataFrame:
