@@ -2,9 +2,10 @@
 
 Level-synchronous frontier loops on DataFrames: each level is one join of
 the frontier with the distinct undirected edge list and one left-anti join
-against the visited set (so only shortest paths survive).  The frontier and
-visited set are checkpointed to the shared checkpoint folder every level,
-which bounds lineage and survives executor loss.
+against the visited set (so only shortest paths survive).  Each level's new
+frontier is checkpointed to the shared checkpoint folder, which cuts lineage
+and survives executor loss; the visited set is the union of those
+checkpointed levels.
 """
 
 from __future__ import annotations
@@ -43,18 +44,16 @@ def bfs_paths(vertices: DataFrame, edges: DataFrame, from_expr: str, to_expr: st
     last = "from"
     for hop in range(1, max_path_length + 1):
         step = frontier.join(adj, frontier[last] == adj.src).drop("src")
-        step = step.join(visited, step.dst == visited._vid, "left_anti")
+        step = step.join(visited, step.dst == visited._vid, "left_anti").checkpoint(eager=True)
         hits = step.join(targets, step.dst == targets._tid, "left_semi")
-        hits = hits.checkpoint(eager=True)
         if not hits.isEmpty():
-            prev = [c for c in frontier.columns]
-            return hits.select(*prev, F.col("dst").alias("to"))
-        name = f"v{hop}"
-        frontier = step.withColumnRenamed("dst", name).checkpoint(eager=True)
-        if frontier.isEmpty():
+            return hits.select(*frontier.columns, F.col("dst").alias("to"))
+        if step.isEmpty():
             break
-        visited = (visited.unionByName(frontier.select(F.col(name).alias("_vid")))
-                          .distinct().checkpoint(eager=True))
+        name = f"v{hop}"
+        frontier = step.withColumnRenamed("dst", name)
+        # visited grows by union of checkpointed levels: lineage depth <= max_path_length
+        visited = visited.unionByName(step.select(F.col("dst").alias("_vid")))
         last = name
     schema = T.StructType([T.StructField(c, T.StringType()) for c in _path_cols(max_path_length)])
     return spark.createDataFrame([], schema)
@@ -73,7 +72,7 @@ def hop_distance(vertices: DataFrame, edges: DataFrame, from_expr: str, max_hops
         nxt = nxt.checkpoint(eager=True)
         if nxt.isEmpty():
             break
-        reached = reached.unionByName(nxt.select("id", F.lit(hop).alias("hop"))).checkpoint(eager=True)
+        reached = reached.unionByName(nxt.select("id", F.lit(hop).alias("hop")))
         frontier = nxt
     return reached
 
