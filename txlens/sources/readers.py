@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,17 +57,28 @@ def load_transactions(spark: SparkSession, table: str | None, csv_dirs: list[str
 def audit_files(spark: SparkSession, directory: str, pattern: str = "*.csv") -> DataFrame:
     """(path, bytes, modified, ok) for each matching file; ok = non-empty.
 
-    binaryFile with only the metadata columns selected never reads the bytes.
-    A missing directory gives an empty frame.
+    A metadata listing through the Hadoop FileSystem of the path (HDFS, S3,
+    local ...); no file content is read.  (A ``binaryFile`` scan would skip
+    zero-byte files, which are exactly what this audit has to report.)  A
+    missing directory gives an empty frame.
     """
+    import fnmatch
+
     schema = "path string, bytes long, modified timestamp, ok boolean"
-    try:
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-                      .option("recursiveFileLookup", "false").load(directory))
-    except AnalysisException:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(directory)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
         return spark.createDataFrame([], schema)
-    return files.select(F.col("path"), F.col("length").alias("bytes"),
-                        F.col("modificationTime").alias("modified"), (F.col("length") > 0).alias("ok"))
+    import datetime as _dt
+    rows = []
+    for st in fs.listStatus(hpath):
+        name = st.getPath().getName()
+        if st.isFile() and fnmatch.fnmatch(name, pattern):
+            rows.append((st.getPath().toString(), int(st.getLen()),
+                         _dt.datetime.fromtimestamp(st.getModificationTime() / 1000.0, _dt.timezone.utc).replace(tzinfo=None),
+                         int(st.getLen()) > 0))
+    return spark.createDataFrame(rows, schema)
 
 
 def files_ok(audit: DataFrame) -> DataFrame:
