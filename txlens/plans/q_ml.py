@@ -86,7 +86,20 @@ def _fit(spark, sf, model="logistic"):
 
 @query("ml_train")
 def q_train(spark, sf):
-    """M3/M4/M9: weighted logistic regression pipeline; coefficients by feature."""
+    """M3/M4/M5: weighted logistic regression pipeline fitted on the hash-split train side;
+    training summary (iterations, final objective, test rows)."""
+    res = _fit(spark, sf)
+    lr = res.model.stages[-1]
+    summ = lr.summary
+    rows = [("total_iterations", float(summ.totalIterations)),
+            ("final_objective", float(summ.objectiveHistory[-1])),
+            ("test_rows", float(res.predictions.count()))]
+    return spark.createDataFrame(rows, "metric string, value double")
+
+
+@query("ml_coefficients")
+def q_coefficients(spark, sf):
+    """M9: coefficients by feature, sorted by absolute size, with the direction of the effect."""
     return train.coefficients(spark, _fit(spark, sf).model)
 
 
