@@ -34,6 +34,17 @@ def pct(num, den, scale: int = 2) -> Column:
     return F.round(F.try_divide(col_(num), col_(den)) * F.lit(100), scale)
 
 
+def money_avg(c="TX_AMOUNT") -> Column:
+    """Mean of a money column rounded to cents (2 dp), exact and order-independent.
+
+    Amounts are summed as integer cents, so the mean is the exact rational
+    sum/n and the HALF_UP rounding of a tie (x.xx5) does not depend on the
+    order in which partitions were summed (a double ``round(avg, 2)`` does).
+    """
+    cents = F.round(col_(c) * F.lit(100)).cast("bigint")
+    return F.round(F.try_divide(F.sum(cents), F.count(cents)), 0) / F.lit(100)
+
+
 def vertex_id(prefix: str, c) -> Column:
     return F.concat(F.lit(prefix), col_(c).cast("string"))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlens.functions.columns import pct, ratio, weekday_number
+from txlens.functions.columns import money_avg, pct, ratio, weekday_number
 
 
 def fraud_rate_by(df: DataFrame, key: str, with_amount: bool = True, with_ratio: bool = True) -> DataFrame:
@@ -17,7 +17,7 @@ def fraud_rate_by(df: DataFrame, key: str, with_amount: bool = True, with_ratio:
     aggs = [F.count(F.lit(1)).alias("total_transactions"),
             F.sum("TX_FRAUD").alias("fraud_transactions")]
     if with_amount:
-        aggs.append(F.round(F.avg("TX_AMOUNT"), 2).alias("avg_tx_amount"))
+        aggs.append(money_avg("TX_AMOUNT").alias("avg_tx_amount"))
     out = df.groupBy(key).agg(*aggs)
     cols = ["*"]
     if with_ratio:
@@ -63,7 +63,7 @@ def monthly_summary(df: DataFrame) -> DataFrame:
                    F.count_distinct("CUSTOMER_ID").alias("unique_customers"),
                    F.count_distinct("TERMINAL_ID").alias("unique_terminals"),
                    F.sum(F.when(F.col("TX_FRAUD") == 1, 1).otherwise(0)).cast("bigint").alias("total_fraud_tx"),
-                   F.round(F.avg("TX_AMOUNT"), 2).alias("avg_tx_amount"),
+                   money_avg("TX_AMOUNT").alias("avg_tx_amount"),
                    F.min("tx_date").alias("earliest_date"),
                    F.max("tx_date").alias("latest_date"))
               .orderBy("tx_year_month"))
@@ -96,7 +96,7 @@ def scenario_counts(df: DataFrame) -> DataFrame:
     out = df.groupBy("TX_FRAUD_SCENARIO").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("TX_FRAUD").alias("n_fraud"),
-        F.round(F.avg("TX_AMOUNT"), 2).alias("avg_tx_amount"))
+        money_avg("TX_AMOUNT").alias("avg_tx_amount"))
     total = df.agg(F.count(F.lit(1))).scalar()
     return out.select("*", F.round(ratio("n_rows", total), 6).alias("share")).orderBy("TX_FRAUD_SCENARIO")
 

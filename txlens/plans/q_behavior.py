@@ -9,10 +9,10 @@ from txlens.operators import behavior
 from txlens.operators.graph import build, degree
 from txlens.operators.ordering import chronological_id
 from txlens.plans.registry import query, r6
-from txlens.plans.sql import R, R6, I64, with_
+from txlens.plans.sql import AVG2, I64, R, R6, with_
 from txlens.sources import adapters as ad
 
-_PROFILE = (f"SELECT CUSTOMER_ID, count(TRANSACTION_ID) AS customer_tx_count, {R('avg(TX_AMOUNT)', 2)} AS customer_avg_amount, "
+_PROFILE = (f"SELECT CUSTOMER_ID, count(TRANSACTION_ID) AS customer_tx_count, {AVG2('TX_AMOUNT')} AS customer_avg_amount, "
             f"{R('sum(TX_AMOUNT)', 2)} AS total_spent, {R('max(TX_AMOUNT)', 2)} AS max_tx_amount, "
             f"count(DISTINCT TERMINAL_ID) AS unique_terminals_used, {I64('sum(TX_FRAUD)')} AS total_fraud_count "
             "FROM feat_a GROUP BY CUSTOMER_ID")

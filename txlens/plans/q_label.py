@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from txlens.operators import labeling, spatial, trends
 from txlens.plans.registry import query, r6
-from txlens.plans.sql import R, R6, I64, with_
+from txlens.plans.sql import AVG2, I64, R, R6, with_
 from txlens.sources import adapters as ad
 
 # FIXTURES rule: hash order shared by Spark and SQL for the 1/3 pick of J8
@@ -97,7 +97,7 @@ def q_j9(spark, sf):
 
 @query("scenario_counts", with_("labeled", extra=EXTRA) +
        f"SELECT TX_FRAUD_SCENARIO, count(*) AS n_rows, {I64('sum(TX_FRAUD)')} AS n_fraud, "
-       f"{R('avg(TX_AMOUNT)', 2)} AS avg_tx_amount, {R('count(*) / (SELECT count(*) FROM labeled)', 6)} AS share "
+       f"{AVG2('TX_AMOUNT')} AS avg_tx_amount, {R('count(*) / (SELECT count(*) FROM labeled)', 6)} AS share "
        "FROM labeled GROUP BY TX_FRAUD_SCENARIO")
 def q_scenarios(spark, sf):
     """Rows, frauds, average amount and share per scenario after labelling."""
@@ -123,7 +123,7 @@ def q_radius(spark, sf):
 
 
 @query("fraud_rate_by_cell", with_("feat_b", "term_d") + f"""SELECT cell, count(*) AS total_transactions,
-  {I64('sum(TX_FRAUD)')} AS fraud_transactions, {R('avg(TX_AMOUNT)', 2)} AS avg_tx_amount,
+  {I64('sum(TX_FRAUD)')} AS fraud_transactions, {AVG2('TX_AMOUNT')} AS avg_tx_amount,
   {R('sum(TX_FRAUD) / count(*)', 4)} AS fraud_rate, {R('sum(TX_FRAUD) / count(*) * 100', 2)} AS fraud_rate_pct
 FROM (SELECT f.TX_FRAUD, f.TX_AMOUNT,
         CAST(CAST(floor(t.x_terminal_id / 10.0) AS INTEGER) AS VARCHAR) || '_' ||

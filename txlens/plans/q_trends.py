@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from txlens.operators import trends
 from txlens.plans.registry import query, r6
-from txlens.plans.sql import R, R6, I64, with_
+from txlens.plans.sql import AVG2, I64, R, R6, with_
 from txlens.sources import adapters as ad
 
 
 def _rate_sql(src: str, key: str, with_amount: bool = True, with_ratio: bool = True, order: str | None = None) -> str:
     cols = [key, "count(*) AS total_transactions", f"{I64('sum(TX_FRAUD)')} AS fraud_transactions"]
     if with_amount:
-        cols.append(f"{R('avg(TX_AMOUNT)', 2)} AS avg_tx_amount")
+        cols.append(f"{AVG2('TX_AMOUNT')} AS avg_tx_amount")
     if with_ratio:
         cols.append(f"{R('sum(TX_FRAUD) / count(*)', 4)} AS fraud_rate")
     cols.append(f"{R('sum(TX_FRAUD) / count(*) * 100', 2)} AS fraud_rate_pct")
@@ -57,7 +57,7 @@ def q_peak(spark, sf):
        f"""SELECT tx_year_month, count(*) AS total_transactions, count(DISTINCT CUSTOMER_ID) AS unique_customers,
   count(DISTINCT TERMINAL_ID) AS unique_terminals,
   {I64("sum(CASE WHEN TX_FRAUD = 1 THEN 1 ELSE 0 END)")} AS total_fraud_tx,
-  {R('avg(TX_AMOUNT)', 2)} AS avg_tx_amount, min(tx_date) AS earliest_date, max(tx_date) AS latest_date
+  {AVG2('TX_AMOUNT')} AS avg_tx_amount, min(tx_date) AS earliest_date, max(tx_date) AS latest_date
 FROM feat_b GROUP BY tx_year_month""")
 def q_monthly(spark, sf):
     """The month report of the import check, on mapping B."""

@@ -19,6 +19,11 @@ def R6(expr: str) -> str:
     return R(f"({expr}) + 1e-9", 6)
 
 
+def AVG2(col: str) -> str:
+    """Mean of a money column to cents, as ``functions.money_avg``."""
+    return f"(round(sum(CAST(round({col} * 100) AS BIGINT)) / count({col})) / 100)"
+
+
 def I64(expr: str) -> str:
     return f"CAST(({expr}) AS BIGINT)"
 

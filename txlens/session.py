@@ -22,6 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.driver.memory": "8g",   # only applies when this process launches the JVM
 }
 
 
