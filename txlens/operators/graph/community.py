@@ -18,6 +18,7 @@ from txlens.functions.columns import pct
 from txlens.operators.graph.build import simple_undirected_edges, weighted_undirected_edges
 from txlens.schema import CUSTOMER_PREFIX, CUSTOMER_TYPE, TERMINAL_PREFIX, TERMINAL_TYPE
 from txlens.session import ensure_checkpoint_dir
+from txlens.functions.stats import one_row
 
 
 def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5) -> DataFrame:
@@ -30,7 +31,10 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5)
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
     adj = weighted_undirected_edges(edges).checkpoint(eager=True)
-    labels = vertices.select("id", F.col("id").alias("label")).checkpoint(eager=True)
+    vcols = [c for c in vertices.columns if c != "label"]
+    # the vertex attributes ride along in the state, so the result is the
+    # last checkpoint itself (no re-join with a recomputed vertex frame)
+    labels = vertices.select(*vcols, F.col("id").alias("label")).checkpoint(eager=True)
     for _ in range(max_iter):
         msgs = adj.join(labels.select(F.col("id").alias("src"), "label"), "src")
         votes = msgs.groupBy(F.col("dst").alias("id"), "label").agg(F.sum("w").alias("score"))
@@ -38,9 +42,9 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5)
                      .agg(F.min(F.struct((-F.col("score")).alias("neg"), F.col("label").alias("lab"))).alias("b"))
                      .select("id", F.col("b.lab").alias("new_label")))
         labels = (labels.join(best, "id", "left")
-                        .select("id", F.coalesce("new_label", "label").alias("label"))
+                        .select(*vcols, F.coalesce("new_label", "label").alias("label"))
                         .checkpoint(eager=True))
-    return vertices.join(labels, "id")
+    return labels
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
@@ -53,22 +57,23 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
     adj = simple_undirected_edges(edges).checkpoint(eager=True)
-    comp = vertices.select("id", F.col("id").alias("component")).checkpoint(eager=True)
+    vcols = [c for c in vertices.columns if c != "component"]
+    comp = vertices.select(*vcols, F.col("id").alias("component")).checkpoint(eager=True)
     while True:
         nbr = (adj.join(comp.select(F.col("id").alias("src"), "component"), "src")
                   .groupBy(F.col("dst").alias("id")).agg(F.min("component").alias("nmin")))
         step = (comp.join(nbr, "id", "left")
-                    .select("id", F.least("component", F.coalesce("nmin", "component")).alias("component")))
+                    .select(*vcols, F.least("component", F.coalesce("nmin", "component")).alias("component")))
         hop = step.select(F.col("id").alias("component"), F.col("component").alias("jump"))
         step = (step.join(hop, "component", "left")
-                    .select("id", F.least("component", F.coalesce("jump", "component")).alias("component"))
+                    .select(*vcols, F.least("component", F.coalesce("jump", "component")).alias("component"))
                     .checkpoint(eager=True))
         changed = (step.join(comp.select("id", F.col("component").alias("old")), "id")
                        .filter(F.col("component") != F.col("old")))
         comp = step
         if changed.isEmpty():
             break
-    return vertices.join(comp, "id")
+    return comp
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, reset_probability: float = 0.15,
@@ -83,19 +88,18 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset_probability: float = 0
     links = (w.join(outdeg, "src")
               .select("src", "dst", (F.col("w") / F.col("deg")).alias("share"))
               .checkpoint(eager=True))
-    ranks = vertices.select("id", F.lit(1.0).alias("pagerank")).checkpoint(eager=True)
+    vcols = [c for c in vertices.columns if c != "pagerank"]
+    ranks = vertices.select(*vcols, F.lit(1.0).alias("pagerank")).checkpoint(eager=True)
     for _ in range(max_iter):
         contrib = (links.join(ranks.select(F.col("id").alias("src"), "pagerank"), "src")
                         .groupBy(F.col("dst").alias("id"))
                         .agg(F.sum(F.col("share") * F.col("pagerank")).alias("c")))
-        ranks = (ranks.select("id").join(contrib, "id", "left")
-                      .select("id", (F.lit(reset_probability)
+        ranks = (ranks.select(*vcols).join(contrib, "id", "left")
+                      .select(*vcols, (F.lit(reset_probability)
                                      + F.lit(1.0 - reset_probability) * F.coalesce("c", F.lit(0.0))).alias("pagerank"))
                       .checkpoint(eager=True))
-    n = vertices.agg(F.count(F.lit(1))).scalar()
-    total = ranks.agg(F.sum("pagerank")).scalar()
-    out = ranks.select("id", (F.col("pagerank") * n / total).alias("pagerank"))
-    return vertices.join(out, "id")
+    st = one_row(ranks, F.count(F.lit(1)).alias("n"), F.sum("pagerank").alias("total"))
+    return ranks.select(*vcols, (F.col("pagerank") * F.lit(float(st["n"])) / F.lit(st["total"])).alias("pagerank"))
 
 
 def community_sizes(labels: DataFrame, label_col: str = "label") -> DataFrame:
@@ -165,5 +169,5 @@ def community_report(members: DataFrame, edges: DataFrame, per_type: int = 20) -
         part = members.filter(F.col("type") == F.lit(t)).select("id", "type").orderBy("id").limit(per_type)
         shown = part if shown is None else shown.unionByName(part)
     fraud_src = edges.filter(F.col("TX_FRAUD") == 1).select(F.col("src").alias("_s")).distinct()
-    n_fraud = members.join(fraud_src, members.id == fraud_src._s, "left_semi").agg(F.count(F.lit(1))).scalar()
-    return shown.select("*", n_fraud.alias("fraud_customers_in_community"))
+    n_fraud = one_row(members.join(fraud_src, members.id == fraud_src._s, "left_semi"), F.count(F.lit(1)))[0]
+    return shown.select("*", F.lit(n_fraud).cast("bigint").alias("fraud_customers_in_community"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlens.operators.ordering import with_global_index
+from txlens.functions.stats import one_row
 
 # --- fixed values of the reference's fraud scenarios ------------------------
 AMOUNT_THRESHOLD = 220.0
@@ -93,7 +94,7 @@ def label_scenarios(tx: DataFrame, terminal_windows: DataFrame, customer_windows
 def rule_windows(tx: DataFrame, id_col: str, modulus: int = 10) -> DataFrame:
     """Deterministic compromise windows derived from the data (test rule):
     for every simulated day d below the last day, the ids with id % m == d % m."""
-    last = tx.agg(F.max("TX_TIME_DAYS")).scalar()
+    last = F.lit(one_row(tx, F.max("TX_TIME_DAYS"))[0])
     days = tx.select(F.col("TX_TIME_DAYS").alias("day")).distinct().filter(F.col("day") < last)
     ids = tx.select(id_col).distinct().filter(F.col(id_col).isNotNull())
     return (ids.select(id_col, F.pmod(F.col(id_col), F.lit(modulus)).alias("_k"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlens.session import ensure_checkpoint_dir
+from txlens.functions.stats import one_row
 
 
 def _cumulative(per_score: DataFrame, n_parts: int) -> DataFrame:
@@ -46,8 +47,8 @@ def roc_curve(df: DataFrame, score_col: str, label_col: str, n_parts: int | None
     spark = df.sparkSession
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     per = _per_score(df, score_col, label_col)
-    P = per.agg(F.sum("pos")).scalar()
-    N = per.agg(F.sum("neg")).scalar()
+    tot = one_row(per, F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    P, N = F.lit(tot["P"]), F.lit(tot["N"])
     cum = _cumulative(per, n_parts)
     pts = cum.select(F.col("score").alias("threshold"),
                      F.try_divide(F.col("fp"), N).alias("fpr"), F.try_divide(F.col("tp"), P).alias("tpr"))
@@ -61,7 +62,7 @@ def pr_curve(df: DataFrame, score_col: str, label_col: str, n_parts: int | None
     spark = df.sparkSession
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     per = _per_score(df, score_col, label_col)
-    P = per.agg(F.sum("pos")).scalar()
+    P = F.lit(one_row(per, F.sum("pos"))[0])
     cum = _cumulative(per, n_parts)
     pts = cum.select(F.col("score").alias("threshold"),
                      F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),

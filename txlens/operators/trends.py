@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.functions.columns import money_avg, pct, ratio, weekday_number
+from txlens.functions.stats import one_row
 
 
 def fraud_rate_by(df: DataFrame, key: str, with_amount: bool = True, with_ratio: bool = True) -> DataFrame:
@@ -97,7 +98,7 @@ def scenario_counts(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("TX_FRAUD").alias("n_fraud"),
         money_avg("TX_AMOUNT").alias("avg_tx_amount"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = F.lit(one_row(df, F.count(F.lit(1)))[0])
     return out.select("*", F.round(ratio("n_rows", total), 6).alias("share")).orderBy("TX_FRAUD_SCENARIO")
 
 
