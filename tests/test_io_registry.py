@@ -93,3 +93,14 @@ def test_driver_contract(spark):
     assert not any(k.startswith("op") or "pipeline" in k for k in qs)
     df = entry.entry(spark)
     assert df.count() == 100 and df.columns[0] == "dst"
+
+
+def test_etl_and_ml_jobs(spark):
+    from txlens.jobs import run_etl, run_ml
+    src = scratch_path(spark, "t-etl-src")
+    raw = ad.raw_from_events(ad.read_table(spark, SF001, "events"))
+    raw.repartition(3).write.option("header", "true").csv(src)
+    out = run_etl(spark, src, scratch_path(spark, "t-etl-out"), "txlens_test_db.cleaned_transactions")
+    assert out.count() == 1000 and set(CLEANED_COLUMNS) == set(out.columns)
+    rep = run_ml(spark, "txlens_test_db.cleaned_transactions")
+    assert rep["source"].startswith("table:") and 0.0 <= rep["metrics"]["areaUnderROC"] <= 1.0

@@ -1,10 +1,9 @@
 """Writers and catalog (K1-K7).
 
-Partitioned writes range-partition on (month, customer) first: a month with
-a third of the rows is split over many tasks instead of one, and each task
-still writes into few month directories.  ``maxRecordsPerFile`` bounds file
-size.  Overwrites are dynamic: only the months present in the frame are
-replaced.
+Partitioned writes REBALANCE on the month first: AQE splits a month with a
+third of the rows over many tasks instead of one, and each task writes into
+one month directory.  ``maxRecordsPerFile`` bounds file size.  Overwrites are
+dynamic: only the months present in the frame are replaced.
 """
 
 from __future__ import annotations
@@ -17,11 +16,13 @@ from txlens.schema import CLEANED_TABLE_DDL, PARTITION_COLUMN
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def _layout(df: DataFrame, partition_col: str = PARTITION_COLUMN, n: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [partition_col] + (["CUSTOMER_ID"] if "CUSTOMER_ID" in df.columns else [])
-    return df.repartitionByRange(n, *keys)
+def _layout(df: DataFrame, partition_col: str = PARTITION_COLUMN) -> DataFrame:
+    """REBALANCE by the partition column: one shuffle by month, then AQE splits
+    a month that is too big into several tasks and merges small ones, so a
+    month holding a third of the data is written in parallel and files stay
+    near the advisory size.  (A range repartition would also spread it but
+    needs a sampling pass over the whole input first.)"""
+    return df.hint("rebalance", partition_col)
 
 
 def write_parquet(df: DataFrame, path: str, partition_col: str = PARTITION_COLUMN, mode: str = "overwrite") -> None:
