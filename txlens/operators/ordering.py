@@ -36,16 +36,19 @@ def with_global_index(df: DataFrame, order_cols: list, name: str = "row_index",
                   .select(*[F.col(c) for c in df.columns], (F.col("_off") + local).alias(name)))
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: list[float], group_col: str | None = None,
-                    tie_col: str | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, value_col: str, probs: list[float], group_col: str | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas/numpy 'linear', DuckDB
     quantile_cont) computed from distributed ranks — no single-buffer percentile.
 
     Returns one row per group: (group?, q_0, q_1, ...).
     """
     keys = [group_col] if group_col else []
-    base = df.select(*keys, F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    order = keys + ["_v"]
+    # a row tiebreak makes every sort key distinct, so range partitioning can
+    # split a value (or group) that holds a large share of the rows
+    base = (df.select(*keys, F.col(value_col).cast("double").alias("_v"),
+                      F.monotonically_increasing_id().alias("_tb"))
+              .filter(F.col("_v").isNotNull()))
+    order = keys + ["_v", "_tb"]
     idx = with_global_index(base, order, "_i")
     grp = idx.groupBy(*keys).agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_cnt"))
     # wanted positions per group: floor/ceil of p*(n-1) for every p
