@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.functions.columns import calendar_columns, is_night, is_weekend, parse_timestamp
+from txlens.operators.skew import HOT_KEY_ROWS, attach_group_stats
 from txlens.schema import BAD_ID_MARKER, BASE_COLUMNS, CLEANED_COLUMNS
 
 _CASTS = {
@@ -95,32 +96,34 @@ def _key(c: str, sentinel):
     return F.coalesce(F.col(c), F.lit(sentinel))
 
 
-def add_month_features(df: DataFrame) -> DataFrame:
+def add_month_features(df: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Monthly per-customer count/avg and per-terminal count on each row.
 
-    Written as grouped aggregates left-joined back on NULL-free keys instead
-    of two window specs:
-      * map-side partial aggregation; AQE may broadcast a small aggregate at
-        runtime, and splits a hot (month, key) group in the join, where a
-        window would sort the whole group in one task;
-      * the aggregate side is unique on the join keys, so when a consumer
-        does not use a feature column Catalyst removes that join entirely.
+    Grouped aggregates joined back on NULL-free keys instead of two window
+    specs: map-side partial aggregation, and a hot (month, customer) or
+    (month, terminal) group is split over several tasks by salting (see
+    ``operators.skew``) where a window would sort the whole group in one task.
     """
     mk, ck, tk = _key("tx_year_month", _NULL_MONTH), _key("CUSTOMER_ID", _NULL_ID), _key("TERMINAL_ID", _NULL_ID)
     keep = [c for c in df.columns if c not in ("customer_tx_count", "customer_avg_amount", "terminal_tx_count")]
     base = df.select(*keep, mk.alias("_mk"), ck.alias("_ck"), tk.alias("_tk"))
-    cust = (base.groupBy("_mk", "_ck")
-                .agg(F.count("TRANSACTION_ID").alias("customer_tx_count"),
-                     F.avg("TX_AMOUNT").alias("customer_avg_amount")))
-    term = base.groupBy("_mk", "_tk").agg(F.count("TRANSACTION_ID").alias("terminal_tx_count"))
-    out = base.join(cust, ["_mk", "_ck"], "left").join(term, ["_mk", "_tk"], "left")
+    out = attach_group_stats(base, ["_mk", "_ck"], {
+        "customer_tx_count": F.count("TRANSACTION_ID"),
+        "customer_avg_amount": F.avg("TX_AMOUNT")}, hot_rows)
+    out = attach_group_stats(out, ["_mk", "_tk"], {"terminal_tx_count": F.count("TRANSACTION_ID")}, hot_rows)
     return out.select(*keep, "customer_tx_count", "customer_avg_amount", "terminal_tx_count")
 
 
-def add_features(base: DataFrame) -> DataFrame:
-    """Typed base columns -> the 18-column cleaned table."""
-    out = add_month_features(add_risk_flags(add_calendar(base)))
-    return out.select(*CLEANED_COLUMNS)
+def add_features(base: DataFrame, month_features: bool = True, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Typed base columns -> the 18-column cleaned table.
+
+    ``month_features=False`` stops after the calendar parts and flags (15
+    columns) for analyses that never read the three monthly features.
+    """
+    out = add_risk_flags(add_calendar(base))
+    if not month_features:
+        return out.select(*[c for c in CLEANED_COLUMNS if c in out.columns])
+    return add_month_features(out, hot_rows).select(*CLEANED_COLUMNS)
 
 
 def parse_raw(raw: DataFrame) -> DataFrame:

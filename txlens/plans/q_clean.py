@@ -77,7 +77,7 @@ def q_clean_transactions(spark, sf):
        f"SELECT TRANSACTION_ID, tx_year_month, CUSTOMER_ID, customer_tx_count, {R6('customer_avg_amount')} AS customer_avg_amount FROM feat_b")
 def q_customer_month_features(spark, sf):
     """W1/W2 on mapping B (83 months)."""
-    df = ad.lineitem_tx(spark, sf).select("TRANSACTION_ID", "tx_year_month", "CUSTOMER_ID",
+    df = ad.lineitem_tx(spark, sf, True).select("TRANSACTION_ID", "tx_year_month", "CUSTOMER_ID",
                                           "customer_tx_count", "customer_avg_amount")
     return r6(df, "customer_avg_amount")
 
@@ -86,7 +86,7 @@ def q_customer_month_features(spark, sf):
        "SELECT TRANSACTION_ID, tx_year_month, TERMINAL_ID, terminal_tx_count FROM feat_b")
 def q_terminal_month_features(spark, sf):
     """W3 on mapping B."""
-    return ad.lineitem_tx(spark, sf).select("TRANSACTION_ID", "tx_year_month", "TERMINAL_ID", "terminal_tx_count")
+    return ad.lineitem_tx(spark, sf, True).select("TRANSACTION_ID", "tx_year_month", "TERMINAL_ID", "terminal_tx_count")
 
 
 @query("reject_rows", with_("raw_a", extra=_EXTRA) +

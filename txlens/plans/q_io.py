@@ -38,7 +38,7 @@ def _clean_cols(df):
 
 def _write_b(spark, sf) -> str:
     path = scratch_path(spark, "cleaned-parquet")
-    sinks.write_parquet(ad.lineitem_tx(spark, sf), path)
+    sinks.write_parquet(ad.lineitem_tx(spark, sf, True), path)
     return path
 
 
@@ -99,7 +99,7 @@ def _db(spark, prefix):
 def q_table_scan(spark, sf):
     """K2 + S4: external Parquet table saved at a path, scanned by name through SQL."""
     db = _db(spark, "txlens_ext")
-    sinks.save_external_table(ad.lineitem_tx(spark, sf), f"{db}.cleaned_transactions",
+    sinks.save_external_table(ad.lineitem_tx(spark, sf, True), f"{db}.cleaned_transactions",
                               scratch_path(spark, "external"))
     return _clean_cols(spark.sql(f"SELECT * FROM {db}.cleaned_transactions"))
 
@@ -117,7 +117,7 @@ def q_external_ddl(spark, sf):
 def q_orc(spark, sf):
     """K3: managed ORC snappy table, partitioned by month, read back by name."""
     db = _db(spark, "txlens_orc")
-    sinks.save_managed_orc(ad.lineitem_tx(spark, sf), f"{db}.cleaned_transactions")
+    sinks.save_managed_orc(ad.lineitem_tx(spark, sf, True), f"{db}.cleaned_transactions")
     return _clean_cols(readers.read_table(spark, f"{db}.cleaned_transactions"))
 
 
@@ -134,7 +134,7 @@ def q_monthly_csv(spark, sf):
 def q_catalog(spark, sf):
     """K6: CREATE DATABASE / saveAsTable / SHOW TABLES."""
     db = _db(spark, "txlens_cat")
-    sinks.save_external_table(ad.lineitem_tx(spark, sf), f"{db}.cleaned_transactions", scratch_path(spark, "cat"))
+    sinks.save_external_table(ad.lineitem_tx(spark, sf, True), f"{db}.cleaned_transactions", scratch_path(spark, "cat"))
     return sinks.catalog_listing(spark, db)
 
 

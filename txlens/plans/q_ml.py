@@ -17,7 +17,7 @@ from txlens.sources import adapters as ad
 
 
 def _tx(spark, sf):
-    return ad.events_tx(spark, sf)
+    return ad.events_tx(spark, sf, True)
 
 
 @query("class_balance", with_("feat_a") +

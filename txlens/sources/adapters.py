@@ -98,30 +98,31 @@ def transactions_from_lineitem(lineitem: DataFrame, orders: DataFrame, month: st
     )
 
 
-def events_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mapping A, cleaned (18 columns)."""
-    return add_features(transactions_from_events(read_table(spark, sf_dir, "events")))
+def events_tx(spark: SparkSession, sf_dir: str, month_features: bool = False) -> DataFrame:
+    """Mapping A, cleaned: 18 columns with ``month_features``, else the 15
+    columns before the monthly features (what most analyses read)."""
+    return add_features(transactions_from_events(read_table(spark, sf_dir, "events")), month_features)
 
 
 def events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_from_events(read_table(spark, sf_dir, "events"))
 
 
-def lineitem_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mapping B, cleaned (18 columns, 83 months at sf0.01)."""
+def lineitem_tx(spark: SparkSession, sf_dir: str, month_features: bool = False) -> DataFrame:
+    """Mapping B, cleaned (83 months at sf0.01); see ``events_tx``."""
     return add_features(transactions_from_lineitem(read_table(spark, sf_dir, "lineitem"),
-                                                   read_table(spark, sf_dir, "orders")))
+                                                   read_table(spark, sf_dir, "orders")), month_features)
 
 
 def lineitem_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_from_lineitem(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders"))
 
 
-def sparse_tx(spark: SparkSession, sf_dir: str, month: str = SPARSE_MONTH) -> DataFrame:
-    """Mapping C, cleaned: one month, terminal = part."""
+def sparse_tx(spark: SparkSession, sf_dir: str, month: str = SPARSE_MONTH, month_features: bool = False) -> DataFrame:
+    """Mapping C, cleaned: one month, terminal = part; see ``events_tx``."""
     return add_features(transactions_from_lineitem(read_table(spark, sf_dir, "lineitem"),
                                                    read_table(spark, sf_dir, "orders"),
-                                                   month=month, terminal="l_partkey"))
+                                                   month=month, terminal="l_partkey"), month_features)
 
 
 def _grid(c, mult: int):
