@@ -52,7 +52,7 @@ def test_file_audit_missing_empty_and_ok(spark):
 
 def test_dynamic_overwrite_replaces_only_present_months(spark):
     path = scratch_path(spark, "t-parquet")
-    tx = ad.lineitem_tx(spark, SF001)
+    tx = ad.lineitem_tx(spark, SF001, True)
     sinks.write_parquet(tx, path)
     b = {r["tx_year_month"]: r["count"] for r in
          readers.read_cleaned_parquet(spark, path).groupBy("tx_year_month").count().collect()}
@@ -67,7 +67,7 @@ def test_dynamic_overwrite_replaces_only_present_months(spark):
 
 def test_month_filter_prunes_partitions(spark):
     path = scratch_path(spark, "t-prune")
-    sinks.write_parquet(ad.lineitem_tx(spark, SF001), path)
+    sinks.write_parquet(ad.lineitem_tx(spark, SF001, True), path)
     df = readers.read_cleaned_parquet(spark, path, ["1998-04"]).select("TRANSACTION_ID")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(tx_year_month" in plan and "1998-04" in plan
