@@ -80,9 +80,11 @@ def edges_into(edges: DataFrame, vertex_ids: DataFrame, id_col: str = "id") -> D
 def community_edges(edges: DataFrame, members: DataFrame, id_col: str = "id") -> DataFrame:
     """Edges with both ends in the set; if there are none, edges touching it.
 
-    Members are unique vertex ids, so the two left joins never duplicate an edge.
+    Members are unique vertex ids, so the two left joins never duplicate an
+    edge; no distinct is taken on them, which keeps each join's sides plain
+    shuffles that AQE can split when one vertex holds many edges.
     """
-    ids = members.select(F.col(id_col).alias("_vid")).distinct()
+    ids = members.select(F.col(id_col).alias("_vid"))
     tagged = (edges.join(ids.select(F.col("_vid").alias("_s")), edges.src == F.col("_s"), "left")
                    .join(ids.select(F.col("_vid").alias("_d")), F.col("dst") == F.col("_d"), "left"))
     inside = tagged.filter(F.col("_s").isNotNull() & F.col("_d").isNotNull()).drop("_s", "_d")
