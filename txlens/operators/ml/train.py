@@ -76,8 +76,13 @@ def train_and_evaluate(df: DataFrame, features: list[str] | None = None, model:
         fitted = build_pipeline(features, model=model, seed=seed).fit(train)
     finally:
         train.unpersist()
-    predictions = fitted.transform(test)
-    return TrainResult(fitted, evaluate(predictions), predictions)
+    # the two evaluator passes read the test side once from cache, not twice from the source
+    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        metrics = evaluate(fitted.transform(test))
+    finally:
+        test.unpersist()
+    return TrainResult(fitted, metrics, fitted.transform(test))
 
 
 def scores(predictions: DataFrame, id_col: str = "TRANSACTION_ID", label: str = LABEL) -> DataFrame:

@@ -159,6 +159,18 @@ def q_chain_edges(spark, sf):
     return motif.chain_edges(motif.infection_chains(graph_a(spark, sf).edges))
 
 
+@query("motif_match", with_("edges_a") + """SELECT src AS a_id, dst AS t_id, TRANSACTION_ID AS e_id, TX_AMOUNT AS e_amount
+FROM edges_a WHERE TX_FRAUD = 1 AND starts_with(src, 'C_') AND starts_with(dst, 'T_')""")
+def q_motif_match(spark, sf):
+    """The generic motif matcher with a one-edge pattern and struct-field predicates
+    (fraud edges from customers to terminals)."""
+    g = graph_a(spark, sf)
+    m = motif.find_motif(g.vertices, g.edges.select("src", "dst", "TRANSACTION_ID", "TX_AMOUNT", "TX_FRAUD"),
+                         [("a", "e", "t")], "e.TX_FRAUD = 1 AND a.type = 'Customer' AND t.type = 'Terminal'")
+    return m.select(F.col("a.id").alias("a_id"), F.col("t.id").alias("t_id"),
+                    F.col("e.TRANSACTION_ID").alias("e_id"), F.col("e.TX_AMOUNT").alias("e_amount"))
+
+
 # ---------------------------------------------------------------- traversals
 _BFS_SQL = """SELECT r.id AS "from", e1.dst AS v1, e2.dst AS "to"
 FROM root_a r JOIN und_a e1 ON e1.src = r.id JOIN und_a e2 ON e2.src = e1.dst
