@@ -38,15 +38,16 @@ def month_bounds(month: str) -> tuple[str, str]:
     return f"{y:04d}-{m:02d}-01 00:00:00", f"{ny:04d}-{nm:02d}-01 00:00:00"
 
 
-def _seconds_since(ts, epoch: str):
-    micros = F.unix_micros(ts) - F.unix_micros(F.lit(epoch).cast("timestamp"))
-    return F.floor(micros / F.lit(1_000_000)).cast("bigint")
+def _seconds_since(ts_ntz, epoch: str):
+    """Whole seconds of wall-clock time since ``epoch`` (both local date-times,
+    so the result does not move with the session time zone or DST)."""
+    return F.timestamp_diff("SECOND", F.lit(epoch).cast("timestamp_ntz"), ts_ntz.cast("timestamp_ntz")).cast("bigint")
 
 
 def transactions_from_events(events: DataFrame, fraud_amount: float = EVENTS_FRAUD_AMOUNT) -> DataFrame:
     """Mapping A: the 9 typed base columns from ``events``."""
     ts = F.col("ts").cast("timestamp")
-    secs = _seconds_since(ts, EVENTS_EPOCH)
+    secs = _seconds_since(F.col("ts"), EVENTS_EPOCH)
     fraud = (F.col("value") > F.lit(fraud_amount)).cast("int")
     return events.select(
         F.col("event_id").alias("TRANSACTION_ID"),
@@ -83,7 +84,7 @@ def transactions_from_lineitem(lineitem: DataFrame, orders: DataFrame, month: st
     o = orders.select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     ts = F.col("l_shipdate").cast("timestamp")
-    secs = _seconds_since(ts, ORDERS_EPOCH)
+    secs = _seconds_since(F.col("l_shipdate"), ORDERS_EPOCH)
     fraud = (F.col("l_extendedprice") > F.lit(fraud_price)).cast("int")
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("TRANSACTION_ID"),
