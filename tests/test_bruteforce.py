@@ -94,8 +94,13 @@ def test_lpa_components_pagerank_match_brute_force(spark):
     for steps in (1, 2, 3):
         got = {r["id"]: r["label"] for r in community.label_propagation(v, e, steps).collect()}
         assert got == _lpa_brute(ids, rows, steps)
+    # hot vertices salted across buckets (tiny threshold) give the same labels
+    salted = {r["id"]: r["label"] for r in community.label_propagation(v, e, 3, hot_rows=2).collect()}
+    assert salted == _lpa_brute(ids, rows, 3)
     comp = {r["id"]: r["component"] for r in community.connected_components(v, e).collect()}
     assert comp == _components_brute(ids, rows)
+    comp_salted = {r["id"]: r["component"] for r in community.connected_components(v, e, hot_rows=2).collect()}
+    assert comp_salted == comp
     # PageRank: power iteration with numpy on the same multigraph
     idx = {i: k for k, i in enumerate(ids)}
     n = len(ids)
@@ -111,6 +116,8 @@ def test_lpa_components_pagerank_match_brute_force(spark):
     pr = pr * n / pr.sum()
     got = {r["id"]: r["pagerank"] for r in community.pagerank(v, e, 0.15, 10).collect()}
     assert np.allclose([got[i] for i in ids], pr)
+    got = {r["id"]: r["pagerank"] for r in community.pagerank(v, e, 0.15, 10, hot_rows=2).collect()}
+    assert np.allclose([got[i] for i in ids], pr)
 
 
 def test_motif_matcher_naive_equals_rewrite_on_random_graph(spark):

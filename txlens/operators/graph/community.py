@@ -5,8 +5,10 @@ A17 community_sizes, A18 ring_metrics, A19 fraud_rings, A25 community_count,
 A26 largest_community, G14 community_of, G15 community_report.
 
 Iterative algorithms: the adjacency is built once (parallel edges collapsed
-to a weight), every step is one join + partially-aggregated groupBys, and
-the state is checkpointed to the shared checkpoint folder each step.
+to a weight) and written bucketed by source vertex with hot vertices salted
+(``graph.layout``), so a step shuffles only the per-vertex state, never the
+adjacency; every step is one join + partially-aggregated groupBys, and the
+state is checkpointed to the shared checkpoint folder each step.
 """
 
 from __future__ import annotations
@@ -17,11 +19,14 @@ from pyspark.sql import functions as F
 from txlens.functions.columns import pct
 from txlens.functions.stats import one_row
 from txlens.operators.graph.build import simple_undirected_edges, weighted_undirected_edges
+from txlens.operators.graph.layout import SaltedAdjacency
+from txlens.operators.skew import HOT_KEY_ROWS
 from txlens.schema import CUSTOMER_PREFIX, CUSTOMER_TYPE, TERMINAL_PREFIX, TERMINAL_TYPE
 from txlens.session import ensure_checkpoint_dir
 
 
-def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5) -> DataFrame:
+def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
+                      hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Synchronous LPA on both edge directions, parallel edges counted.
 
     Start label = vertex id; each step a vertex takes the label with the
@@ -30,13 +35,13 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5)
     """
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
-    adj = weighted_undirected_edges(edges).checkpoint(eager=True)
+    adj = SaltedAdjacency(weighted_undirected_edges(edges), hot_rows, "lpa_adj")
     vcols = [c for c in vertices.columns if c != "label"]
     # the vertex attributes ride along in the state, so the result is the
     # last checkpoint itself (no re-join with a recomputed vertex frame)
     labels = vertices.select(*vcols, F.col("id").alias("label")).checkpoint(eager=True)
     for _ in range(max_iter):
-        msgs = adj.join(labels.select(F.col("id").alias("src"), "label"), "src")
+        msgs = adj.join(labels.select("id", "label"))
         votes = msgs.groupBy(F.col("dst").alias("id"), "label").agg(F.sum("w").alias("score"))
         best = (votes.groupBy("id")
                      .agg(F.min(F.struct((-F.col("score")).alias("neg"), F.col("label").alias("lab"))).alias("b"))
@@ -47,7 +52,7 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5)
     return labels
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """(id, component) with component = smallest vertex id of the component.
 
     Min-label propagation to a fixed point; every round also jumps one
@@ -56,11 +61,11 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
-    adj = simple_undirected_edges(edges).checkpoint(eager=True)
+    adj = SaltedAdjacency(simple_undirected_edges(edges), hot_rows, "cc_adj")
     vcols = [c for c in vertices.columns if c != "component"]
     comp = vertices.select(*vcols, F.col("id").alias("component")).checkpoint(eager=True)
     while True:
-        nbr = (adj.join(comp.select(F.col("id").alias("src"), "component"), "src")
+        nbr = (adj.join(comp.select("id", "component"))
                   .groupBy(F.col("dst").alias("id")).agg(F.min("component").alias("nmin")))
         step = (comp.join(nbr, "id", "left")
                     .select(*vcols, F.least("component", F.coalesce("nmin", "component")).alias("component")))
@@ -77,7 +82,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, reset_probability: float = 0.15,
-             max_iter: int = 10) -> DataFrame:
+             max_iter: int = 10, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Static PageRank on the directed multigraph (parallel edges count),
     rank starts at 1.0, rank = reset + (1 - reset) * sum(in-contributions),
     final ranks rescaled to sum to the number of vertices."""
@@ -85,13 +90,12 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset_probability: float = 0
     ensure_checkpoint_dir(spark)
     w = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
     outdeg = w.groupBy("src").agg(F.sum("w").alias("deg"))
-    links = (w.join(outdeg, "src")
-              .select("src", "dst", (F.col("w") / F.col("deg")).alias("share"))
-              .checkpoint(eager=True))
+    links = SaltedAdjacency(w.join(outdeg, "src").select("src", "dst", (F.col("w") / F.col("deg")).alias("share")),
+                            hot_rows, "pr_links")
     vcols = [c for c in vertices.columns if c != "pagerank"]
     ranks = vertices.select(*vcols, F.lit(1.0).alias("pagerank")).checkpoint(eager=True)
     for _ in range(max_iter):
-        contrib = (links.join(ranks.select(F.col("id").alias("src"), "pagerank"), "src")
+        contrib = (links.join(ranks.select("id", "pagerank"))
                         .groupBy(F.col("dst").alias("id"))
                         .agg(F.sum(F.col("share") * F.col("pagerank")).alias("c")))
         ranks = (ranks.select(*vcols).join(contrib, "id", "left")
