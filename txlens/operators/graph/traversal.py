@@ -1,8 +1,10 @@
 """Breadth-first traversals (G8 bfs_paths, G9 victim_exposure, G10 hop_distance).
 
 Level-synchronous frontier loops on DataFrames: each level is one join of
-the frontier with the distinct undirected edge list and one left-anti join
-against the visited set (so only shortest paths survive).  Each level's new
+the frontier with the distinct undirected edge list (written once, bucketed
+by source with hot vertices salted — see ``graph.layout`` — so levels
+shuffle only the frontier) and one left-anti join against the visited set
+(so only shortest paths survive).  Each level's new
 frontier is checkpointed to the shared checkpoint folder, which cuts lineage
 and survives executor loss; the visited set is the union of those
 checkpointed levels.
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txlens.operators.graph.build import simple_undirected_edges
+from txlens.operators.graph.layout import SaltedAdjacency
+from txlens.operators.skew import HOT_KEY_ROWS
 from txlens.session import ensure_checkpoint_dir
 
 # --- fixed labels of the exposure report ----------------------------------
@@ -28,7 +32,7 @@ def _path_cols(hops: int) -> list[str]:
 
 
 def bfs_paths(vertices: DataFrame, edges: DataFrame, from_expr: str, to_expr: str,
-              max_path_length: int = 4, undirected: bool = True) -> DataFrame:
+              max_path_length: int = 4, undirected: bool = True, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """All shortest paths (as vertex-id columns from, v1, ..., to) from any
     vertex matching ``from_expr`` to any matching ``to_expr``, at most
     ``max_path_length`` edges; stops at the first level with a hit.  No hit:
@@ -36,39 +40,40 @@ def bfs_paths(vertices: DataFrame, edges: DataFrame, from_expr: str, to_expr: st
     """
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
-    adj = simple_undirected_edges(edges) if undirected else edges.select("src", "dst").distinct()
-    adj = adj.checkpoint(eager=True)
+    adj = SaltedAdjacency(simple_undirected_edges(edges) if undirected else edges.select("src", "dst").distinct(),
+                          hot_rows, "bfs_adj")
     targets = vertices.filter(to_expr).select(F.col("id").alias("_tid"))
     frontier = vertices.filter(from_expr).select(F.col("id").alias("from"))
     visited = frontier.select(F.col("from").alias("_vid")).distinct()
-    last = "from"
+    cols = ["from"]
     for hop in range(1, max_path_length + 1):
-        step = frontier.join(adj, frontier[last] == adj.src).drop("src")
+        step = adj.join(frontier, key=cols[-1]).withColumnRenamed("src", cols[-1]).select(*cols, "dst")
         step = step.join(visited, step.dst == visited._vid, "left_anti").checkpoint(eager=True)
         hits = step.join(targets, step.dst == targets._tid, "left_semi")
         if not hits.isEmpty():
-            return hits.select(*frontier.columns, F.col("dst").alias("to"))
+            return hits.select(*cols, F.col("dst").alias("to"))
         if step.isEmpty():
             break
         name = f"v{hop}"
         frontier = step.withColumnRenamed("dst", name)
         # visited grows by union of checkpointed levels: lineage depth <= max_path_length
         visited = visited.unionByName(step.select(F.col("dst").alias("_vid")))
-        last = name
+        cols.append(name)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in _path_cols(max_path_length)])
     return spark.createDataFrame([], schema)
 
 
-def hop_distance(vertices: DataFrame, edges: DataFrame, from_expr: str, max_hops: int = 4) -> DataFrame:
+def hop_distance(vertices: DataFrame, edges: DataFrame, from_expr: str, max_hops: int = 4,
+                 hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """(id, hop) for every vertex within ``max_hops`` of the start set (start = hop 0)."""
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
-    adj = simple_undirected_edges(edges).checkpoint(eager=True)
+    adj = SaltedAdjacency(simple_undirected_edges(edges), hot_rows, "hop_adj")
     reached = vertices.filter(from_expr).select("id", F.lit(0).alias("hop")).distinct()
     frontier = reached.select("id")
     for hop in range(1, max_hops + 1):
-        nxt = (frontier.join(adj, frontier.id == adj.src).select(F.col("dst").alias("id")).distinct()
-                       .join(reached, "id", "left_anti"))
+        nxt = (adj.join(frontier).select(F.col("dst").alias("id")).distinct()
+                  .join(reached, "id", "left_anti"))
         nxt = nxt.checkpoint(eager=True)
         if nxt.isEmpty():
             break
