@@ -58,7 +58,8 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float], group_col
     wanted = wanted.select(*keys, "_start", "w.qi", "w.pos",
                            F.explode(F.array_distinct(F.array(F.floor("w.pos"), F.ceil("w.pos")))).alias("k"))
     wanted = wanted.select(*keys, "qi", "pos", (F.col("_start") + F.col("k")).alias("_i"), "k")
-    picked = wanted.join(idx.select("_i", "_v"), "_i")
+    # wanted: 2 positions per (group, probability) -> broadcast, the ranked rows stay in place
+    picked = F.broadcast(wanted).join(idx.select("_i", "_v"), "_i")
     per_q = picked.groupBy(*keys, "qi", "pos").agg(
         F.min(F.struct("k", "_v")).alias("lo"), F.max(F.struct("k", "_v")).alias("hi"))
     frac = F.col("pos") - F.col("lo.k")
