@@ -67,16 +67,15 @@ def connected_components(vertices: DataFrame, edges: DataFrame, hot_rows: int =
     while True:
         nbr = (adj.join(comp.select("id", "component"))
                   .groupBy(F.col("dst").alias("id")).agg(F.min("component").alias("nmin")))
-        step = (comp.join(nbr, "id", "left")
-                    .select(*vcols, F.least("component", F.coalesce("nmin", "component")).alias("component")))
-        hop = step.select(F.col("id").alias("component"), F.col("component").alias("jump"))
-        step = (step.join(hop, "component", "left")
-                    .select(*vcols, F.least("component", F.coalesce("jump", "component")).alias("component"))
-                    .checkpoint(eager=True))
-        changed = (step.join(comp.select("id", F.col("component").alias("old")), "id")
-                       .filter(F.col("component") != F.col("old")))
-        comp = step
-        if changed.isEmpty():
+        c1 = F.least("component", F.coalesce("nmin", "component"))
+        s1 = comp.join(nbr, "id", "left").select(*vcols, F.col("component").alias("_old"), c1.alias("_c1"))
+        # pointer jump through the previous (checkpointed) labels: label <- label of the label
+        look = comp.select(F.col("id").alias("_c1"), F.col("component").alias("_jump"))
+        step = (s1.join(look, "_c1", "left")
+                  .select(*vcols, "_old", F.least("_c1", F.coalesce("_jump", "_c1")).alias("component"))
+                  .checkpoint(eager=True))
+        comp = step.drop("_old")
+        if step.filter(F.col("component") != F.col("_old")).isEmpty():
             break
     return comp
 
