@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ class SaltedAdjacency:
         spark = adj.sparkSession
         self.spark = spark
         self.n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # the input feeds two passes (degrees, then the bucketed write): cache it for the setup only
+        adj = adj.persist(StorageLevel.MEMORY_AND_DISK)
         deg = adj.groupBy("src").agg(F.count(F.lit(1)).alias("_rows"))
         width = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int")
         hot = deg.filter(F.col("_rows") > F.lit(hot_rows)).select("src", width.alias("_w"))
@@ -47,6 +50,7 @@ class SaltedAdjacency:
         (salted.repartition(self.n, "src", "_salt")        # one bucket per task -> n files
                .write.mode("overwrite").bucketBy(self.n, "src", "_salt")
                .option("path", scratch_path(spark, name)).saveAsTable(table))
+        adj.unpersist()
         self.table = spark.table(table)
 
     def state_for_join(self, state: DataFrame, key: str = "id") -> DataFrame:
