@@ -146,7 +146,7 @@ def q_audit(spark, sf):
         F.regexp_replace("path", r"^.*/", "").alias("file"), "bytes", "ok")
 
 
-@query("load_with_fallback")
+@query("load_with_fallback", with_("clean_a", extra=CLEAN_EXTRA) + f"SELECT {CLEAN_COLS} FROM clean_a")
 def q_fallback(spark, sf):
     """Missing table -> first CSV folder with files -> cleaned frame."""
     path = _write_raw_csv(spark, sf)
@@ -154,7 +154,7 @@ def q_fallback(spark, sf):
                                            [scratch_path(spark, "empty"), path])
     if not re.match(r"^csv:", source):
         raise RuntimeError(source)
-    return df.select(*CLEANED_COLUMNS)
+    return _clean_cols(df)
 
 
 @query("stream_ingest", with_("clean_a", extra=CLEAN_EXTRA) + f"SELECT {CLEAN_COLS} FROM clean_a")
