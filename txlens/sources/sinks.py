@@ -22,7 +22,14 @@ def _layout(df: DataFrame, partition_col: str = PARTITION_COLUMN) -> DataFrame:
     month holding a third of the data is written in parallel and files stay
     near the advisory size.  (A range repartition would also spread it but
     needs a sampling pass over the whole input first.)"""
-    return df.hint("rebalance", partition_col)
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        return df.hint("rebalance", partition_col)
+    # without AQE nothing would split a big month: range-partition on
+    # (month, a spreading column) instead, at the price of a sampling pass
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = [c for c in ("CUSTOMER_ID", "TRANSACTION_ID") if c in df.columns][:1]
+    return df.repartitionByRange(n, partition_col, *spread)
 
 
 def write_parquet(df: DataFrame, path: str, partition_col: str = PARTITION_COLUMN, mode: str = "overwrite") -> None:
