@@ -91,6 +91,21 @@ def label_scenarios(tx: DataFrame, terminal_windows: DataFrame, customer_windows
         label_terminal_compromise(label_amount(base), terminal_windows), customer_windows, order)
 
 
+def scenario_increments(tx: DataFrame, terminal_windows: DataFrame, customer_windows: DataFrame,
+                        order: list[Column]) -> DataFrame:
+    """Frauds added by each scenario step (a row already fraud is not
+    counted again): one row with nb_frauds_scenario_1/2/3 and the total."""
+    base = tx.withColumns({"TX_FRAUD": F.lit(0), "TX_FRAUD_SCENARIO": F.lit(0)})
+    # the flag after each step rides along as a column: one pass, no self-join
+    s1 = label_amount(base).withColumn("_f1", F.col("TX_FRAUD"))
+    s2 = label_terminal_compromise(s1, terminal_windows).withColumn("_f2", F.col("TX_FRAUD"))
+    s3 = label_card_compromise(s2, customer_windows, order)
+    return s3.agg(F.sum("_f1").alias("nb_frauds_scenario_1"),
+                  (F.sum("_f2") - F.sum("_f1")).alias("nb_frauds_scenario_2"),
+                  (F.sum("TX_FRAUD") - F.sum("_f2")).alias("nb_frauds_scenario_3"),
+                  F.sum("TX_FRAUD").alias("nb_frauds_total"))
+
+
 def rule_windows(tx: DataFrame, id_col: str, modulus: int = 10) -> DataFrame:
     """Deterministic compromise windows derived from the data (test rule):
     for every simulated day d below the last day, the ids with id % m == d % m."""

@@ -104,6 +104,18 @@ def q_scenarios(spark, sf):
     return trends.scenario_counts(_labeled(spark, sf))
 
 
+@query("scenario_increments", with_("j9", "j97", "labeled", extra=EXTRA) + f"""SELECT
+  (SELECT {I64('sum(TX_FRAUD)')} FROM j9) AS nb_frauds_scenario_1,
+  (SELECT {I64('sum(TX_FRAUD)')} FROM j97) - (SELECT {I64('sum(TX_FRAUD)')} FROM j9) AS nb_frauds_scenario_2,
+  (SELECT {I64('sum(TX_FRAUD)')} FROM labeled) - (SELECT {I64('sum(TX_FRAUD)')} FROM j97) AS nb_frauds_scenario_3,
+  (SELECT {I64('sum(TX_FRAUD)')} FROM labeled) AS nb_frauds_total""")
+def q_increments(spark, sf):
+    """Frauds added by each scenario step (amount, terminal, card)."""
+    base = _base(spark, sf)
+    return labeling.scenario_increments(base, labeling.rule_windows(base, "TERMINAL_ID"),
+                                        labeling.rule_windows(base, "CUSTOMER_ID"), _order())
+
+
 @query("terminals_within_radius", with_("cust_d", "term_d") + """SELECT c.CUSTOMER_ID,
   COALESCE(p.terminal_list, '') AS terminal_list, CAST(COALESCE(p.nb_terminals, 0) AS INTEGER) AS nb_terminals
 FROM cust_d c LEFT JOIN (
