@@ -81,3 +81,32 @@ def test_terminal_risk_and_chains_with_hot_terminal(spark, skew_conf):
     naive = motif.infection_chains_naive(g.vertices, g.edges)
     assert fast.count() == naive.count()
     assert fast.exceptAll(naive).count() == 0
+
+
+def test_salted_adjacency_is_read_in_place(spark):
+    """Steps of the iterative algorithms shuffle only the vertex state, never the adjacency,
+    and a hot vertex's adjacency is spread over several salts."""
+    from txlens.operators.graph.layout import SaltedAdjacency
+    adj = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("T_0")).otherwise(F.concat(F.lit("T_"), (F.col("id") % 50 + 1).cast("string"))).alias("src"),
+        F.concat(F.lit("C_"), F.col("id").cast("string")).alias("dst"))
+    layout = SaltedAdjacency(adj, hot_rows=200, name="t_adj")
+    assert layout.hot.filter(F.col("src") == "T_0").first()["_w"] == 5
+    state = adj.select(F.col("src").alias("id")).distinct().select("id", F.lit(1).alias("x"))
+    joined = layout.join(state)
+    assert joined.count() == 3000
+    lines = joined._jdf.queryExecution().executedPlan().toString().split("\n")
+    i = next(k for k, line in enumerate(lines) if "t_adj" in line)
+    # walk up the ancestors of the adjacency scan to the join: no Exchange on the way
+    depth, ancestors = lines[i].find("+-"), []
+    for line in reversed(lines[:i]):
+        d = line.find("+-")
+        if 0 <= d < depth:
+            ancestors.append(line)
+            depth = d
+            if "Join" in line:
+                break
+    assert ancestors and "Join" in ancestors[-1]
+    assert not any("Exchange" in line for line in ancestors)
+    salts = layout.table.filter(F.col("src") == "T_0").select("_salt").distinct().count()
+    assert salts == 5
