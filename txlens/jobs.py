@@ -51,6 +51,8 @@ def run_ml(spark: SparkSession, source: str, csv_dirs: list[str] | None = None,
 
 
 def main(argv: list[str]) -> None:
+    if not argv or argv[0] not in ("etl", "ml"):
+        raise SystemExit(__doc__)
     # the cluster (spark-submit) provides master and configuration
     spark = SparkSession.builder.appName(f"txlens-{argv[0]}").getOrCreate()
     ensure_checkpoint_dir(spark)
