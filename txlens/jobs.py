@@ -1,8 +1,11 @@
 """Batch jobs: the ETL (audit -> read raw CSV -> clean -> write once -> register)
 and the ML job (load -> class balance -> train -> evaluate).
 
-    spark-submit -m txlens.jobs etl <csv_dir> <parquet_dir> [db.table]
-    spark-submit -m txlens.jobs ml  <db.table | parquet_dir> [csv_dir ...]
+    python -m txlens.jobs etl <csv_dir> <parquet_dir> [db.table]
+    python -m txlens.jobs ml  <db.table | parquet_dir> [csv_dir ...]
+
+(on a cluster: ship the package with ``spark-submit --py-files txlens.zip``
+and call ``txlens.jobs.main([...])`` from the submitted script)
 
 Unlike a clean-then-write-twice flow, the cleaned plan runs exactly once:
 it is written as month-partitioned Parquet and the catalog table is then
