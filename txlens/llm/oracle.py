@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txlens.llm import quality_rules
+from txlens.llm import pii, quality_rules
 
 
 def _rules_sql() -> str:
@@ -40,4 +40,65 @@ b AS (SELECT *, (n_words < {quality_rules.MIN_WORDS}
 SELECT *, (NOT base_failed AND {_rules_sql()}) AS kept FROM b
 """
 
-ORACLES: dict[str, str] = {"op8_quality_rules": OP8}
+
+# The contract's patterns as they stand (this engine needs no possessive loops).
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "iban": pii.PATTERNS["iban"],
+    "ssn": pii.PATTERNS["ssn"],
+}
+_D = "regexp_replace(x.v, '[^0-9]', '', 'g')"
+_CHECK = {
+    "email": "true",
+    "ip": "len(list_filter(string_split(x.v, '.'), lambda y: length(ltrim(y, '0')) > 3 "
+          "OR coalesce(try_cast(nullif(ltrim(y, '0'), '') AS INT), 0) > 255)) = 0",
+    "card": f"length({_D}) BETWEEN 13 AND 19 AND list_sum(list_transform(range(0, length({_D})), lambda i: "
+            f"CASE WHEN i % 2 = 0 THEN substr({_D}, length({_D}) - i, 1)::INT "
+            f"ELSE (2 * substr({_D}, length({_D}) - i, 1)::INT) // 10 "
+            f"+ (2 * substr({_D}, length({_D}) - i, 1)::INT) % 10 END)) % 10 = 0",
+    "phone": f"length({_D}) BETWEEN 9 AND 15",
+    "iban": "list_reduce(list_transform(string_split(substr(replace(x.v, ' ', ''), 5) "
+            "|| substr(replace(x.v, ' ', ''), 1, 4), ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' "
+            "THEN c::INT ELSE ascii(c) - 55 END), lambda a, d: "
+            "(a * CASE WHEN d > 9 THEN 100 ELSE 10 END + d) % 97) % 97 = 1",
+    "ssn": "true",
+}
+
+
+def _spans_sql() -> str:
+    cuts = ", ".join(f"regexp_extract_all(t, '{PLAIN[k]}') AS m_{k}, string_split_regex(t, '{PLAIN[k]}') AS p_{k}"
+                     for k in pii.KINDS)
+    at = ", ".join(
+        f"list_transform(range(1, len(m_{k}) + 1), lambda i: {{'s': (coalesce(list_sum(list_transform("
+        f"p_{k}[1:i], lambda y: length(y))), 0) + coalesce(list_sum(list_transform("
+        f"m_{k}[1:i - 1], lambda y: length(y))), 0))::BIGINT, 'v': m_{k}[i]}}) AS f_{k}" for k in pii.KINDS)
+    near = ("regexp_matches(substr(t, greatest(x.s - {n}, 0) + 1, x.s - greatest(x.s - {n}, 0)) || ' ' "
+            "|| substr(t, x.s + length(x.v) + 1, {n}), '(?i)({w})')")
+    scored = []
+    for k in pii.KINDS:
+        hit = near.format(n=pii.CONTEXT_CHARS, w=pii.CONTEXT[k])
+        score = f"{pii.PRIOR[k] + pii.CHECK_BONUS[k]} + CASE WHEN {hit} THEN {pii.CONTEXT_BONUS} ELSE 0 END"
+        least = pii.LEAST_SCORE if k in pii.ADDED_KINDS else 0
+        scored.append(
+            f"list_filter(list_transform(list_filter(f_{k}, lambda x: {_CHECK[k]}), lambda x: "
+            f"{{'span': '{k}:' || x.s || ':' || (x.s + length(x.v)), 'score': {score}}}), "
+            f"lambda z: z.score >= {least}) AS s_{k}")
+    base = " || ".join(f"list_transform(s_{k}, lambda z: z.span)" for k in pii.BASE_KINDS)
+    every = " || ".join(f"s_{k}" for k in pii.KINDS)
+    counts = ", ".join(f"len(s_{k})::BIGINT AS n_{k}" for k in pii.KINDS)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+c AS (SELECT doc_id, t, {cuts} FROM d),
+f AS (SELECT doc_id, t, {at} FROM c),
+s AS (SELECT doc_id, {", ".join(scored)} FROM f)
+SELECT doc_id, {counts}, sha256(array_to_string({base}, ',')) AS base_sha256,
+  array_to_string(list_transform({every}, lambda z: z.span), ',') AS spans,
+  array_to_string(list_transform({every}, lambda z: z.score::VARCHAR), ',') AS scores
+FROM s
+"""
+
+
+ORACLES: dict[str, str] = {"op7_pii_spans": _spans_sql(), "op8_quality_rules": OP8}
