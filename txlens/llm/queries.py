@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import pii, quality_rules
+from txlens.llm import packing, pii, quality_rules, sp_codec, token_transducer
 from txlens.llm.oracle import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_codec.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"),
+                                     digests_only=True)
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_transducer.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 @query
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
