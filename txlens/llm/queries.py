@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import packing, pii, quality_rules, sp_codec, token_transducer
+from txlens.llm import packing, pii, quality_qda, quality_rules, sp_codec, token_transducer, toxicity
+from txlens.llm.common import held_out
 from txlens.llm.oracle import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,22 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                                              "predicted", "distance")
+
+
+@query
+def op3_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_qda.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_qda.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                                                 "predicted")
+
+
 @query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_codec.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"),
