@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import packing, pii, quality_qda, quality_rules, sp_codec, token_transducer, toxicity
+from txlens.llm import dartminhash, packing, pii, quality_qda, quality_rules, sp_codec, token_transducer, toxicity
 from txlens.llm.common import held_out
 from txlens.llm.oracle import ORACLES
 
@@ -73,6 +73,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
