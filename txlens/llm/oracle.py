@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txlens.llm import pii, quality_rules
+from txlens.llm import pii, quality_rules, warc_revisit
 
 
 def _rules_sql() -> str:
@@ -101,4 +101,66 @@ FROM s
 """
 
 
-ORACLES: dict[str, str] = {"op7_pii_spans": _spans_sql(), "op8_quality_rules": OP8}
+
+_KEPT = ", ".join(f"'{h}'" for h in warc_revisit.KEPT_HEADERS)
+
+OP10 = rf"""
+WITH p AS (SELECT page_id AS id, url AS u, md5(coalesce(html, '')) AS digest,
+    strlen(coalesce(html, ''))::VARCHAR AS size FROM pages),
+q AS (SELECT *, '"' || substr(digest, 1, 16) || '"' AS etag, 'day ' || (id % 365) AS modified FROM p),
+f AS (SELECT id, u, digest,
+    CASE WHEN id % 11 = 5 THEN [{{'k': 'content-type', 'v': 'text/html'}}, {{'k': 'last-modified', 'v': modified}},
+                                {{'k': 'content-length', 'v': size}}]
+      ELSE [{{'k': 'content-type', 'v': 'text/html'}}, {{'k': 'etag', 'v': etag}},
+            {{'k': 'last-modified', 'v': modified}}, {{'k': 'content-length', 'v': size}},
+            {{'k': 'cache-control', 'v': 'max-age=60'}}] END AS full_headers,
+    CASE WHEN id % 13 = 6 THEN [{{'k': 'date', 'v': 'later'}}]
+      WHEN id % 11 = 5 THEN [{{'k': 'last-modified', 'v': modified}}, {{'k': 'date', 'v': 'later'}}]
+      ELSE [{{'k': 'etag', 'v': CASE WHEN id % 7 = 3 THEN '"changed"' WHEN id % 7 = 4 THEN 'W/' || etag ELSE etag END}},
+            {{'k': 'cache-control', 'v': 'max-age=3600'}}, {{'k': 'content-length', 'v': '0'}},
+            {{'k': 'date', 'v': 'later'}}] END AS short_headers FROM q),
+c AS (
+  SELECT id * 3 AS record_id, 'response' AS kind, u AS url, id * 10 AS tm, full_headers AS h, digest FROM f
+  UNION ALL SELECT id * 3 + 1, 'revisit', u, CASE WHEN id % 17 = 2 THEN id * 10 - 1 ELSE id * 10 + 5 END,
+    short_headers, NULL FROM f
+  UNION ALL SELECT id * 3 + 2, 'revisit', CASE WHEN id % 2 = 0 THEN u || '#again' ELSE u || '/' END, id * 10 + 7,
+    short_headers, NULL FROM f),
+u1 AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS x FROM c),
+u2 AS (SELECT *, lower(regexp_extract(x, '^[^/?]*')) AS host0, regexp_replace(x, '^[^/?]*', '') AS rest FROM u1),
+u3 AS (SELECT *, regexp_replace(regexp_replace(host0, '^www\.', ''), ':(80|443)$', '') AS host,
+    regexp_replace(regexp_extract(rest, '^[^?]*'), '/+$', '') AS path,
+    list_sort(list_filter(string_split(regexp_replace(rest, '^[^?]*\??', ''), '&'),
+      lambda y: y <> '' AND NOT regexp_matches(y, '^{warc_revisit.TRACKING}(=|$)'))) AS params FROM u2),
+t AS (SELECT *, host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END
+    AS target FROM u3),
+w AS (SELECT *, last_value(CASE WHEN kind = 'response' THEN {{'r': record_id, 'h': h, 'd': digest}} END IGNORE NULLS)
+    OVER (PARTITION BY target ORDER BY tm, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS src FROM t),
+v AS (SELECT *, list_filter(src.h, lambda y: y.k = 'etag')[1].v AS e0, list_filter(h, lambda y: y.k = 'etag')[1].v AS e1,
+    list_filter(src.h, lambda y: y.k = 'last-modified')[1].v AS m0,
+    list_filter(h, lambda y: y.k = 'last-modified')[1].v AS m1 FROM w WHERE kind = 'revisit'),
+s AS (SELECT *, CASE WHEN src IS NULL THEN 'no_response'
+    WHEN regexp_replace(e0, '^W/', '') = regexp_replace(e1, '^W/', '') THEN 'resolved'
+    WHEN e0 IS NOT NULL AND e1 IS NOT NULL THEN 'validator_mismatch'
+    WHEN m0 = m1 THEN 'resolved' WHEN m0 IS NOT NULL AND m1 IS NOT NULL THEN 'validator_mismatch'
+    ELSE 'unverified' END AS status FROM v),
+n AS (SELECT *, list_filter(h, lambda y: y.k NOT IN ({_KEPT})) AS allowed FROM s)
+SELECT record_id, target, status,
+  CASE WHEN status IN ('resolved', 'unverified') THEN src.r END AS refers_to,
+  CASE WHEN status IN ('resolved', 'unverified') THEN src.d END AS digest,
+  CASE WHEN status IN ('resolved', 'unverified') THEN array_to_string(list_sort(list_transform(
+    list_filter(src.h, lambda y: NOT list_contains(list_transform(allowed, lambda z: z.k), y.k)) || allowed,
+    lambda y: y.k || ': ' || y.v)), chr(10)) END AS headers
+FROM n
+"""
+
+OP4 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op4_topk_pivots": OP4, "op7_pii_spans": _spans_sql(), "op8_quality_rules": OP8, "op10_warc_revisit": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import dartminhash, packing, pii, quality_qda, quality_rules, sp_codec, token_transducer, toxicity
+from txlens.llm import dartminhash, packing, pii, quality_qda, quality_rules, sp_codec, token_transducer, topk_pivots, toxicity, warc_revisit
 from txlens.llm.common import held_out
 from txlens.llm.oracle import ORACLES
 
@@ -50,6 +50,11 @@ def op3_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  "predicted")
 
 
+@query
+def op4_topk_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_pivots.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 @query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_codec.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"),
@@ -78,6 +83,14 @@ def op9_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_revisit.resolve(warc_revisit.captures_of_pages(table(spark, sf_dir, "pages")))
+    text = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat_ws(
+        ": ", e["key"], e["value"]))), "\n")
+    return found.withColumn("headers", text)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
