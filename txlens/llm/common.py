@@ -61,6 +61,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def computed(value: Column) -> Column:
+    """``value`` computed in a step of its own (one row in, one row out): a filter on it is not
+    pushed below, where its expressions would be repeated for every mention."""
+    return F.explode(F.array(value))
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold of the classifiers' contract: crc32(doc_id as text) mod 5 is 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.common import fresh, held_out, ship_package
+from txlens.llm.common import computed, fresh, held_out, ship_package
 from txlens.llm.quality_rules import STOP_WORDS
 
 SHRINK_POOLED, SHRINK_IDENTITY = 0.3, 0.1
@@ -46,7 +46,7 @@ def statistics(df: DataFrame, out: str, text_col: str) -> DataFrame:
     lines = F.greatest(F.size(ln), F.lit(1)).cast("double")
     share = lambda keep: F.sqrt(F.length(F.regexp_replace(text, f"[^{keep}]+", "")) / chars)
     stop = [v for x in STOP_WORDS for v in (x, x.capitalize())]
-    return df.withColumn(out, F.array(
+    return df.withColumn(out, computed(F.array(
         F.log1p(F.size(w).cast("double")),
         F.log1p(F.length(F.array_join(F.col(w), "")) / n),
         share("#*$%&|<>~^=_"),
@@ -59,7 +59,7 @@ def statistics(df: DataFrame, out: str, text_col: str) -> DataFrame:
         F.size(F.array_distinct(F.col(ln))) / lines,
         F.sqrt(F.size(F.filter(F.col(w), lambda x: x.isin(stop))) / n),
         share("\\p{L}"),
-    )).drop(w, ln)
+    ))).drop(w, ln)
 
 
 @dataclass(frozen=True)

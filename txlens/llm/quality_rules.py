@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.common import fresh, let
+from txlens.llm.common import computed, fresh, let
 
 SYMBOLS = "#*$%&|<>"                     # fixed values of the contract
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50       # fixed values of the contract
@@ -97,7 +97,7 @@ def with_counts(df: DataFrame, text_col: str, out: str) -> DataFrame:
     df = df.withColumn(ln, F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\x09-\\x0D]")))
     stop = [v for x in STOP_WORDS for v in (x, x.capitalize())]
     only = lambda chars: F.length(F.regexp_replace(text, f"[^{chars}]+", "")).cast("bigint")
-    return df.withColumn(out, F.struct(
+    return df.withColumn(out, computed(F.struct(
         F.size(w).cast("bigint").alias("n_words"),
         F.length(F.array_join(F.col(w), "")).cast("bigint").alias("word_chars"),
         only(SYMBOLS).alias("n_symbols"),
@@ -107,7 +107,7 @@ def with_counts(df: DataFrame, text_col: str, out: str) -> DataFrame:
         F.size(F.filter(F.col(w), lambda x: x.isin(stop))).cast("bigint").alias("n_stop_words"),
         only("A-Z").alias("n_capitals"),
         F.size(F.filter(F.col(ln), lambda x: x.endswith("..."))).cast("bigint").alias("n_ellipsis_lines"),
-    )).drop(w, r, ln)
+    ))).drop(w, r, ln)
 
 
 def base_failed(c: Column) -> Column:
