@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,30 +68,32 @@ class WordTokenizer:
         for c in map(chr, range(0xC0, 0x100)):
             for b, m in zip(c.encode(), letters(c)[0][0]):
                 self.byte_char[b] = m
-        self.letters = Memo(self._letters, limit=300_000)
-        self.units = Memo(self._units, limit=300_000)
-        self.direct = True
+        self.letters = Memo(self._letters, limit=400_000)
+        self.units = Memo(self._units, limit=500_000)
         want = self.lib.encode(probe, add_special_tokens=False).ids
-        got = [int(i) for u in probe.split(" ") for i in self._unit(u)]
+        got = np.frombuffer(b"".join(self._units(probe.split(" "))), dtype=np.uint32).tolist()
         if got != want or self.lib.encode("ab cd x", add_special_tokens=False).ids != [
                 i for w in ("ab", "cd", "x") for i in self.lib.encode(w, add_special_tokens=False).ids]:
             raise ValueError("a vocabulary whose pre-tokenizer drops white space is needed")
 
-    def _letters(self, words: list[str]) -> list[list[int]]:
+    def _letters(self, words: list[str]) -> list[bytes]:
         chars, run = self.byte_char, self.lib.model.tokenize
-        return [[t.id for t in run("".join([chars[b] for b in w.lower().encode()]))] for w in words]
-
-    def _unit(self, unit: str) -> np.ndarray:
-        out: list[int] = []
-        for part in _UNIT.findall(unit):
-            if _LETTERS.fullmatch(part):
-                out += self.letters.get([part])[0]
-            else:
-                out += self.lib.encode(part, add_special_tokens=False).ids
-        return np.array(out, dtype=np.uint32)
-
-    def _units(self, units: list[str]) -> list[np.ndarray]:
-        return [self._unit(u) for u in units]
+        out = []
+        for w in words:
+            w = w.lower()
+            w = w if w.isascii() else "".join([chars[b] for b in w.encode()])
+            out.append(array("I", [t.id for t in run(w)]).tobytes())
+        return out
+
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit as 4-byte integers: the parts of all units are looked up together."""
+        parts = [_UNIT.findall(u) for u in units]
+        letters = [p for ps in parts for p in ps if _LETTERS.fullmatch(p)]
+        known = dict(zip(letters, self.letters.get(letters)))
+        other = list({p for ps in parts for p in ps if p not in known})
+        got = self.lib.encode_batch_fast(other, add_special_tokens=False) if other else []
+        known.update((p, array("I", e.ids).tobytes()) for p, e in zip(other, got))
+        return [known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]) for ps in parts]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, count per text)."""
@@ -100,8 +103,8 @@ class WordTokenizer:
         offsets = offsets - offsets[0]
         enc = values.dictionary_encode()
         codes, known = np.asarray(enc.indices, dtype=np.int64), self.units.get(enc.dictionary.to_pylist())
-        lengths = np.fromiter((len(k) for k in known), dtype=np.int64, count=len(known))
-        flat = np.concatenate(known) if known else np.zeros(0, np.uint32)
+        lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        flat = np.frombuffer(b"".join(known), dtype=np.uint32)
         ids = gather(flat, np.cumsum(lengths) - lengths, lengths, codes)
         ends = np.concatenate([[0], np.cumsum(lengths[codes])])
         return ids, ends[offsets[1:]] - ends[offsets[:-1]]
@@ -285,6 +288,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = BUCKE
         "offset")
     within = Window.partitionBy("_bucket", "length", "_slice").orderBy("doc_id", "piece")
     ranked = items.withColumn("_pos", F.row_number().over(within).cast("bigint") - 1)
-    ranked = ranked.join(offsets, ["_bucket", "length", "_slice"]).withColumn("_rank", F.col("_before") + F.col("_pos"))
+    # both sides are laid out by these keys already; the counts grow with the buckets, so no broadcast
+    ranked = ranked.join(offsets.hint("merge"), ["_bucket", "length", "_slice"]).withColumn("_rank", F.col("_before") + F.col("_pos"))
     return (ranked.join(slots, ["_bucket", "length", "_rank"])
             .select(*pieces.columns, "sequence_id", "offset"))
