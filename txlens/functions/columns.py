@@ -21,6 +21,15 @@ def parse_timestamp(c, fmt: str = TS_FORMAT) -> Column:
     return F.try_to_timestamp(col_(c), F.lit(fmt))
 
 
+def whole_number(c, kind: str) -> Column:
+    """Text -> bigint/int as a non-ANSI cast gives it: surrounding white space and a
+    fraction are dropped (``1.0`` -> 1, ``-2.9`` -> -2, ``.5`` -> 0); anything else that
+    is no plain number (``1e3``, ``abc``, empty) is NULL."""
+    text = col_(c).cast("string")
+    digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)(?:\.[0-9]*)?\s*$", 1)
+    return F.when(text.rlike(r"^\s*[+-]?\.[0-9]+\s*$"), F.lit(0).cast(kind)).otherwise(digits.try_cast(kind))
+
+
 def ratio(num, den) -> Column:
     return F.try_divide(col_(num), col_(den))
 
@@ -35,14 +44,14 @@ def pct(num, den, scale: int = 2) -> Column:
 
 
 def money_avg(c="TX_AMOUNT") -> Column:
-    """Mean of a money column rounded to cents (2 dp), exact and order-independent.
+    """Mean of a money column, rounded once to cents (2 dp).
 
-    Amounts are summed as integer cents, so the mean is the exact rational
-    sum/n and the HALF_UP rounding of a tie (x.xx5) does not depend on the
-    order in which partitions were summed (a double ``round(avg, 2)`` does).
+    The unrounded amounts are summed as decimals, so the mean and the HALF_UP
+    rounding of a tie (x.xx5) do not depend on the order in which partitions
+    were summed (a double ``round(avg, 2)`` does).
     """
-    cents = F.round(col_(c) * F.lit(100)).cast("bigint")
-    return F.round(F.try_divide(F.sum(cents), F.count(cents)), 0) / F.lit(100)
+    exact = col_(c).cast("decimal(28,10)")
+    return F.round(F.try_divide(F.sum(exact), F.count(exact)), 2).cast("double")
 
 
 def vertex_id(prefix: str, c) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlens.functions.columns import calendar_columns, is_night, is_weekend, parse_timestamp
+from txlens.functions.columns import calendar_columns, is_night, is_weekend, parse_timestamp, whole_number
 from txlens.operators.skew import HOT_KEY_ROWS, attach_group_stats
 from txlens.schema import BAD_ID_MARKER, BASE_COLUMNS, CLEANED_COLUMNS
 
@@ -45,15 +45,17 @@ def filter_valid_ids(raw: DataFrame, id_col: str = "TRANSACTION_ID") -> DataFram
 def cast_types(df: DataFrame) -> DataFrame:
     """Typed casts that give NULL on bad input (ANSI-safe).
 
-    Rows whose id does not parse are dropped as well (the reference keeps
-    them with a NULL id while its own test forbids NULL ids).
+    Whole numbers may be written with a fraction or spaces (``1.0``, `` 7 ``),
+    as spreadsheets export them.  Rows whose id is still no number are dropped
+    (``reject_rows`` reports them): ids of the cleaned table are never NULL.
     """
     exprs = []
     for c in df.columns:
         if c == "TX_DATETIME":
             exprs.append(parse_timestamp(F.col(c).cast("string")).alias(c))
         elif c in _CASTS:
-            exprs.append(F.col(c).try_cast(_CASTS[c]).alias(c))
+            whole = _CASTS[c] != "double" and df.schema[c].dataType.typeName() == "string"
+            exprs.append((whole_number(c, _CASTS[c]) if whole else F.col(c).try_cast(_CASTS[c])).alias(c))
         else:
             exprs.append(F.col(c))
     out = df.select(*exprs)
@@ -141,5 +143,5 @@ def reject_rows(raw: DataFrame) -> DataFrame:
     idc = F.col("TRANSACTION_ID")
     reason = (F.when(idc.isNull(), F.lit("null_id"))
                .when(idc == F.lit(BAD_ID_MARKER), F.lit("error_marker"))
-               .when(idc.try_cast("bigint").isNull(), F.lit("non_numeric_id")))
+               .when(whole_number(idc, "bigint").isNull(), F.lit("non_numeric_id")))
     return raw.select("*", reason.alias("reject_reason")).filter(F.col("reject_reason").isNotNull())

@@ -21,11 +21,6 @@ from txlens.operators.graph.layout import SaltedAdjacency
 from txlens.operators.skew import HOT_KEY_ROWS
 from txlens.session import ensure_checkpoint_dir
 
-# --- fixed labels of the exposure report ----------------------------------
-LEVEL_SHARED_POS = "Direct Exposure via Shared POS"
-LEVEL_HOP2 = "Hop 2 (Direct Exposure)"
-# --------------------------------------------------------------------------
-
 
 def _path_cols(hops: int) -> list[str]:
     return ["from"] + [f"v{i}" for i in range(1, hops)] + ["to"]
@@ -83,26 +78,19 @@ def hop_distance(vertices: DataFrame, edges: DataFrame, from_expr: str, max_hops
 
 
 def victim_exposure(paths: DataFrame) -> DataFrame:
-    """G9 + A16: customers reached by BFS with the terminals that expose them.
+    """G9 + A16: customers on BFS paths with the terminals that expose them.
 
-    The customer at the end of a path is exposed through the terminal just
-    before it; an intermediate customer at hop 2 through the first terminal.
-    """
+    On a customer-terminal graph every second vertex of a path is a customer,
+    exposed through the terminal before it; the level is its hop number.  Lists
+    hold a victim's distinct terminals, which its own edges bound."""
     cols = paths.columns
-    hops = len(cols) - 1
-    parts = [paths.select(F.col("to").alias("Victim_Customer"),
-                          F.col(cols[-2]).alias("Compromised_POS_Terminal"),
-                          F.lit(LEVEL_SHARED_POS).alias("Risk_Exposure_Level"))]
-    if hops >= 3:
-        parts.append(paths.select(F.col("v2").alias("Victim_Customer"),
-                                  F.col("v1").alias("Compromised_POS_Terminal"),
-                                  F.lit(LEVEL_HOP2).alias("Risk_Exposure_Level")))
-    allv = parts[0]
-    for p in parts[1:]:
-        allv = allv.unionByName(p)
-    allv = allv.filter(F.col("Victim_Customer").isNotNull()).dropDuplicates()
-    return (allv.groupBy("Victim_Customer")
-                .agg(F.count("Compromised_POS_Terminal").alias("Exposed_POS_Count"),
-                     F.concat_ws(", ", F.array_sort(F.collect_set("Compromised_POS_Terminal"))).alias("Exposed_POS_List"),
-                     F.concat_ws(", ", F.array_sort(F.collect_set("Risk_Exposure_Level"))).alias("Exposure_Levels"))
-                .orderBy(F.desc("Exposed_POS_Count"), F.asc("Victim_Customer")))
+    hops = F.array(*[F.struct(F.col(cols[h]).alias("victim"), F.col(cols[h - 1]).alias("terminal"), F.lit(h).alias("hop"))
+                     for h in range(2, len(cols), 2)]) if len(cols) > 2 else F.array(
+        F.struct(F.col(cols[-1]).alias("victim"), F.col(cols[0]).alias("terminal"), F.lit(1).alias("hop")))
+    exposed = (paths.select(F.explode(hops).alias("e")).select("e.*").filter(F.col("victim").isNotNull())
+               .groupBy("victim", "terminal").agg(F.min("hop").alias("hop")))
+    text = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ", ")
+    return (exposed.groupBy(F.col("victim").alias("Victim_Customer"))
+            .agg(F.count("terminal").alias("Exposed_POS_Count"), text("terminal").alias("Exposed_POS_List"),
+                 text(F.concat(F.lit("Hop "), F.col("hop"))).alias("Exposure_Levels"))
+            .orderBy(F.desc("Exposed_POS_Count"), F.asc("Victim_Customer")))

@@ -52,7 +52,7 @@ def q_bidir(spark, sf):
     return build.bidirectional_edges(graph_c(spark, sf).edges, EDGE_COLS)
 
 
-@query("month_graph", with_("edges_c") + "SELECT src, dst, TRANSACTION_ID FROM edges_c")
+@query("month_graph", with_("edges_m") + "SELECT src, dst, TRANSACTION_ID FROM edges_m")
 def q_month_graph(spark, sf):
     """The 1998-04 graph of mapping B (terminal = part), month equality filter."""
     tx = ad.add_features(ad.transactions_from_lineitem(
@@ -203,7 +203,7 @@ def q_bfs_pairs(spark, sf):
 
 @query("victim_exposure", with_("root_a", "und_a") + f"""SELECT "to" AS Victim_Customer, count(v1) AS Exposed_POS_Count,
   string_agg(DISTINCT v1, ', ' ORDER BY v1) AS Exposed_POS_List,
-  'Direct Exposure via Shared POS' AS Exposure_Levels
+  'Hop 2' AS Exposure_Levels
 FROM (SELECT DISTINCT "to", v1 FROM ({_BFS_SQL}) p) d GROUP BY "to\"""")
 def q_victims(spark, sf):
     """Exposed customers with their shared terminals."""
@@ -274,8 +274,8 @@ def q_largest(spark, sf):
 
 _RING_SQL = (f"SELECT l.label AS community_label, count(e.TRANSACTION_ID) AS Total_Transactions, "
              f"{I64('sum(CASE WHEN e.TX_FRAUD = 1 THEN 1 ELSE 0 END)')} AS Fraud_Transactions, "
-             f"sum(CASE WHEN e.TX_FRAUD = 1 THEN e.TX_AMOUNT ELSE 0 END) AS Total_Fraud_Amount, "
-             f"sum(e.TX_AMOUNT) AS Total_Transaction_Amount, "
+             "CAST(sum(CASE WHEN e.TX_FRAUD = 1 THEN CAST(e.TX_AMOUNT AS DECIMAL(28,10)) ELSE 0 END) AS DOUBLE) "
+             "AS Total_Fraud_Amount, CAST(sum(CAST(e.TX_AMOUNT AS DECIMAL(28,10))) AS DOUBLE) AS Total_Transaction_Amount, "
              f"{R('sum(CASE WHEN e.TX_FRAUD = 1 THEN 1 ELSE 0 END) / count(e.TRANSACTION_ID) * 100', 2)} AS Fraud_Rate_Pct "
              "FROM edges_c e JOIN labels_c l ON e.src = l.id GROUP BY l.label")
 
@@ -341,13 +341,19 @@ def q_community_report(spark, sf):
     return community.community_report(members, g.edges, 20)
 
 
-@query("connected_components", with_("vert_c", "und_c") + """, reach AS (
-  SELECT * FROM (WITH RECURSIVE r(id, comp) AS (
-    SELECT id, id FROM vert_c
-    UNION
-    SELECT u.dst, r.comp FROM r JOIN und_c u ON r.id = u.src)
-  SELECT id, min(comp) AS component FROM r GROUP BY id))
-SELECT v.id, v.type, reach.component FROM vert_c v JOIN reach ON v.id = reach.id""")
+def _components_sql(rounds: int = 24) -> str:
+    """Smallest label of a vertex and its neighbours, round by round; more rounds than
+    the longest shortest path of the graph give its components."""
+    extra = {"cc_0": ("SELECT id, id AS label FROM vert_c", ["vert_c"])}
+    for i in range(1, rounds + 1):
+        extra[f"cc_{i}"] = (f"""SELECT v.id, least(v.label, coalesce(n.label, v.label)) AS label FROM cc_{i - 1} v
+  LEFT JOIN (SELECT u.dst AS id, min(p.label) AS label FROM und_c u JOIN cc_{i - 1} p ON p.id = u.src GROUP BY u.dst) n
+  ON n.id = v.id""", [f"cc_{i - 1}", "und_c"])
+    return with_(f"cc_{rounds}", "vert_c", extra=extra) + (
+        f"SELECT v.id, v.type, c.label AS component FROM vert_c v JOIN cc_{rounds} c ON v.id = c.id")
+
+
+@query("connected_components", _components_sql())
 def q_components(spark, sf):
     """Connected components (smallest member id) of mapping C."""
     g = graph_c(spark, sf)

@@ -20,8 +20,8 @@ def R6(expr: str) -> str:
 
 
 def AVG2(col: str) -> str:
-    """Mean of a money column to cents, as ``functions.money_avg``."""
-    return f"(round(sum(CAST(round({col} * 100) AS BIGINT)) / count({col})) / 100)"
+    """Mean of the unrounded amounts, rounded once to cents (2 dp)."""
+    return R(f"sum(CAST({col} AS DECIMAL(28,10))) / count({col})", 2)
 
 
 def I64(expr: str) -> str:
@@ -90,12 +90,15 @@ def _lpa_steps(prefix: str, vertices: str, edges: str, steps: int) -> dict[str,
 CTES: dict[str, tuple[str, list[str]]] = {
     "tx_a": (_TX_A, []),
     "tx_b": (_tx_b("l_suppkey"), []),
-    "tx_c": (_tx_b("l_partkey", "WHERE l_shipdate >= TIMESTAMP '1998-04-01' AND l_shipdate < TIMESTAMP '1998-05-01'"), []),
+    "tx_c": (_tx_b("l_partkey"), []),
+    "tx_m": (_tx_b("l_partkey", "WHERE l_shipdate >= TIMESTAMP '1998-04-01' AND l_shipdate < TIMESTAMP '1998-05-01'"), []),
     "feat_a": (features_sql("tx_a"), ["tx_a"]),
     "feat_b": (features_sql("tx_b"), ["tx_b"]),
     "feat_c": (features_sql("tx_c"), ["tx_c"]),
+    "feat_m": (features_sql("tx_m"), ["tx_m"]),
     "edges_a": (_edges("feat_a"), ["feat_a"]),
     "edges_c": (_edges("feat_c"), ["feat_c"]),
+    "edges_m": (_edges("feat_m"), ["feat_m"]),
     "vert_a": (_vertices("edges_a"), ["edges_a"]),
     "vert_c": (_vertices("edges_c"), ["edges_c"]),
     "und_a": ("SELECT DISTINCT src, dst FROM edges_a UNION SELECT DISTINCT dst, src FROM edges_a", ["edges_a"]),

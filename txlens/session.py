@@ -48,7 +48,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: only happens in tests / local runs.
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="txlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")

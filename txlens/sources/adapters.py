@@ -2,7 +2,7 @@
 
 Mapping A  events              -> transactions (one month, time of day, dense graph)
 Mapping B  lineitem x orders   -> transactions (many months, midnight timestamps)
-Mapping C  B in one month, terminal = part (sparse graph for communities)
+Mapping C  B with terminal = part (the graph for communities)
 Mapping D  customer / supplier -> customer and terminal profiles on a grid
 
 The adapters only project and join; filters on raw columns (e.g. the month
@@ -71,10 +71,31 @@ def raw_from_events(events: DataFrame) -> DataFrame:
     ])
 
 
+def with_dirt(raw: DataFrame) -> DataFrame:
+    """Spoil a fixed share of the raw text, by the number in the id: ids that are
+    missing, marked, no number, or whole numbers with a fraction or spaces; labels and
+    times with a fraction; amounts, days and timestamps that do not parse."""
+    n = F.col("TRANSACTION_ID").try_cast("bigint")
+    at = lambda m, k: n % m == k
+    txt = lambda c, suffix: F.concat(F.col(c), F.lit(suffix))
+    spoiled = {
+        "TRANSACTION_ID": F.when(at(97, 1), F.lit("#VALUE!")).when(at(97, 2), F.lit(None).cast("string"))
+        .when(at(97, 3), F.concat(F.lit("abc"), F.col("TRANSACTION_ID"))).when(at(97, 4), txt("TRANSACTION_ID", ".0"))
+        .when(at(97, 5), F.concat(F.lit("  "), F.col("TRANSACTION_ID"), F.lit(" "))).when(at(97, 6), F.lit("1e3")),
+        "TX_FRAUD": F.when(at(89, 1), txt("TX_FRAUD", ".0")),
+        "TX_AMOUNT": F.when(at(89, 2), F.lit("n/a")).when(at(89, 3), F.lit("")),
+        "TX_TIME_DAYS": F.when(at(89, 4), txt("TX_TIME_DAYS", ".0")).when(at(89, 5), F.lit(".5")),
+        "TX_TIME_SECONDS": F.when(at(89, 6), txt("TX_TIME_SECONDS", ".9")),
+        "TX_FRAUD_SCENARIO": F.when(at(89, 7), F.lit("x")),
+        "TX_DATETIME": F.when(at(83, 1), F.lit("not a date")),
+    }
+    return raw.select(*[(spoiled[c].otherwise(F.col(c)) if c in spoiled else F.col(c)).alias(c) for c in raw.columns])
+
+
 def transactions_from_lineitem(lineitem: DataFrame, orders: DataFrame, month: str | None = None,
                                terminal: str = "l_suppkey",
                                fraud_price: float = LINEITEM_FRAUD_PRICE) -> DataFrame:
-    """Mapping B (terminal=l_suppkey) or C (month given, terminal=l_partkey)."""
+    """Mapping B (terminal=l_suppkey) or C (terminal=l_partkey), of one month if given."""
     li = lineitem.select("l_orderkey", "l_linenumber", terminal, "l_extendedprice", "l_shipdate")
     if month is not None:
         lo, hi = month_bounds(month)
@@ -119,8 +140,8 @@ def lineitem_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_from_lineitem(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders"))
 
 
-def sparse_tx(spark: SparkSession, sf_dir: str, month: str = SPARSE_MONTH, month_features: bool = False) -> DataFrame:
-    """Mapping C, cleaned: one month, terminal = part; see ``events_tx``."""
+def sparse_tx(spark: SparkSession, sf_dir: str, month: str | None = None, month_features: bool = False) -> DataFrame:
+    """Mapping C, cleaned: terminal = part, every month unless one is named; see ``events_tx``."""
     return add_features(transactions_from_lineitem(read_table(spark, sf_dir, "lineitem"),
                                                    read_table(spark, sf_dir, "orders"),
                                                    month=month, terminal="l_partkey"), month_features)

@@ -9,12 +9,12 @@ from txlens.operators.clean import clean_transactions
 from txlens.schema import RAW_SCHEMA
 
 
-def read_raw_csv(spark: SparkSession, paths, multiline: bool = True) -> DataFrame:
+def read_raw_csv(spark: SparkSession, paths, multiline: bool = False) -> DataFrame:
     """Headered CSV, every column a string (explicit schema, no inference).
 
     ``paths`` may be one path, a glob, or a list; Spark expands globs itself.
-    multiLine keeps quoted newlines inside a field (it makes each file one
-    split, so prefer many files of moderate size at scale).
+    ``multiline`` keeps quoted newlines inside a field, but makes each file one
+    task, so it must be asked for.
     """
     if isinstance(paths, str):
         paths = [paths]
