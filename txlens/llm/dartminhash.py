@@ -58,6 +58,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def _by_document_and_value(doc: np.ndarray, h: np.ndarray, n_docs: int) -> np.ndarray:
+    """Order by (doc, h): one sort of packed integers; in the rare case that different values
+    share their leading bits, and for very many documents, a sort by both columns."""
+    if n_docs < 1 << 20:
+        packed = (doc.astype(np.uint64) << _U(44)) | (h >> _U(20))
+        order = np.argsort(packed)
+        p, v = packed[order], h[order]
+        if not ((p[1:] == p[:-1]) & (v[1:] != v[:-1])).any():
+            return order
+    return np.lexsort((h, doc))
+
+
 def shingles(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, element, count) of the distinct shingles of hashed words, by document and element."""
     words = words.view(np.uint64)
@@ -72,7 +84,7 @@ def shingles(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
         inside = at < end
         step = mix(h + words[np.minimum(at, len(words) - 1)]) if len(words) else h
         h = np.where(inside, step, h)
-    order = np.lexsort((h, doc))
+    order = _by_document_and_value(doc, h, len(n))
     doc, h = doc[order], h[order]
     new = np.ones(len(doc), dtype=bool)
     new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
@@ -114,14 +126,11 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs:
         mine = todo[doc]
         d, j, rank, name = _throw(doc[mine], element[mine], weight[mine], bound, k)
         key = d * k + j
-        order = np.lexsort((name, rank, key))
-        key, name = key[order], name[order]
-        least = np.ones(len(key), dtype=bool)
-        least[1:] = key[1:] != key[:-1]
-        filled = np.bincount(key[least] // k, minlength=n_docs) == k
-        done = todo & filled
-        take = least & done[key // k]
-        sig.reshape(-1)[key[take]] = name[take]
+        least = np.full(n_docs * k, np.inf)
+        np.minimum.at(least, key, rank)
+        filled = np.isfinite(least).reshape(n_docs, k).all(1)
+        hit = (rank == least[key]) & (todo & filled)[d]
+        sig.reshape(-1)[key[hit]] = name[hit]
         todo &= ~filled
         bound = bound * 2
     return sig
