@@ -36,6 +36,24 @@ def test_night_spikes_sigma_zero_and_single_row(spark):
     assert np.isclose(r["cust_avg"], np.mean(amounts)) and np.isclose(r["cust_std"], np.std(amounts, ddof=1))
 
 
+def test_night_spike_customers_equal_rows_of_night_spikes(spark):
+    import collections
+    data = [(i, ts(12, i % 28 + 1), i % 3, i % 5, 10.0 + i % 2, 0, i % 7 == 0, 0) for i in range(150)]
+    data += [(1000 + i, ts(i % 5, 2), i % 2, i, 500.0 + i, 0, 1, 1) for i in range(4)]
+    data = [(*d[:6], int(d[6]), d[7]) for d in data]
+    frame = tx(spark, data)
+    seen = collections.defaultdict(list)
+    for r in behavior.night_spikes(frame).collect():
+        seen[r["CUSTOMER_ID"]].append(r)
+    got = {r["CUSTOMER_ID"]: r for r in behavior.night_spike_customers(frame, min_terminals=0).collect()}
+    assert set(got) == set(seen) and seen
+    for c, rs in seen.items():
+        assert got[c]["night_spike_tx_count"] == len(rs)
+        assert got[c]["unique_pos_count"] == len({r["TERMINAL_ID"] for r in rs})
+        assert got[c]["max_spike_amount"] == max(r["TX_AMOUNT"] for r in rs)
+        assert got[c]["fraud_cases_detected"] == sum(r["TX_FRAUD"] for r in rs)
+
+
 def test_exact_quantiles_match_numpy(spark):
     vals = [float(x) for x in [5, 1, 9, 3, 3, 7, 2, 8, 10, 4, 6]]
     df = spark.createDataFrame([(v,) for v in vals], "v double")

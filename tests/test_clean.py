@@ -80,3 +80,25 @@ def test_month_features_plan_has_no_window(spark):
     out = clean.clean_transactions(raw_df(spark))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_whole_numbers_as_a_plain_cast_gives_them(spark):
+    from txlens.functions.columns import whole_number
+    want = {"1.0": 1, " 7 ": 7, "-2.9": -2, "3.": 3, ".5": 0, "+4": 4, "1e3": None, "1.x": None, "": None, "abc": None,
+            "99999999999999999999": None}
+    df = spark.createDataFrame([(k,) for k in want], "t string")
+    assert {r["t"]: r["n"] for r in df.select("t", whole_number("t", "bigint").alias("n")).collect()} == want
+
+
+def test_labels_written_with_a_fraction_survive(spark):
+    row = ("1.0", "2018-04-06 00:30:00", "10.0", "100", "12.50", "1800.0", "1.0", "1.0", "1.0")
+    got = clean.clean_transactions(spark.createDataFrame([row], RAW_SCHEMA)).collect()[0]
+    assert (got["TRANSACTION_ID"], got["CUSTOMER_ID"], got["TX_FRAUD"], got["TX_FRAUD_SCENARIO"], got["TX_TIME_DAYS"]) == (
+        1, 10, 1, 1, 1)
+
+
+def test_average_rounds_once(spark):
+    from txlens.functions.columns import money_avg
+    for amounts, want in (((1.004, 1.004, 1.011), 1.01), ((1.0, 1.006), 1.00), ((50.26, 50.27), 50.27)):
+        df = spark.createDataFrame([(a,) for a in amounts], "TX_AMOUNT double")
+        assert df.agg(money_avg("TX_AMOUNT")).first()[0] == want

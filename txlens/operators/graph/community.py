@@ -20,7 +20,7 @@ from txlens.functions.columns import pct
 from txlens.functions.stats import one_row
 from txlens.operators.graph.build import simple_undirected_edges, weighted_undirected_edges
 from txlens.operators.graph.layout import SaltedAdjacency
-from txlens.operators.skew import HOT_KEY_ROWS
+from txlens.operators.skew import HOT_KEY_ROWS, attach_group_stats
 from txlens.schema import CUSTOMER_PREFIX, CUSTOMER_TYPE, TERMINAL_PREFIX, TERMINAL_TYPE
 from txlens.session import ensure_checkpoint_dir
 
@@ -88,8 +88,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset_probability: float = 0
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
     w = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
-    outdeg = w.groupBy("src").agg(F.sum("w").alias("deg"))
-    links = SaltedAdjacency(w.join(outdeg, "src").select("src", "dst", (F.col("w") / F.col("deg")).alias("share")),
+    links = SaltedAdjacency(attach_group_stats(w, ["src"], {"deg": F.sum("w")}, hot_rows).select("src", "dst", (F.col("w") / F.col("deg")).alias("share")),
                             hot_rows, "pr_links")
     vcols = [c for c in vertices.columns if c != "pagerank"]
     ranks = vertices.select(*vcols, F.lit(1.0).alias("pagerank")).checkpoint(eager=True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.functions.columns import pct
+from txlens.operators.skew import attach_group_stats
 from txlens.schema import CUSTOMER_PREFIX, TERMINAL_PREFIX
 
 
@@ -78,6 +79,10 @@ def high_risk_terminals(edges: DataFrame, min_fraud: int = 5, min_rate: float =
 
 
 def high_risk_subgraph_edges(edges: DataFrame, min_fraud: int = 5, min_rate: float = 15.0) -> DataFrame:
-    """Only the edges into high-risk terminals (semi-join, all vertices kept)."""
-    risky = high_risk_terminals(edges, min_fraud, min_rate).select(F.col("dst").alias("_t"))
-    return edges.join(risky, edges.dst == risky._t, "left_semi")
+    """Only the edges into high-risk terminals (all vertices kept).
+
+    Each edge gets its terminal's counts; a hot terminal is split over tasks."""
+    into = attach_group_stats(edges.filter(F.col("dst").startswith(TERMINAL_PREFIX)), ["dst"],
+                              {"_tx": F.count("TRANSACTION_ID"), "_frauds": F.sum("TX_FRAUD")})
+    risky = (F.col("_frauds") >= min_fraud) | (pct("_frauds", "_tx", 2) > min_rate)
+    return into.filter(risky).select(*edges.columns)

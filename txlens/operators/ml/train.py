@@ -62,26 +62,28 @@ def evaluate(predictions: DataFrame, label: str = LABEL) -> dict:
 
 
 def train_and_evaluate(df: DataFrame, features: list[str] | None = None, model: str = "logistic",
-                       train_ratio: float = 0.8, seed: int = 42, id_col: str = "TRANSACTION_ID") -> TrainResult:
-    """M5: prepare -> hash split -> weights from the train side -> fit -> predict -> evaluate."""
+                       train_ratio: float = 0.8, seed: int = 42, id_col: str = "TRANSACTION_ID",
+                       weights_from: str = "all") -> TrainResult:
+    """M5: prepare -> weights -> hash split -> fit -> predict -> evaluate.
+
+    ``weights_from``: class weights from ``all`` prepared rows, or from the
+    ``train`` side only.  The prepared rows are computed once and kept while
+    weights, fit and evaluation read them."""
     features = features or ML_FEATURES
-    prepared = prepare_features(df, features, keep=[id_col])
-    train, test = hash_split(prepared, id_col, (train_ratio, 1.0 - train_ratio), seed)
-    train = add_class_weights(train).persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = prepare_features(df, features, keep=[id_col]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        rows = add_class_weights(prepared) if weights_from == "all" else prepared
+        train, test = hash_split(rows, id_col, (train_ratio, 1.0 - train_ratio), seed)
+        if weights_from == "train":
+            train = add_class_weights(train)
         if train.select(LABEL).distinct().limit(2).count() < 2:
             raise ValueError("Training split contains only one class.")
         if test.isEmpty():
             raise ValueError("Test split is empty.")
         fitted = build_pipeline(features, model=model, seed=seed).fit(train)
-    finally:
-        train.unpersist()
-    # the two evaluator passes read the test side once from cache, not twice from the source
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
         metrics = evaluate(fitted.transform(test))
     finally:
-        test.unpersist()
+        prepared.unpersist()
     return TrainResult(fitted, metrics, fitted.transform(test))
 
 
