@@ -30,12 +30,14 @@ def vocabulary(name: str) -> str:
 
 @query
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents in sequences of at most 2048 tokens."""
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text, learnt outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
@@ -44,6 +46,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text, learnt outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
     model = quality_qda.fit(docs, table(spark, sf_dir, "labels"))
     return quality_qda.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
@@ -52,22 +55,26 @@ def op3_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_topk_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 largest integer inner products of every query vector (id divisible by 50)."""
     return topk_pivots.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
 @query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every whole text and their decoding, as counts and hashes."""
     return sp_codec.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"),
                                      digests_only=True)
 
 
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text by the compiled transducer."""
     return token_transducer.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
 @query
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every whole text."""
     found = pii.find(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"),
                         "spans", "scores")
@@ -75,16 +82,19 @@ def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rule and verdict of the rule table for every whole text."""
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
 
 
 @query
 def op9_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
     return dartminhash.classes(table(spark, sf_dir, "documents"))
 
 
 @query
 def op10_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisit captures derived from all pages, resolved to full responses."""
     found = warc_revisit.resolve(warc_revisit.captures_of_pages(table(spark, sf_dir, "pages")))
     text = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat_ws(
         ": ", e["key"], e["value"]))), "\n")
