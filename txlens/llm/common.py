@@ -117,12 +117,19 @@ _WORKER: dict = {}
 
 
 def worker_once(key: tuple, make: Callable):
-    """``make()`` once per Python worker process and key."""
+    """``make()`` once per Python worker process and key.  One such object is kept at a
+    time: a worker that goes on to another operator's tasks drops the last one's caches."""
     if key not in _WORKER:
+        _WORKER.clear()
         _WORKER[key] = make()
     return _WORKER[key]
 
 
+def release_worker() -> None:
+    """Drop what an earlier operator has left in this Python worker."""
+    _WORKER.clear()
+
+
 def file_key(data: bytes) -> tuple[int, int]:
     return len(data), zlib.crc32(data)
 

@@ -15,11 +15,12 @@ Classes, without listing all pairs of a group:
    minimum of their fingerprint);
 2. signatures are cut into bands; documents that share a band's key form a
    bucket;
-3. in each bucket the first document is compared with the others, by their
+3. in each bucket the first document - the one with most links so far, then the smallest
+   id, so that an original leads its copies - is compared with the others, by their
    exact shingle sets; pairs that reach the similarity are links, and
    connected links are classes;
 4. compared firsts leave their buckets; a bucket whose documents still have different
-   classes goes on with more firsts (four times as many each round), comparing only
+   classes goes on with more firsts (four times as many each round from the third on), comparing only
    documents of different classes, until none is left.  So every two documents that share a
    bucket end up in one class or have been compared, and the pairs made
    stay near the number of documents unless unlike documents crowd a bucket.
@@ -43,11 +44,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.common import ship_package, staged
+from txlens.llm.common import release_worker, ship_package, staged
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5                        # 0.8 ** 5 = 0.33 a band: one pair in 14,000 at 0.8 meets in none
-MAX_ELEMENTS = 2_000_000                   # shingles hashed together in a task
+MAX_ELEMENTS = 300_000                     # words hashed together in a task: bounds its memory
+PAIRS_PER_DOCUMENT = 2                     # when no more pairs are left than this, they are compared in one round
 _U = np.uint64
 
 
@@ -166,6 +168,7 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands:
     id_type = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             values, offsets = _lists(batch)
             for a, b in _parts(offsets):
@@ -202,6 +205,7 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id_type = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             values, offsets = _lists(batch)
             for a, b in _parts(offsets):
@@ -260,14 +264,19 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     wanted = staged(bucket.select("doc").distinct(), "candidates")
     texts = narrow.join(wanted, "doc", "left_semi")
     sets = staged(shingle_sets(texts, "doc", "t").withColumnRenamed("doc_id", "doc").dropDuplicates(["doc"]), "sets")
-    links, labels, firsts = None, None, 1
-    bucket = bucket.withColumn("label", F.col("doc"))
+    links, labels, firsts, n_docs = None, None, 1, sig.count()
+    bucket = bucket.withColumn("label", F.col("doc")).withColumn("degree", F.lit(0).cast("bigint"))
+    rounds = 0
     while True:
         group = staged(bucket.groupBy("key").agg(
-            F.count(F.lit(1)).alias("size"), F.min("doc").alias("first"), F.min("label").alias("low"),
-            F.max("label").alias("high")).filter("size > 1 AND low < high").select("key", "size", "first"), "groups")
+            F.count(F.lit(1)).alias("size"), F.min(F.struct((-F.col("degree")).alias("d"), F.col("doc"))).alias("f"),
+            F.min("label").alias("low"), F.max("label").alias("high")).filter("size > 1 AND low < high")
+            .select("key", "size", F.col("f.doc").alias("first")), "groups")
         if group.isEmpty():
             break
+        crowd = group.agg(F.sum(F.col("size") * F.col("size")).alias("pairs"), F.max("size").alias("size")).first()
+        if crowd["pairs"] <= PAIRS_PER_DOCUMENT * n_docs:
+            firsts = crowd["size"]                # few enough to compare all that is left at once
         every = F.greatest(F.ceil(F.col("size") / F.lit(firsts)), F.lit(1))
         open_ = staged(bucket.join(group, "key").withColumn("leads", (F.col("doc") == F.col("first")) | (
             (F.lit(firsts) > 1) & (F.pmod(F.xxhash64("doc", "key"), every) == 0))), "open")
@@ -282,9 +291,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
         links = found if links is None else links.union(found)
         labels = components(links)
         rest = open_.filter(~F.col("leads")).select("key", "doc", "n")
-        bucket = staged(rest.join(labels, "doc", "left").select(
-            "key", "doc", "n", F.coalesce("label", "doc").alias("label")), "buckets")
-        firsts *= 4
+        ends = links.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(
+            F.count(F.lit(1)).alias("degree"))
+        bucket = staged(rest.join(labels, "doc", "left").join(ends, "doc", "left").select(
+            "key", "doc", "n", F.coalesce("label", "doc").alias("label"),
+            F.coalesce("degree", F.lit(0).cast("bigint")).alias("degree")), "buckets")
+        rounds += 1
+        firsts = 4 ** max(0, rounds - 1)
     if labels is not None:
         reps = staged(reps.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc")), "classes")
     else:
