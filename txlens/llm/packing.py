@@ -172,13 +172,13 @@ class Planner:
         self.used[length] += n
         self.left[length] -= n
 
-    def _exact(self, gap: int) -> tuple[int, ...] | None:
-        """Available lengths, one to three of them, that fill ``gap`` exactly; long ones first."""
+    def _exact(self, gap: int, most: int = 3) -> tuple[int, ...] | None:
+        """Available lengths, at most ``most`` of them, that fill ``gap`` exactly; few and long ones first."""
         left = self.left
         if left[gap]:
             return (gap,)
-        pair = self._pair(gap, gap - 1)
-        if pair:
+        pair = self._pair(gap, gap - 1) if most > 1 else None
+        if pair or most < 3:
             return pair
         for a in (np.nonzero(left[gap // 3 + (gap % 3 > 0):gap - 1])[0][::-1] + gap // 3 + (gap % 3 > 0)).tolist():
             left[a] -= 1
@@ -225,15 +225,21 @@ class Planner:
                 self.left[length] -= 1
                 combo = self._exact(cap - length)
                 self.left[length] += 1
-                if combo is None:
+                if combo is None and 2 * length <= cap:
                     break
+                if combo is None:
+                    # two such pieces never share a sequence, so this one takes the longest
+                    # that fits before shorter ones use it up among themselves
+                    fits = np.nonzero(self.left[:cap - length + 1])[0]
+                    combo = (int(fits[-1]),) if len(fits) else ()
                 whole = (length, *combo)
                 n = min(int(self.left[x]) // whole.count(x) for x in whole)
-                offset = 0
+                first, offset = self.sequences, 0
+                self.sequences += n
                 for x in whole:
-                    self._put(x, self.sequences, n, offset)
+                    self._put(x, first, n, offset)
                     offset += x
-                self.sequences += n
+                self._fill(first, n, cap - offset)
         for length in range(cap - 1, 0, -1):              # best fit of the residuals
             while self.left[length]:
                 n = int(self.left[length])
@@ -290,5 +296,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = BUCKE
     ranked = items.withColumn("_pos", F.row_number().over(within).cast("bigint") - 1)
     # both sides are laid out by these keys already; the counts grow with the buckets, so no broadcast
     ranked = ranked.join(offsets.hint("merge"), ["_bucket", "length", "_slice"]).withColumn("_rank", F.col("_before") + F.col("_pos"))
-    return (ranked.join(slots, ["_bucket", "length", "_rank"])
+    # a slot per piece: never small, though the plan rows that it is made from are
+    return (ranked.join(slots.hint("merge"), ["_bucket", "length", "_rank"])
             .select(*pieces.columns, "sequence_id", "offset"))
