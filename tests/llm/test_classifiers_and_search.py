@@ -52,6 +52,29 @@ def test_toxicity_held_out_and_edges(spark):
     assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), labels.limit(0))).count() == 0
 
 
+def test_toxicity_knows_a_wide_vocabulary():
+    rnd = random.Random(4)
+    word = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    bad, common = [word(7) for _ in range(300)], [word(rnd.randint(3, 8)) for _ in range(400)]
+    plain = lambda: [rnd.choice(common) for _ in range(60)]
+    toxic = []
+    for i in range(900):                  # every bad word in about 12 of the 600 dictionary texts
+        w = plain()
+        for k in range(6):
+            w.insert(rnd.randrange(len(w)), bad[(6 * i + k * 7) % len(bad)])
+        toxic.append(" ".join(w))
+    model = toxicity.train(toxic, [" ".join(plain()) for _ in range(2400)], 0.3)
+    assert all(f" {toxicity.normal(b)} ".encode() in model.toxic for b in bad)
+    distance = toxicity.Distance(model.ordinary, model.toxic)
+    saved = []
+    for b in bad:
+        w = plain()
+        w[30] = b
+        saved.append(distance.statistics(" ".join(w))[0])
+    assert np.mean(saved) >= 3 and np.mean(np.array(saved) >= 2) > 0.9
+    assert np.mean([distance.statistics(" ".join(plain()))[0] for _ in range(100)]) < 2
+
+
 def test_held_out_labels_teach_nothing(spark):
     texts, toxic, good = corpus()
     docs = documents(spark, texts)

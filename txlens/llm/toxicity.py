@@ -8,9 +8,10 @@ saves are the window's distance.  A text's windows give a few statistics
 labelled rows that trained no dictionary turns them into a score.
 
 The toxic dictionary is trained on what is peculiar to toxic texts: words, or starts
-of words, seen after many different words there and hardly ever in ordinary texts.
-Counting neighbours, not occurrences, keeps out words that are frequent only
-because a text has copies.
+of words, seen after more different words there than chance explains and hardly ever
+in ordinary texts.  Counting neighbours, not occurrences, keeps out words that are
+frequent only because a text has copies.  Its size grows with the number of such
+starts: every one of them is in it whole, and none has to reach a share of the texts.
 
 Fitting takes a bounded sample of labelled rows: at most ``sample_docs`` per class by the
 hash of their id, of at most ``sample_chars`` characters each (longer texts
@@ -24,6 +25,7 @@ ignored whatever their names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -37,9 +39,10 @@ from pyspark.sql import functions as F
 from txlens.llm.common import file_key, held_out, ship_package, text_slices, worker_once
 
 WINDOW, OVERLAP = 256, 24                 # bytes
-ORDINARY_BYTES, TOXIC_BYTES = 16_384, 512
+ORDINARY_BYTES, TOXIC_BYTES = 16_384, 16_384   # the toxic one grows beyond it with its starts of words
 SAMPLE_DOCS, SAMPLE_CHARS = 3_000, 20_000
-MIN_CONTEXTS, MIN_SHARE, MIN_RATIO = 4, 0.02, 10.0
+MIN_CONTEXTS, MIN_RATIO = 4, 10.0
+CHANCE = 1.0                              # starts of words expected to look peculiar by chance alone
 STEM = 4                                  # letters of the shortest start of a word that is looked at
 KEEP = 0.6
 _WORD = re.compile(r"\w+")
@@ -70,8 +73,9 @@ class Distance:
 
     def __init__(self, ordinary: bytes, toxic: bytes):
         import zstandard as zs
+        reach = max(17, (len(ordinary) + len(toxic) + WINDOW).bit_length())
         params = zs.ZstdCompressionParameters(
-            compression_level=9, min_match=5, strategy=1, window_log=17, hash_log=17, chain_log=17, search_log=6,
+            compression_level=9, min_match=5, strategy=1, window_log=reach, hash_log=17, chain_log=17, search_log=6,
             target_length=1, write_content_size=False, write_dict_id=False)
         made = []
         # the same layout on both sides, toxic text nearest: equal matches cost equal bytes
@@ -113,14 +117,28 @@ def _contexts(texts: list[str], wanted: set[str] | None = None) -> dict[str, set
     return seen
 
 
+def _surprise(bad: int, good: int, share: float) -> float:
+    """Chernoff bound: minus the log of the chance of so many of ``bad + good`` on the toxic
+    side, if each falls there with probability ``share``."""
+    n = bad + good
+    q = bad / n
+    if q <= share:
+        return 0.0
+    return bad * math.log(q / share) + (good * math.log((1 - q) / (1 - share)) if good else 0.0)
+
+
 def _peculiar(toxic: list[str], ordinary: list[str]) -> dict[str, int]:
     """Starts of words with many different left neighbours in toxic texts and hardly any
-    elsewhere -> the number of those neighbours."""
-    bad = {w: c for w, c in _contexts(toxic).items() if len(c) >= max(MIN_CONTEXTS, MIN_SHARE * len(toxic))}
+    elsewhere -> the number of those neighbours.  The number must be beyond chance, given the
+    words of both sides and how many starts are looked at; it follows no share of the texts."""
+    every = _contexts(toxic)
+    bad = {w: len(c) for w, c in every.items() if len(c) >= MIN_CONTEXTS}
     good = _contexts(ordinary, set(bad))
-    n_bad, n_good = max(1, len(toxic)), max(1, len(ordinary))
-    return {w: len(c) for w, c in bad.items()
-            if len(c) / n_bad > MIN_RATIO * (len(good.get(w, ())) + 0.5) / n_good}
+    n_bad, n_good = (max(1, sum(len(_WORD.findall(t)) for t in ts)) for ts in (toxic, ordinary))
+    beyond = math.log(max(1, len(bad)) / CHANCE)
+    return {w: n for w, n in bad.items()
+            if n / n_bad > MIN_RATIO * (len(good.get(w, ())) + 0.5) / n_good
+            and _surprise(n, len(good.get(w, ())), n_bad / (n_bad + n_good)) > beyond}
 
 
 def _stems(text: str, peculiar: dict[str, int]) -> str:
@@ -133,6 +151,16 @@ def _stems(text: str, peculiar: dict[str, int]) -> str:
     return " ".join(out)
 
 
+def _toxic_dictionary(told: list[bytes]) -> bytes:
+    """Trained on the occurrences of peculiar starts; those that the trainer cut or left out
+    stand whole before it."""
+    import zstandard as zs
+    each = list(dict.fromkeys(told))
+    room = max(TOXIC_BYTES, 512 + 8 * sum(len(x) - 7 for x in each))    # a segment for every place in them
+    trained = zs.train_dictionary(room, told * max(1, -(-2_000 // max(1, len(told)))), k=8, d=8).as_bytes()
+    return b"".join(x for x in each if x.rstrip() + b" " not in trained) + trained
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     a = np.c_[np.ones(len(x)), x]
     w = np.zeros(a.shape[1])
@@ -163,9 +191,9 @@ def train(toxic: list[str], ordinary: list[str], share: float) -> Model:
     plain = plain[::max(1, len(plain) // 20_000)]
     try:
         base = zs.train_dictionary(ORDINARY_BYTES, plain, k=64, d=8).as_bytes()
-        extra = zs.train_dictionary(TOXIC_BYTES, told * max(1, -(-2_000 // max(1, len(told)))), k=8, d=8).as_bytes()
+        extra = _toxic_dictionary(told)
     except zs.ZstdError:                  # too little text for a trained dictionary: the text itself
-        base, extra = b"".join(plain)[:ORDINARY_BYTES], b" ".join(told)[:TOXIC_BYTES]
+        base, extra = b"".join(plain)[:ORDINARY_BYTES], b"".join(dict.fromkeys(told))
     if not base or not extra:
         return flat
     distance = Distance(base, extra)
