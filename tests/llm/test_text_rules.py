@@ -67,6 +67,30 @@ def test_spans_equal_brute_force(spark):
     assert pii.find(documents(spark, []).limit(0)).count() == 0
 
 
+# 15 to 29 characters, among them multiples of four, as printed and in one piece
+IBANS = ["NO93 8601 1117 947", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00",
+         "ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466", "HU42 1177 3016 1111 1018 0000 0000",
+         "PL61 1090 1014 0000 0712 1981 2874", "BR18 0036 0305 0000 1000 9795 493C 1"]
+
+
+def test_ibans_end_at_their_own_length(spark):
+    texts, want = [], []
+    for x in IBANS + [x.replace(" ", "") for x in IBANS]:
+        for before, after in (("pay ", " Please"), ("", " BIC"), ("é🙂:", " 12 AB34 CDEF"), ("IBAN", ""), ("AT99 ", "."),
+                              (x + " ", " " + x)):
+            t = before + x + after
+            texts.append(t)
+            want.append([(m.start(), m.start() + len(x)) for m in re.finditer(re.escape(x), t)])
+    other = "ZZ65 1234 5678 9012"                  # no country with a known length: the longest end that holds
+    texts += [other + " And", "X" + IBANS[1], IBANS[1] + "5", IBANS[1][:-1] + "5", "DE89 3704 0044 0532 0130"]
+    want += [[(0, len(other))], [], [], [], []]
+    rows = {r["doc_id"]: r["found"]["iban"] for r in pii.find(documents(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        assert [(s["start"], s["end"]) for s in rows[i]] == want[i], t
+    redacted = {r["doc_id"]: r["text"] for r in pii.redact(documents(spark, texts)).collect()}
+    assert redacted[0] == "pay [iban] Please" and redacted[1] == "[iban] BIC"
+
+
 def test_redaction_covers_every_span(spark):
     docs = documents(spark, PII_TEXTS)
     found = {r["doc_id"]: r["found"] for r in pii.find(docs).collect()}

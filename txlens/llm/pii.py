@@ -7,6 +7,10 @@ is dropped without a retry).  The method adds ``iban`` (mod-97 must hold) and
 ``ssn`` (counted only with a context word nearby).  A base span is never
 dropped by its score.
 
+An ``iban`` begins and ends at a boundary and has its country's length; for a
+country without a known length the longest end at a boundary whose checksum
+holds counts.  Every possible start is tried, also inside a match that fails.
+
 Positions come from splitting the text by the same pattern: the pieces
 between matches and the matches themselves alternate, so a running sum of
 their lengths gives every start, in code points.
@@ -37,6 +41,7 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?+[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
+    # the shape that the SQL checks; the search itself goes by IBAN_START and the lengths
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
 }
@@ -44,6 +49,30 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]", "phone": r"\+[0-9]",
          "iban": r"[A-Z]{2}[0-9]{2}", "ssn": r"[0-9]{3}-[0-9]{2}-"}
 
+# Characters of an IBAN by country (ISO 13616 registry, and countries that use the form beside it).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC",
+    33: "RU",
+}
+_SHORTEST, _LONGEST = 12, 35              # characters, of a country without a known length
+
+
+def _grouped(n: int) -> str:
+    """``n`` characters after the first four, in fours with or without a space before each."""
+    return r"(?: ?[A-Z0-9]{4}){%d}" % (n // 4) + (r" ?[A-Z0-9]{%d}" % (n % 4) if n % 4 else "")
+
+
+_END = "(?![A-Za-z0-9])"
+_KNOWN = "|".join(c.replace(" ", "|") for c in IBAN_LENGTHS.values())
+_OWN_LENGTH = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}{_grouped(n - 4)}" for n, c in IBAN_LENGTHS.items())
+# the first four characters of whatever may be an IBAN; the rest is only looked at
+IBAN_START = (r"(?:(?<![A-Za-z0-9])|(?<=IBAN))(?:(?=(?:%s)%s)|(?!%s)(?=[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2}))[A-Z]{2}[0-9]{2}"
+              % (_OWN_LENGTH, _END, _KNOWN))
+_IBAN_CHARS = _LONGEST + _LONGEST // 4    # with spaces
+
 CONTEXT = {
     "email": "mail|contact|write to|address",
     "ip": "ip|host|server|login",
@@ -85,14 +114,27 @@ def _confirmed(kind: str, s: Column) -> Column:
         return n.between(13, 19) & F.call_function("luhn_check", _digits(s))
     if kind == "phone":
         return n.between(9, 15)
-    if kind == "iban":
-        return _mod97(s) == 1
     return F.lit(True)
 
 
+def _ibans(text: Column, starts: Column) -> Column:
+    """Spans of the IBANs that begin at ``starts``, checksum included."""
+    def ends(s: Column, ahead: Column) -> Column:
+        own = F.regexp_extract(ahead, f"^(?:{_OWN_LENGTH}){_END}", 0)
+        tries = F.array(*[F.regexp_extract(ahead, f"^(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}{_grouped(n - 4)}{_END}", 0)
+                          for n in range(_LONGEST, _SHORTEST - 1, -1)])
+        good = F.filter(F.when(own != "", F.array(own)).otherwise(tries), lambda v: (v != "") & (_mod97(v) == 1))
+        return F.transform(F.slice(good, 1, 1), lambda v: F.struct(
+            s["kind"], s["start"], (s["start"] + F.length(v)).alias("end"), v.alias("value")))
+
+    # one character more than the longest, for the boundary
+    return F.flatten(F.transform(starts, lambda s: let(
+        F.substring(text, s["start"] + 1, F.lit(_IBAN_CHARS + 1)), lambda ahead: ends(s, ahead))))
+
+
 def _found(text: Column, kind: str) -> Column:
     """array<struct<kind, start, end, value>> of the pattern's matches, in order."""
-    pattern = PATTERNS[kind]
+    pattern = IBAN_START if kind == "iban" else PATTERNS[kind]
     none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
 
     def place(matches: Column) -> Column:
@@ -130,7 +172,7 @@ def _found(text: Column, kind: str) -> Column:
 
 def _scored(text: Column, kind: str, found: Column) -> Column:
     """Confirmed spans with their score; added kinds need LEAST_SCORE."""
-    sure = F.filter(found, lambda s: _confirmed(kind, s["value"]))
+    sure = _ibans(text, found) if kind == "iban" else F.filter(found, lambda s: _confirmed(kind, s["value"]))
 
     def score(s: Column) -> Column:
         start = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
