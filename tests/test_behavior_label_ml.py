@@ -1,6 +1,8 @@
 """Behaviour, ordering, labelling, spatial and ML operators on hand-made rows."""
 
 import datetime as dt
+import math
+import statistics
 
 import numpy as np
 import pytest
@@ -178,3 +180,22 @@ def test_pr_curve_end_point(spark):
     pr = [tuple(r) for r in curves.pr_curve(df, "score", "label").collect()]
     assert (None, 1.0, 0.0) in pr
     assert (0.9, 1.0, 0.5) in pr
+
+
+def test_density_and_boxes_keep_every_group(spark):
+    rows = [("a", 1.0), ("a", 2.0), ("a", 4.0), ("one", 7.0), ("same", 3.0), ("same", 3.0), (None, 1.0), (None, 5.0),
+            ("a", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    out = behavior.density_curve(df, "v", "g", grid=50).collect()
+    by = {g: [r for r in out if r["g"] == g] for g in ("a", None, "one", "same", "empty")}
+    assert {g: len(x) for g, x in by.items()} == {"a": 50, None: 50, "one": 1, "same": 1, "empty": 0}
+    for g, x in (("one", 7.0), ("same", 3.0)):
+        assert (by[g][0]["gi"], by[g][0]["x"], by[g][0]["density"]) == (0, x, None)
+    for g, vals in (("a", [1.0, 2.0, 4.0]), (None, [1.0, 5.0])):
+        bw = statistics.stdev(vals) * len(vals) ** -0.2
+        for r in by[g]:
+            want = sum(math.exp(-0.5 * ((r["x"] - x) / bw) ** 2) for x in vals) / (bw * math.sqrt(2 * math.pi) * len(vals))
+            assert abs(r["density"] - want) < 1e-9
+    boxes = {r["g"]: r for r in behavior.boxplot_stats(df.filter("v is not null"), "v", "g").collect()}
+    assert {g: r["n"] for g, r in boxes.items()} == {"a": 3, "one": 1, "same": 2, None: 2}
+    assert (boxes[None]["median"], boxes[None]["whisker_low"], boxes[None]["whisker_high"]) == (3.0, 1.0, 5.0)
