@@ -52,6 +52,28 @@ def test_toxicity_held_out_and_edges(spark):
     assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), labels.limit(0))).count() == 0
 
 
+def test_toxicity_fits_on_long_texts_too(spark, monkeypatch):
+    texts, toxic, _ = corpus()
+    texts = [(t + " ") * (60 if i % 9 == 0 else 1) for i, t in enumerate(texts)]
+    assert max(map(len, texts)) > 40_000
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda bad, good, share: seen.extend([*bad, *good]))
+    toxicity.fit(docs, labels)
+    assert sorted(seen) == sorted(t for i, t in enumerate(texts) if not held_out(i))
+    seen.clear()
+    toxicity.fit(docs, labels, sample_chars=200_000)
+    assert 100_000 < sum(map(len, seen)) <= 400_000 and max(map(len, seen)) > 20_000
+
+
+def test_toxicity_statistics_do_not_grow_with_length():
+    distance = toxicity.Distance(b" RIVer WALk STOne " * 20, b" IDIot  SCUm   ")
+    short = distance.statistics("river walk stone idiot " * 1_000)
+    long = distance.statistics("river walk stone idiot " * 10_000)
+    assert np.allclose(short, long, atol=0.5)
+
+
 def test_toxicity_knows_a_wide_vocabulary():
     rnd = random.Random(4)
     word = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))

@@ -14,8 +14,12 @@ frequent only because a text has copies.  Its size grows with the number of such
 starts: every one of them is in it whole, and none has to reach a share of the texts.
 
 Fitting takes a bounded sample of labelled rows: at most ``sample_docs`` per class by the
-hash of their id, of at most ``sample_chars`` characters each (longer texts
-are left to scoring).  Scoring covers every text, whole.
+hash of their id, whole and of any length, as long as they have at most ``sample_chars``
+characters in all (a text beyond what is left of these is passed over).  The ordinary
+dictionary is trained on the windows of two thirds of the ordinary sample; from
+40,000 windows on it takes every second, third, ... of them, so 20,000 to 40,000
+(``PLAIN_WINDOWS``).  No statistic is a count that grows with the text.  Scoring covers
+every text, whole.
 
 Defined results: a NULL or empty text is one empty window and gets a score;
 without labelled rows of both classes every score is the share of toxic
@@ -40,7 +44,8 @@ from txlens.llm.common import file_key, held_out, ship_package, text_slices, wor
 
 WINDOW, OVERLAP = 256, 24                 # bytes
 ORDINARY_BYTES, TOXIC_BYTES = 16_384, 16_384   # the toxic one grows beyond it with its starts of words
-SAMPLE_DOCS, SAMPLE_CHARS = 3_000, 20_000
+SAMPLE_DOCS, SAMPLE_CHARS = 3_000, 12_000_000   # of each class; characters of all its texts
+PLAIN_WINDOWS = 20_000
 MIN_CONTEXTS, MIN_RATIO = 4, 10.0
 CHANCE = 1.0                              # starts of words expected to look peculiar by chance alone
 STEM = 4                                  # letters of the shortest start of a word that is looked at
@@ -88,10 +93,8 @@ class Distance:
     def statistics(self, text: str) -> list[float]:
         plain, toxic = self.plain, self.toxic
         g = np.array([len(plain(w)) - len(toxic(w)) for w in windows(normal(text).encode())], dtype=np.float64)
-        n = len(g)
         top = np.sort(g)[::-1][:3]
-        return [top[0], top.sum() / 3, g.mean(), (g >= 2).mean(), (g >= 3).mean(), (g >= 4).mean(), np.log(n),
-                float((g >= 3).sum())]
+        return [top[0], top.sum() / 3, g.mean(), (g >= 2).mean(), (g >= 3).mean(), (g >= 4).mean()]
 
 
 def normal(text: str) -> str:
@@ -188,7 +191,7 @@ def train(toxic: list[str], ordinary: list[str], share: float) -> Model:
     # one sample per occurrence, so that no dictionary segment runs across two of them
     told = [f" {normal(x)} ".encode().ljust(8) for t in for_dict[0] for x in _stems(t, words).split()]
     plain = [w for t in for_dict[1] for w in windows(normal(t).encode()) if len(w) >= 8]
-    plain = plain[::max(1, len(plain) // 20_000)]
+    plain = plain[::max(1, len(plain) // PLAIN_WINDOWS)]
     try:
         base = zs.train_dictionary(ORDINARY_BYTES, plain, k=64, d=8).as_bytes()
         extra = _toxic_dictionary(told)
@@ -214,14 +217,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")).filter(
         F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("i"))).dropDuplicates(["i"])
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    texts: dict[int, list[str]] = {}
-    for y in (1, 0):
-        # at most sample_docs ids: a proven bound for the broadcast
-        ids = known.filter(F.col("y") == y).orderBy(F.xxhash64("i"), "i").limit(sample_docs).select("i")
-        rows = (docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-                .filter(F.length("t").between(1, sample_chars))
-                .join(F.broadcast(ids), "i", "left_semi").dropDuplicates(["i"]).collect())
-        texts[y] = [r["t"] for r in sorted(rows, key=lambda r: r["i"])]
+    # at most sample_docs ids of each class: a proven bound for the broadcasts
+    ids = known.filter(F.col("y") == 1).orderBy(F.xxhash64("i"), "i").limit(sample_docs).union(
+        known.filter(F.col("y") == 0).orderBy(F.xxhash64("i"), "i").limit(sample_docs))
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter(F.length("t") > 0)
+    # of an id's rows the one with the smallest hash, the same in both passes
+    sizes = (rows.join(F.broadcast(ids), "i").groupBy("i", "y")
+             .agg(F.min(F.struct(F.xxhash64("t").alias("h"), F.length("t").alias("n"))).alias("m"))
+             .select("i", "y", "m.h", "m.n", F.xxhash64("i").alias("o")).collect())
+    left, taken = {1: sample_chars, 0: sample_chars}, []
+    for r in sorted(sizes, key=lambda r: (r["o"], r["i"])):
+        if r["n"] <= left[r["y"]]:
+            left[r["y"]] -= r["n"]
+            taken.append((r["i"], r["y"], r["h"]))
+    texts: dict[int, list[str]] = {1: [], 0: []}
+    if taken:
+        id_type = dict(docs.dtypes)[id_col]
+        chosen = docs.sparkSession.createDataFrame(taken, f"i {id_type}, y int, h bigint")
+        got = (rows.withColumn("h", F.xxhash64("t")).join(F.broadcast(chosen), ["i", "h"])
+               .dropDuplicates(["i"]).select("i", "y", "t").collect())
+        for r in sorted(got, key=lambda r: r["i"]):
+            texts[r["y"]].append(r["t"])
     return train(texts[1], texts[0], counts.get(1, 0) / max(1, sum(counts.values())))
 
 
