@@ -207,3 +207,20 @@ def test_signatures_estimate_weighted_similarity():
     want = sum(min(x.get(k, 0), y.get(k, 0)) for k in keys) / sum(max(x.get(k, 0), y.get(k, 0)) for k in keys)
     sig = dartminhash.signatures(doc, element, weight, 2, 4000)
     assert (sig != 0).all() and abs((sig[0] == sig[1]).mean() - want) < 0.03
+
+
+def test_an_id_with_different_texts_is_several_documents(spark):
+    rnd = random.Random(8)
+    text = lambda: " ".join(rnd.choice(COMMON) + str(rnd.randrange(50)) for _ in range(60))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(3, a), (5, a), (5, b), (5, b), (7, c), (7, c + " end"), (9, b), (9, d), (8, None), (8, ""), (None, a)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, lang string")
+    kept = sorted(((r["doc_id"], r["text"]) for r in dartminhash.keep_one(docs).collect()), key=str)
+    sevens = [t for i, t in kept if i == 7]
+    assert len(sevens) == 1 and sevens[0] in (c, c + " end")
+    assert sorted((x for x in kept if x[0] != 7), key=str) == sorted(
+        [(3, a), (5, b), (8, None), (8, ""), (9, d), (None, a)], key=str)
+    found = sorted(((r["doc_id"], r["class_id"]) for r in dartminhash.classes(docs).collect()), key=str)
+    assert found == sorted([(3, 3), (5, 3), (5, 5), (5, 5), (7, 7), (7, 7), (8, 8), (8, 8), (9, 5), (9, 9), (None, 3)],
+                           key=str)
+    assert dartminhash.classes(docs).columns == ["doc_id", "class_id"]

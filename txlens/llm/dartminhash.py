@@ -31,7 +31,8 @@ skew-join rule can split a key that holds a large part of the rows.
 
 Defined results: a document without words (NULL or empty text) is a class of
 its own; one of fewer than five words is one shingle; the class id is the
-smallest id in it; repeated rows get the same class; extra columns are
+smallest id in it; repeated rows get the same class; rows that share an id but not
+the text are documents of their own, in order of (id, hash of the text); extra columns are
 ignored whatever their names; an empty table gives an empty result.
 """
 
@@ -41,10 +42,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.common import release_worker, ship_package, staged
+from txlens.llm.common import fresh, release_worker, ship_package, staged
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5                        # 0.8 ** 5 = 0.33 a band: one pair in 14,000 at 0.8 meets in none
@@ -249,9 +250,33 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _ids_with_texts(docs: DataFrame, id_col: str, text_col: str) -> bool:
+    """Does an id stand for different texts?  Texts are read only if ids are repeated."""
+    ids = docs.select(F.col(id_col).alias("i")).filter(F.col("i").isNotNull())
+    if ids.groupBy("i").count().filter("count > 1").isEmpty():
+        return False
+    h = docs.select(F.col(id_col).alias("i"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("h"))
+    return not h.filter(F.col("i").isNotNull()).groupBy("i").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter(
+        "lo < hi").isEmpty()
+
+
+def _identity(id_col: str, text_col: str) -> Column:
+    """(id, hash of the text), NULL without an id."""
+    return F.when(F.col(id_col).isNotNull(), F.struct(
+        F.col(id_col).alias("id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("text")))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
             bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id and class_id."""
+    if not _ids_with_texts(docs, id_col, text_col):
+        return _classes(docs, id_col, text_col, similarity, bands, rows)
+    own = docs.select(_identity(id_col, text_col).alias("own"), F.col(text_col).alias("t"))
+    found = _classes(own, "own", "t", similarity, bands, rows)
+    return found.select(F.col("doc_id.id").alias("doc_id"), F.col("class_id.id").alias("class_id"))
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, bands: int, rows: int) -> DataFrame:
     sig = staged(sign(docs, id_col, text_col, bands, rows), "signatures")
     known = sig.filter(F.col("fp1").isNotNull() & F.col("doc_id").isNotNull())
     reps = staged(known.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("doc")), "representatives")
@@ -309,8 +334,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
              ) -> DataFrame:
     """The rows of ``docs`` whose id is their class's smallest, once each; columns unchanged.
-    Rows without an id are kept."""
-    found = staged(classes(docs, id_col, text_col, similarity), "classes")
+    Rows without an id are kept.  If an id stands for different texts, a row is one of
+    (id, text), so only rows with equal or similar texts go."""
+    if _ids_with_texts(docs, id_col, text_col):
+        name = fresh(docs, "own")
+        own = docs.withColumn(name, _identity(id_col, text_col))
+        return _keep_one(own, name, text_col, similarity).select(*docs.columns)
+    return _keep_one(docs, id_col, text_col, similarity)
+
+
+def _keep_one(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
+    found = staged(_classes(docs, id_col, text_col, similarity, BANDS, ROWS), "classes")
     keepers = found.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(id_col))
     kept = docs.join(keepers, id_col, "left_semi")
     if not keepers.groupBy(id_col).count().filter("count > 1").isEmpty():
