@@ -6,7 +6,8 @@ by rank, from hashes alone, so equal elements receive equal darts in every
 document.  A dart counts if it falls below the element's weight; each dart
 names a coordinate, and a coordinate keeps the dart of least rank.  A document
 needs about k ln k darts whatever its size, and two documents agree in a coordinate
-with the probability of their weighted Jaccard similarity.  (If a
+with the probability of their weighted Jaccard similarity.  Classes are about
+plain Jaccard: all weights are 1 there (``by_count`` is not used by them).  (If a
 coordinate stays empty the rank bound is doubled for that document.)
 
 Classes, without listing all pairs of a group:
