@@ -5,18 +5,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF001 = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from txlens.session import get_session
     s = get_session(master="local[*]", app="txlens-tests", shuffle_partitions=8)
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Collected rows as sorted tuples (optionally a column subset)."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=lambda t: tuple((v is not None, v) for v in t))

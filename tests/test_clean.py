@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import types as T
 
-from conftest import rows
+from support import rows
 from txlens.operators import clean
 from txlens.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, RAW_SCHEMA
 

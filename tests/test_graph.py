@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, rows
+from support import SF001, rows
 from txlens.operators.graph import build, community, degree, motif, traversal
 from txlens.sources import adapters as ad
 

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from support import SF001
 from txlens.operators.clean import clean_transactions
 from txlens.schema import CLEANED_COLUMNS, RAW_COLUMNS
 from txlens.session import scratch_path
@@ -87,10 +87,11 @@ def test_streaming_ingest_equals_batch(spark):
 
 def test_driver_contract(spark):
     import __spark_entry__ as entry
+    from txlens.plans import queries as own
     qs, sqls = entry.queries(), entry.oracle_sql()
-    assert set(sqls) <= set(qs) and len(qs) >= 90
+    assert set(sqls) <= set(qs) and set(own()) <= set(qs) and len(own()) >= 90
     assert all(fn.__doc__ for fn in qs.values())
-    assert not any(k.startswith("op") or "pipeline" in k for k in qs)
+    assert not any(k.startswith("op") or "pipeline" in k for k in own())
     df = entry.entry(spark)
     assert df.count() == 100 and df.columns[0] == "dst"
 
