@@ -163,4 +163,51 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op4_topk_pivots": OP4, "op7_pii_spans": _spans_sql(), "op8_quality_rules": OP8, "op10_warc_revisit": OP10}
+OP11 = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.rid AS a, a.vec_id AS anchor_id, o.rid AS o, o.vec_id, a.label = o.label AS same,
+    list_dot_product(a.v, o.v)::BIGINT AS score FROM v a JOIN v o ON a.rid <> o.rid WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.a, p.o, p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id,
+    s.score AS negative_score, row_number() OVER (PARTITION BY p.a, p.o ORDER BY s.score DESC, s.vec_id)::INT AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+        min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+f AS (SELECT doc_id, part,
+        (CASE WHEN len(ws) < 50 THEN 1 ELSE 0 END)
+        + (CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 2 ELSE 0 END)
+        + (CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) THEN 4 ELSE 0 END)
+        + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+        + (CASE WHEN doc_id > least THEN 16 ELSE 0 END) AS mask FROM w),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS bad FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(bad), 0) AS bad
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+x(k, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT concat(a.k, b.k, c.k, d.k, e.k) AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM x a, x b, x c, x d, x e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, step::INT AS step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+      FROM o, range(1, 6) r(step)),
+g AS (SELECT part, filter_order, step, own, before, mask, n, good, bad FROM s, c),
+r AS (SELECT part, filter_order, step,
+        sum(CASE WHEN mask & (own | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN mask & own <> 0 AND mask & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN mask = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN bad ELSE 0 END)::BIGINT AS toxic_lost
+      FROM g GROUP BY ALL)
+SELECT *, sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1))::BIGINT AS shapley FROM r
+"""
+
+
+ORACLES: dict[str, str] = {"op4_topk_pivots": OP4, "op7_pii_spans": _spans_sql(), "op8_quality_rules": OP8, "op10_warc_revisit": OP10,
+                           "op11_hard_negatives": OP11, "op13_filter_audit": OP13}

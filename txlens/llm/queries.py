@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.llm import dartminhash, packing, pii, quality_qda, quality_rules, sp_codec, token_transducer, topk_pivots, toxicity, warc_revisit
+from txlens.llm import (dartminhash, filter_audit, hard_negatives, packing, pii, quality_qda, quality_rules, source_mix, sp_codec,
+                        token_transducer, topk_pivots, toxicity, warc_revisit)
 from txlens.llm.common import held_out
 from txlens.llm.oracle import ORACLES
 
@@ -101,6 +102,25 @@ def op10_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("headers", text)
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 hardest different-label rows of every anchor's 5 positives."""
+    label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
+@query
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources takes of every document."""
+    return source_mix.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, in every order, by source."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
