@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+
 @pytest.fixture(scope="session")
 def spark():
     from txlens.session import get_session
