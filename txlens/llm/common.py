@@ -47,6 +47,30 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Staged tables of one operator that go when it is done: ``with Scratch() as scratch: scratch.staged(...)``.
+    What the operator returns must not read them."""
+
+    def __init__(self):
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        spark = df.sparkSession
+        path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+        self.paths.append((spark, path))
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *error) -> None:
+        for spark, path in self.paths:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        self.paths = []
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have (case-insensitively)."""
     taken = {c.lower() for c in df.columns}

@@ -16,17 +16,18 @@ Classes, without listing all pairs of a group:
    minimum of their fingerprint);
 2. signatures are cut into bands; documents that share a band's key form a
    bucket;
-3. in each bucket the first document - the one with most links so far, then the smallest
-   id, so that an original leads its copies - is compared with the others, by their
-   exact shingle sets; pairs that reach the similarity are links, and
-   connected links are classes;
-4. compared firsts leave their buckets; a bucket whose documents still have different
-   classes goes on with more firsts (four times as many each round from the third on), comparing only
-   documents of different classes, until none is left.  So every two documents that share a
-   bucket end up in one class or have been compared, and the pairs made
-   stay near the number of documents unless unlike documents crowd a bucket.
-
-Intermediate tables are written to the shared folder.  Joins on bucket keys,
+3. a document's crowd is the sum of its buckets' sizes.  In each bucket the document with the largest crowd
+   leads: an original shares more buckets with its copies than they do with one another, so one document leads
+   most buckets of a group.  The leader is compared with the others by their exact shingle sets; pairs that
+   reach the similarity are links, and connected links are classes;
+4. in the buckets whose other members still differ in class, these are compared within tasks, block by block, on
+   a longer signature (``FINE`` coordinates of one byte): a pair of different classes goes on to the
+   exact comparison if enough coordinates agree (``SLACK`` standard deviations below the similarity).
+   So pairs that are clearly unlike are never rows, and every two documents that share a bucket end in one class or
+   have been compared.
+
+A bucket of s members whose classes differ after step 3 travels in (s / ``BLOCK``) ** 2 / 2 pairs of blocks.
+Tables needed only on the way go to the shared folder and are deleted at the end.  Joins on bucket keys,
 fingerprints and documents read such tables directly, so that Spark's
 skew-join rule can split a key that holds a large part of the rows.
 
@@ -46,12 +47,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.common import fresh, release_worker, ship_package, staged
+from txlens.llm.common import Scratch, fresh, release_worker, ship_package, staged
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5                        # 0.8 ** 5 = 0.33 a band: one pair in 14,000 at 0.8 meets in none
 MAX_ELEMENTS = 300_000                     # words hashed together in a task: bounds its memory
-PAIRS_PER_DOCUMENT = 2                     # when no more pairs are left than this, they are compared in one round
+FINE, SLACK = 480, 4.0                     # at similarity 0.8 a pair is passed over with probability 3e-5
+FINE_DOCUMENTS = 256                       # documents signed together on ``FINE`` coordinates: bounds a task's memory
+BLOCK = 512                                # members of a bucket compared with as many others at a time
 _U = np.uint64
 
 
@@ -229,7 +232,7 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.filter(common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, staged=staged) -> DataFrame:
     """(doc, label) of every linked document: the smallest id connected to it.
 
     Labels travel along links and by pointer jumping; each round is written
@@ -251,6 +254,88 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def fine_signatures(sets: DataFrame) -> DataFrame:
+    """doc and f, one byte for each of ``FINE`` coordinates, from shingle sets (doc, s)."""
+    ship_package(sets.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, offsets = _lists(batch)
+            start = 0
+            while start < len(offsets) - 1:
+                end = int(np.searchsorted(offsets, offsets[start] + MAX_ELEMENTS, side="right")) - 1
+                end = min(max(end, start + 1), start + FINE_DOCUMENTS)
+                size = np.diff(offsets[start:end + 1])
+                doc = np.repeat(np.arange(end - start), size)
+                sig = signatures(doc, values[offsets[start]:offsets[end]].view(np.uint64), np.ones(len(doc)), end - start, FINE)
+                f = (sig >> _U(56)).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, end - start), pa.array([r.tobytes() for r in f], pa.binary())], names=["doc", "f"])
+                start = end
+
+    return sets.select("doc", "s").mapInArrow(run, f"doc {dict(sets.dtypes)['doc']}, f binary")
+
+
+def _alike(n: np.ndarray, label: np.ndarray, f: np.ndarray, first: np.ndarray, second: np.ndarray, similarity: float,
+           inside: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs (of two blocks, or ``inside`` one) that may reach the similarity and differ in label."""
+    least = (similarity - SLACK * np.sqrt(similarity * (1 - similarity) / FINE)) * FINE
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    for k, i in enumerate(first):
+        other = second[k + 1:] if inside else second
+        other = other[(label[other] != label[i]) & (np.minimum(n[other], n[i]) >= similarity * np.maximum(n[other], n[i]))]
+        if len(other):
+            hit = other[(f[other] == f[i]).sum(1) >= least]
+            out.append((np.full(len(hit), i), hit))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+
+
+def _compare_blocks(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): pairs that may reach the similarity, of members (key, size, doc, n, label, f) of the same key."""
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    id_type = dict(members.dtypes)["doc"]
+    placed = members.select("key", "doc", "n", F.xxhash64("label").alias("label"), "f", blocks.alias("blocks"),
+                            F.pmod(F.xxhash64("doc", "key"), blocks).cast("int").alias("mine"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("doc", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
+                         "n", "label", "f")
+    met = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def compare(table: pa.Table) -> pa.RecordBatch:
+        key, i, j, mine, n, label = (table.column(c).to_numpy() for c in ("key", "i", "j", "mine", "n", "label"))
+        f = np.frombuffer(b"".join(table.column("f").to_pylist()), np.uint8).reshape(len(key), FINE)
+        cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+        found = [(np.zeros(0, np.int64),) * 2]
+        for rows in np.split(np.arange(len(key)), cut):
+            inside = i[rows[0]] == j[rows[0]]
+            first = rows if inside else rows[mine[rows] == i[rows[0]]]
+            second = rows if inside else rows[mine[rows] != i[rows[0]]]
+            found.append(_alike(n, label, f, first, second, similarity, inside))
+        doc = table.column("doc").combine_chunks()
+        a, b = (pa.array(np.concatenate([x[c] for x in found]), pa.int64()) for c in (0, 1))
+        return pa.RecordBatch.from_arrays([doc.take(a), doc.take(b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+            last = [held.column(c)[-1].as_py() for c in ("key", "i", "j")]
+            same = np.logical_and.reduce([held.column(c).to_numpy() == v for c, v in zip(("key", "i", "j"), last)])
+            start = int(np.argmax(same))                          # rows of the last pair of blocks wait for the rest of it
+            if start:
+                yield compare(held.slice(0, start))
+                held = held.slice(start)
+        if held is not None:
+            yield compare(held)
+
+    return met.mapInArrow(run, f"a {id_type}, b {id_type}")
+
+
 def _ids_with_texts(docs: DataFrame, id_col: str, text_col: str) -> bool:
     """Does an id stand for different texts?  Texts are read only if ids are repeated."""
     ids = docs.select(F.col(id_col).alias("i")).filter(F.col("i").isNotNull())
@@ -281,55 +366,46 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, ban
     sig = staged(sign(docs, id_col, text_col, bands, rows), "signatures")
     known = sig.filter(F.col("fp1").isNotNull() & F.col("doc_id").isNotNull())
     reps = staged(known.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("doc")), "representatives")
+    with Scratch() as scratch:
+        labels = _labels(docs, known, reps, id_col, text_col, similarity, scratch.staged)
+        reps = staged(reps.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc")), "classes")
+    members = sig.select("doc_id", "fp1", "fp2", "n").join(reps.drop("doc"), ["fp1", "fp2", "n"], "left")
+    return members.select("doc_id", F.coalesce("label", "doc_id").alias("class_id"))
+
+
+def _labels(docs: DataFrame, known: DataFrame, reps: DataFrame, id_col: str, text_col: str, similarity: float, staged) -> DataFrame:
+    """(doc, label) of the representatives that are linked to others."""
     keys = known.select(F.col("doc_id").alias("doc"), "keys", F.col("n").alias("k"))
     first = reps.select("doc", "n").join(keys, "doc").filter(F.col("n") == F.col("k"))
     band = staged(first.select("doc", "n", F.explode("keys").alias("key")).distinct(), "bands")
-    shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
-    bucket = staged(band.join(staged(shared, "keys"), "key"), "buckets")
+    shared = staged(band.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "keys")
+    bucket = staged(band.join(shared, "key"), "buckets")
+    crowd = staged(bucket.groupBy("doc").agg(F.sum("size").alias("crowd")), "crowds")
+    bucket = staged(bucket.join(crowd, "doc"), "buckets")
+    lead = staged(bucket.groupBy("key").agg(F.min(F.struct((-F.col("crowd")).alias("c"), "doc", "n")).alias("f"))
+                  .select("key", F.col("f.doc").alias("a"), F.col("f.n").alias("na")), "leaders")
     narrow = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("t"))
-    wanted = staged(bucket.select("doc").distinct(), "candidates")
-    texts = narrow.join(wanted, "doc", "left_semi")
-    sets = staged(shingle_sets(texts, "doc", "t").withColumnRenamed("doc_id", "doc").dropDuplicates(["doc"]), "sets")
-    links, labels, firsts, n_docs = None, None, 1, sig.count()
-    bucket = bucket.withColumn("label", F.col("doc")).withColumn("degree", F.lit(0).cast("bigint"))
-    rounds = 0
-    while True:
-        group = staged(bucket.groupBy("key").agg(
-            F.count(F.lit(1)).alias("size"), F.min(F.struct((-F.col("degree")).alias("d"), F.col("doc"))).alias("f"),
-            F.min("label").alias("low"), F.max("label").alias("high")).filter("size > 1 AND low < high")
-            .select("key", "size", F.col("f.doc").alias("first")), "groups")
-        if group.isEmpty():
-            break
-        crowd = group.agg(F.sum(F.col("size") * F.col("size")).alias("pairs"), F.max("size").alias("size")).first()
-        if crowd["pairs"] <= PAIRS_PER_DOCUMENT * n_docs:
-            firsts = crowd["size"]                # few enough to compare all that is left at once
-        every = F.greatest(F.ceil(F.col("size") / F.lit(firsts)), F.lit(1))
-        open_ = staged(bucket.join(group, "key").withColumn("leads", (F.col("doc") == F.col("first")) | (
-            (F.lit(firsts) > 1) & (F.pmod(F.xxhash64("doc", "key"), every) == 0))), "open")
-        lead = open_.filter("leads").select("key", F.col("doc").alias("a"), F.col("n").alias("na"),
-                                            F.col("label").alias("la"))
-        # one of two firsts of a bucket is compared with the other, never both ways
-        apart = ((F.col("label") != F.col("la")) & (~F.col("leads") | (F.col("a") < F.col("doc")))
-                 & (F.least("n", "na") >= similarity * F.greatest("n", "na")))
-        pairs = (open_.join(staged(lead, "firsts"), "key").filter(apart)
-                 .select("a", F.col("doc").alias("b")).distinct())
-        found = staged(_links(staged(pairs, "pairs"), sets, similarity), "links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-        rest = open_.filter(~F.col("leads")).select("key", "doc", "n")
-        ends = links.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(
-            F.count(F.lit(1)).alias("degree"))
-        bucket = staged(rest.join(labels, "doc", "left").join(ends, "doc", "left").select(
-            "key", "doc", "n", F.coalesce("label", "doc").alias("label"),
-            F.coalesce("degree", F.lit(0).cast("bigint")).alias("degree")), "buckets")
-        rounds += 1
-        firsts = 4 ** max(0, rounds - 1)
-    if labels is not None:
-        reps = staged(reps.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc")), "classes")
-    else:
-        reps = reps.withColumn("label", F.col("doc"))
-    members = sig.select("doc_id", "fp1", "fp2", "n").join(reps.drop("doc"), ["fp1", "fp2", "n"], "left")
-    return members.select("doc_id", F.coalesce("label", "doc_id").alias("class_id"))
+    sets = staged(shingle_sets(narrow.join(crowd.select("doc"), "doc", "left_semi"), "doc", "t")
+                  .withColumnRenamed("doc_id", "doc").dropDuplicates(["doc"]), "sets")
+    led = bucket.join(lead, "key").filter(F.col("doc") != F.col("a"))
+    near = F.least("n", "na") >= similarity * F.greatest("n", "na")
+    pairs = staged(led.filter(near).select("a", F.col("doc").alias("b")).distinct(), "pairs")
+    links = staged(_links(pairs, sets, similarity), "links")
+    labels = components(links, staged)
+
+    # what is left: members of a bucket, its leader apart, of different classes
+    rest = staged(led.select("key", "doc", "n").join(labels, "doc", "left").select(
+        "key", "doc", "n", F.coalesce("label", "doc").alias("label")), "rest")
+    open_ = staged(rest.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+                   .filter("low < high").select("key", "size"), "open")
+    if open_.isEmpty():
+        return labels
+    members = staged(rest.join(open_, "key"), "members")
+    fine = staged(fine_signatures(sets.join(staged(members.select("doc").distinct(), "unsettled"), "doc", "left_semi")), "fine")
+    maybe = _compare_blocks(members.join(fine, "doc"), similarity)
+    maybe = staged(maybe.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    more = staged(_links(maybe, sets, similarity), "links")
+    return labels if more.isEmpty() else components(links.unionByName(more), staged)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
