@@ -22,7 +22,8 @@ Classes, without listing all pairs of a group:
    reach the similarity are links, and connected links are classes;
 4. in the buckets whose other members still differ in class, these are compared within tasks, block by block, on
    a longer signature (``FINE`` coordinates of one byte): a pair of different classes goes on to the
-   exact comparison if enough coordinates agree (``SLACK`` standard deviations below the similarity).
+   exact comparison if enough coordinates agree (``SLACK`` standard deviations below the similarity), once, in the first
+   band that it shares.
    So pairs that are clearly unlike are never rows, and every two documents that share a bucket end in one class or
    have been compared.
 
@@ -276,14 +277,16 @@ def fine_signatures(sets: DataFrame) -> DataFrame:
     return sets.select("doc", "s").mapInArrow(run, f"doc {dict(sets.dtypes)['doc']}, f binary")
 
 
-def _alike(n: np.ndarray, label: np.ndarray, f: np.ndarray, first: np.ndarray, second: np.ndarray, similarity: float,
-           inside: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs (of two blocks, or ``inside`` one) that may reach the similarity and differ in label."""
+def _alike(n: np.ndarray, label: np.ndarray, f: np.ndarray, keys: np.ndarray, band: int, first: np.ndarray, second: np.ndarray,
+           similarity: float, inside: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs (of two blocks, or ``inside`` one) that may reach the similarity, differ in label
+    and share no band before this one (there they share a bucket, so they are compared in it)."""
     least = (similarity - SLACK * np.sqrt(similarity * (1 - similarity) / FINE)) * FINE
     out: list[tuple[np.ndarray, np.ndarray]] = []
     for k, i in enumerate(first):
         other = second[k + 1:] if inside else second
         other = other[(label[other] != label[i]) & (np.minimum(n[other], n[i]) >= similarity * np.maximum(n[other], n[i]))]
+        other = other[~(keys[other, :band] == keys[i, :band]).any(1)]
         if len(other):
             hit = other[(f[other] == f[i]).sum(1) >= least]
             out.append((np.full(len(hit), i), hit))
@@ -293,26 +296,28 @@ def _alike(n: np.ndarray, label: np.ndarray, f: np.ndarray, first: np.ndarray, s
 
 
 def _compare_blocks(members: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): pairs that may reach the similarity, of members (key, size, doc, n, label, f) of the same key."""
+    """(a, b): pairs that may reach the similarity, of members (key, size, doc, n, label, keys, f) of the same key."""
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     id_type = dict(members.dtypes)["doc"]
-    placed = members.select("key", "doc", "n", F.xxhash64("label").alias("label"), "f", blocks.alias("blocks"),
+    placed = members.select("key", "doc", "n", F.xxhash64("label").alias("label"), "keys", "f", blocks.alias("blocks"),
                             F.pmod(F.xxhash64("doc", "key"), blocks).cast("int").alias("mine"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("doc", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
-                         "n", "label", "f")
+                         "n", "label", "keys", "f")
     met = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def compare(table: pa.Table) -> pa.RecordBatch:
         key, i, j, mine, n, label = (table.column(c).to_numpy() for c in ("key", "i", "j", "mine", "n", "label"))
         f = np.frombuffer(b"".join(table.column("f").to_pylist()), np.uint8).reshape(len(key), FINE)
+        keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(len(key), -1)
         cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
         found = [(np.zeros(0, np.int64),) * 2]
         for rows in np.split(np.arange(len(key)), cut):
             inside = i[rows[0]] == j[rows[0]]
             first = rows if inside else rows[mine[rows] == i[rows[0]]]
             second = rows if inside else rows[mine[rows] != i[rows[0]]]
-            found.append(_alike(n, label, f, first, second, similarity, inside))
+            band = int(np.argmax(keys[rows[0]] == key[rows[0]]))
+            found.append(_alike(n, label, f, keys, band, first, second, similarity, inside))
         doc = table.column("doc").combine_chunks()
         a, b = (pa.array(np.concatenate([x[c] for x in found]), pa.int64()) for c in (0, 1))
         return pa.RecordBatch.from_arrays([doc.take(a), doc.take(b)], names=["a", "b"])
@@ -401,7 +406,9 @@ def _labels(docs: DataFrame, known: DataFrame, reps: DataFrame, id_col: str, tex
     if open_.isEmpty():
         return labels
     members = staged(rest.join(open_, "key"), "members")
-    fine = staged(fine_signatures(sets.join(staged(members.select("doc").distinct(), "unsettled"), "doc", "left_semi")), "fine")
+    unsettled = staged(members.select("doc").distinct(), "unsettled")
+    fine = staged(fine_signatures(sets.join(unsettled, "doc", "left_semi"))
+                  .join(first.select("doc", "keys").dropDuplicates(["doc"]), "doc"), "fine")
     maybe = _compare_blocks(members.join(fine, "doc"), similarity)
     maybe = staged(maybe.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     more = staged(_links(maybe, sets, similarity), "links")
