@@ -55,7 +55,7 @@ BANDS, ROWS = 24, 5                        # 0.8 ** 5 = 0.33 a band: one pair in
 MAX_ELEMENTS = 300_000                     # words hashed together in a task: bounds its memory
 FINE, SLACK = 480, 4.0                     # at similarity 0.8 a pair is passed over with probability 3e-5
 FINE_DOCUMENTS = 256                       # documents signed together on ``FINE`` coordinates: bounds a task's memory
-BLOCK = 512                                # members of a bucket compared with as many others at a time
+BLOCK = 4_096                                # members of a bucket compared with as many others at a time
 _U = np.uint64
 
 
@@ -299,7 +299,8 @@ def _compare_blocks(members: DataFrame, similarity: float) -> DataFrame:
     """(a, b): pairs that may reach the similarity, of members (key, size, doc, n, label, keys, f) of the same key."""
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     id_type = dict(members.dtypes)["doc"]
-    placed = members.select("key", "doc", "n", F.xxhash64("label").alias("label"), "keys", "f", blocks.alias("blocks"),
+    placed = members.select("key", "doc", "n", F.xxhash64("label").alias("label"),
+                            F.transform("keys", lambda k: F.shiftright(k, 32).cast("int")).alias("keys"), "f", blocks.alias("blocks"),
                             F.pmod(F.xxhash64("doc", "key"), blocks).cast("int").alias("mine"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("doc", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
@@ -316,7 +317,7 @@ def _compare_blocks(members: DataFrame, similarity: float) -> DataFrame:
             inside = i[rows[0]] == j[rows[0]]
             first = rows if inside else rows[mine[rows] == i[rows[0]]]
             second = rows if inside else rows[mine[rows] != i[rows[0]]]
-            band = int(np.argmax(keys[rows[0]] == key[rows[0]]))
+            band = int(np.argmax(keys[rows[0]] == key[rows[0]] >> 32))
             found.append(_alike(n, label, f, keys, band, first, second, similarity, inside))
         doc = table.column("doc").combine_chunks()
         a, b = (pa.array(np.concatenate([x[c] for x in found]), pa.int64()) for c in (0, 1))
