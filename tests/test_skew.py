@@ -110,3 +110,20 @@ def test_salted_adjacency_is_read_in_place(spark):
     assert not any("Exchange" in line for line in ancestors)
     salts = layout.table.filter(F.col("src") == "T_0").select("_salt").distinct().count()
     assert salts == 5
+
+
+def test_chains_of_a_terminal_heavy_on_both_sides_are_a_grid(spark, skew_conf):
+    """Terminal 0 holds a third of the frauds and of the clean rows: its pairs are spread over cells."""
+    from txlens.operators import skew
+    g = build.build_graph(skewed_tx(spark, 1500))
+    fast = motif.infection_chains(g.edges, cell_rows=40)
+    naive = motif.infection_chains_naive(g.vertices, g.edges)
+    assert fast.count() == naive.count() and fast.exceptAll(naive).count() == 0
+    fraud = g.edges.filter("TX_FRAUD = 1").select("dst", F.col("src").alias("a")).distinct()
+    clean = g.edges.filter("TX_FRAUD = 0").select("dst", F.col("src").alias("b"), "TRANSACTION_ID")
+    grid = skew.grid_of(skew.key_counts(fraud, ["dst"]), skew.key_counts(clean, ["dst"]), ["dst"], 40)
+    cells = {r["dst"]: r["_rows"] * r["_cols"] for r in grid.collect()}
+    assert cells["T_0"] >= 10 and set(cells) == {"T_0"}
+    pairs = skew.grid_join(fraud, clean, ["dst"], grid).filter("dst = 'T_0'")
+    tasks = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) >= 4 and max(tasks) <= sum(tasks) * 0.6

@@ -4,11 +4,11 @@ G11 label_propagation, X4 connected_components, X3 pagerank,
 A17 community_sizes, A18 ring_metrics, A19 fraud_rings, A25 community_count,
 A26 largest_community, G14 community_of, G15 community_report.
 
-Iterative algorithms: the adjacency is built once (parallel edges collapsed
-to a weight) and written bucketed by source vertex with hot vertices salted
-(``graph.layout``), so a step shuffles only the per-vertex state, never the
-adjacency; every step is one join + partially-aggregated groupBys, and the
-state is checkpointed to the shared checkpoint folder each step.
+Label propagation and PageRank build the adjacency once (parallel edges collapsed to a weight) and
+write it bucketed by source vertex with hot vertices salted (``graph.layout``), so a step shuffles only per-vertex
+state.  Both work on active sets: once few vertices still change, only these send messages, as changes to what
+their neighbours have gathered.  Components contract stars: each round replaces the edges by fewer that
+join the same vertices.  The state of every step is written to the shared folder, and what is no longer needed goes.
 """
 
 from __future__ import annotations
@@ -18,90 +18,135 @@ from pyspark.sql import functions as F
 
 from txlens.functions.columns import pct
 from txlens.functions.stats import one_row
-from txlens.operators.graph.build import simple_undirected_edges, weighted_undirected_edges
+from txlens.operators.graph.build import weighted_undirected_edges
 from txlens.operators.graph.layout import SaltedAdjacency
 from txlens.operators.skew import HOT_KEY_ROWS, attach_group_stats
 from txlens.schema import CUSTOMER_PREFIX, CUSTOMER_TYPE, TERMINAL_PREFIX, TERMINAL_TYPE
-from txlens.session import ensure_checkpoint_dir
+from txlens.session import Scratch, written
 
 
-def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
-                      hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+ACTIVE_SHARE = 0.25        # of the adjacency: when fewer rows belong to changed vertices, only changes are sent
+
+
+def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5, hot_rows: int = HOT_KEY_ROWS,
+                      active_share: float = ACTIVE_SHARE, log: list | None = None) -> DataFrame:
     """Synchronous LPA on both edge directions, parallel edges counted.
 
     Start label = vertex id; each step a vertex takes the label with the
     largest total weight among its neighbours (ties -> smallest label); a
     vertex without neighbours keeps its label.  Returns (id, type?, label).
+
+    While many labels change, a step sends every vertex's label.  Once the changed vertices own less than
+    ``active_share`` of the adjacency, the votes (id, label, score) are kept and only changes are sent: minus the
+    weight for the label left, plus for the label taken.  Weights are whole numbers, so both
+    give the same votes.  Stops early when no label changes.  ``log`` gathers the messages of each step.
     """
-    spark = vertices.sparkSession
-    ensure_checkpoint_dir(spark)
-    adj = SaltedAdjacency(weighted_undirected_edges(edges), hot_rows, "lpa_adj")
     vcols = [c for c in vertices.columns if c != "label"]
-    # the vertex attributes ride along in the state, so the result is the
-    # last checkpoint itself (no re-join with a recomputed vertex frame)
-    labels = vertices.select(*vcols, F.col("id").alias("label")).checkpoint(eager=True)
-    for _ in range(max_iter):
-        msgs = adj.join(labels.select("id", "label"))
-        votes = msgs.groupBy(F.col("dst").alias("id"), "label").agg(F.sum("w").alias("score"))
-        best = (votes.groupBy("id")
-                     .agg(F.min(F.struct((-F.col("score")).alias("neg"), F.col("label").alias("lab"))).alias("b"))
-                     .select("id", F.col("b.lab").alias("new_label")))
-        labels = (labels.join(best, "id", "left")
-                        .select(*vcols, F.coalesce("new_label", "label").alias("label"))
-                        .checkpoint(eager=True))
-    return labels
-
-
-def connected_components(vertices: DataFrame, edges: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    with Scratch() as scratch, SaltedAdjacency(weighted_undirected_edges(edges), hot_rows, "lpa_adj") as adj:
+        degree = scratch.written(adj.table.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("_deg")), "lpa_degree")
+        total = one_row(degree, F.sum("_deg"))[0] or 0
+        # the vertex attributes ride along in the state, so the result is the last state itself
+        labels = scratch.written(vertices.join(degree, "id", "left").select(
+            *vcols, "_deg", F.col("id").alias("label"), F.lit(None).cast(dict(vertices.dtypes)["id"]).alias("_old")), "lpa_state")
+        votes, sent = None, total
+        for _ in range(max_iter):
+            if votes is None:
+                asked = adj.join(labels.select("id", "label")).groupBy(F.col("dst").alias("id"), "label").agg(F.sum("w").alias("score"))
+                messages = total
+                if sent < active_share * total:
+                    votes = asked = scratch.written(asked, "lpa_votes")
+            else:
+                moved = labels.filter("_old IS NOT NULL").select("id", F.explode(F.array(
+                    F.struct(F.col("_old").alias("label"), F.lit(-1).alias("sign")),
+                    F.struct(F.col("label").alias("label"), F.lit(1).alias("sign")))).alias("v")).select("id", "v.*")
+                change = adj.join(moved).select(F.col("dst").alias("id"), "label", (F.col("w") * F.col("sign")).alias("score"))
+                change = scratch.written(change.groupBy("id", "label").agg(F.sum("score").alias("score")), "lpa_change")
+                votes = scratch.written(votes.unionByName(change).groupBy("id", "label").agg(F.sum("score").alias("score"))
+                                        .filter("score > 0"), "lpa_votes")
+                # a vertex whose neighbours have all kept their labels keeps its own
+                asked = votes.join(change.select("id").distinct(), "id", "left_semi")
+                messages = 2 * sent
+            best = (asked.groupBy("id")
+                    .agg(F.min(F.struct((-F.col("score")).alias("neg"), F.col("label").alias("lab"))).alias("b"))
+                    .select("id", F.col("b.lab").alias("new_label")))
+            new = F.coalesce("new_label", "label")
+            labels = scratch.written(labels.join(best, "id", "left").select(
+                *vcols, "_deg", new.alias("label"), F.when(new != F.col("label"), F.col("label")).alias("_old")), "lpa_state")
+            sent = one_row(labels.filter("_old IS NOT NULL"), F.coalesce(F.sum("_deg"), F.lit(0)))[0]
+            if log is not None:
+                log.append(int(messages))
+            if not sent:
+                break
+        return written(labels.select(*vcols, "label"), "lpa_labels")
+
+
+def connected_components(vertices: DataFrame, edges: DataFrame, hot_rows: int = HOT_KEY_ROWS, log: list | None = None) -> DataFrame:
     """(id, component) with component = smallest vertex id of the component.
 
-    Min-label propagation to a fixed point; every round also jumps one
-    pointer (label <- label of the label), which roughly halves the rounds
-    on long chains.  No iteration cap: it stops when no label changes.
+    Alternating star contraction: an edge is kept as (hi, lo) with lo < hi.  A large star moves the lower end of every
+    edge to the smallest neighbour of that end; a small star links all lower neighbours of a vertex, and the vertex
+    itself, to the smallest of them.  Both keep what is connected; edges that become equal merge, so the set
+    shrinks, until every vertex is linked to the smallest of its component alone.  Edges of a hot
+    vertex are a plain side of a join of written tables, which Spark's skew-join rule splits.  No
+    iteration cap; ``hot_rows`` is accepted as by the other algorithms, but nothing is salted here; ``log`` gathers the
+    edges after each round.
     """
-    spark = vertices.sparkSession
-    ensure_checkpoint_dir(spark)
-    adj = SaltedAdjacency(simple_undirected_edges(edges), hot_rows, "cc_adj")
-    vcols = [c for c in vertices.columns if c != "component"]
-    comp = vertices.select(*vcols, F.col("id").alias("component")).checkpoint(eager=True)
-    while True:
-        nbr = (adj.join(comp.select("id", "component"))
-                  .groupBy(F.col("dst").alias("id")).agg(F.min("component").alias("nmin")))
-        c1 = F.least("component", F.coalesce("nmin", "component"))
-        s1 = comp.join(nbr, "id", "left").select(*vcols, F.col("component").alias("_old"), c1.alias("_c1"))
-        # pointer jump through the previous (checkpointed) labels: label <- label of the label
-        look = comp.select(F.col("id").alias("_c1"), F.col("component").alias("_jump"))
-        step = (s1.join(look, "_c1", "left")
-                  .select(*vcols, "_old", F.least("_c1", F.coalesce("_jump", "_c1")).alias("component"))
-                  .checkpoint(eager=True))
-        comp = step.drop("_old")
-        if step.filter(F.col("component") != F.col("_old")).isEmpty():
-            break
-    return comp
-
-
-def pagerank(vertices: DataFrame, edges: DataFrame, reset_probability: float = 0.15,
-             max_iter: int = 10, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    with Scratch() as scratch:
+        pairs = edges.filter(F.col("src") != F.col("dst")).select(
+            F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct()
+        now = scratch.written(pairs, "cc_edges")
+        known = None
+        while True:
+            low = scratch.written(now.groupBy("hi").agg(F.min("lo").alias("low")), "cc_low")
+            # large star: (hi, lo) -> (hi, smallest neighbour of lo)
+            near = low.select(F.col("hi").alias("lo"), F.col("low").alias("near"))
+            large = scratch.written(now.join(near, "lo", "left").select("hi", F.coalesce("near", "lo").alias("lo")).distinct(), "cc_edges")
+            # small star: (hi, lo) -> (lo, smallest lower neighbour of hi), and hi -> the same
+            low = scratch.written(large.groupBy("hi").agg(F.min("lo").alias("low")), "cc_low")
+            links = large.join(low, "hi").filter(F.col("lo") != F.col("low")).select(F.col("lo").alias("hi"), F.col("low").alias("lo"))
+            now = scratch.written(links.unionByName(low.select("hi", F.col("low").alias("lo"))).distinct(), "cc_edges")
+            sums = one_row(now, F.count(F.lit(1)), F.expr("bit_xor(xxhash64(hi, lo))"))
+            if log is not None:
+                log.append(sums[0])
+            if known == tuple(sums):
+                break
+            known = tuple(sums)
+        root = now.select(F.col("hi").alias("id"), F.col("lo").alias("_root"))
+        vcols = [c for c in vertices.columns if c != "component"]
+        return written(vertices.join(root, "id", "left").select(*vcols, F.coalesce("_root", "id").alias("component")), "cc_components")
+
+
+def pagerank(vertices: DataFrame, edges: DataFrame, reset_probability: float = 0.15, max_iter: int = 10,
+             hot_rows: int = HOT_KEY_ROWS, tolerance: float = 0.0, log: list | None = None) -> DataFrame:
     """Static PageRank on the directed multigraph (parallel edges count),
     rank starts at 1.0, rank = reset + (1 - reset) * sum(in-contributions),
-    final ranks rescaled to sum to the number of vertices."""
-    spark = vertices.sparkSession
-    ensure_checkpoint_dir(spark)
+    final ranks rescaled to sum to the number of vertices.
+
+    A vertex keeps the sum of its in-contributions; only vertices whose rank has changed by more than ``tolerance``
+    send, and what they send is the change.  Without a change the iterations that are left change
+    nothing.  ``log`` gathers the vertices that send in each step."""
     w = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
-    links = SaltedAdjacency(attach_group_stats(w, ["src"], {"deg": F.sum("w")}, hot_rows).select("src", "dst", (F.col("w") / F.col("deg")).alias("share")),
-                            hot_rows, "pr_links")
+    shares = attach_group_stats(w, ["src"], {"deg": F.sum("w")}, hot_rows).select("src", "dst", (F.col("w") / F.col("deg")).alias("share"))
     vcols = [c for c in vertices.columns if c != "pagerank"]
-    ranks = vertices.select(*vcols, F.lit(1.0).alias("pagerank")).checkpoint(eager=True)
-    for _ in range(max_iter):
-        contrib = (links.join(ranks.select("id", "pagerank"))
-                        .groupBy(F.col("dst").alias("id"))
-                        .agg(F.sum(F.col("share") * F.col("pagerank")).alias("c")))
-        ranks = (ranks.select(*vcols).join(contrib, "id", "left")
-                      .select(*vcols, (F.lit(reset_probability)
-                                     + F.lit(1.0 - reset_probability) * F.coalesce("c", F.lit(0.0))).alias("pagerank"))
-                      .checkpoint(eager=True))
-    st = one_row(ranks, F.count(F.lit(1)).alias("n"), F.sum("pagerank").alias("total"))
-    return ranks.select(*vcols, (F.col("pagerank") * F.lit(float(st["n"])) / F.lit(st["total"])).alias("pagerank"))
+    with Scratch() as scratch, SaltedAdjacency(shares, hot_rows, "pr_links") as links:
+        ranks = scratch.written(vertices.select(*vcols, F.lit(1.0).alias("pagerank"), F.lit(0.0).alias("_in"),
+                                                F.lit(1.0).alias("_change")), "pr_state")
+        for _ in range(max_iter):
+            active = ranks.filter(F.abs("_change") > F.lit(tolerance)).select("id", "_change")
+            n = active.count()
+            if log is not None:
+                log.append(n)
+            if not n:
+                break
+            more = links.join(active).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("share") * F.col("_change")).alias("_more"))
+            state = ranks.join(more, "id", "left").withColumn("_in", F.col("_in") + F.coalesce("_more", F.lit(0.0)))
+            rank = F.lit(reset_probability) + F.lit(1.0 - reset_probability) * F.col("_in")
+            # a change too small to be sent is kept for later
+            held = F.when(F.abs("_change") > F.lit(tolerance), 0.0).otherwise(F.col("_change"))
+            ranks = scratch.written(state.select(*vcols, rank.alias("pagerank"), "_in",
+                                                 (held + rank - F.col("pagerank")).alias("_change")), "pr_state")
+        st = one_row(ranks, F.count(F.lit(1)).alias("n"), F.sum("pagerank").alias("total"))
+        return written(ranks.select(*vcols, (F.col("pagerank") * F.lit(float(st["n"])) / F.lit(st["total"])).alias("pagerank")), "pr_ranks")
 
 
 def _make_up(labels: DataFrame, label_col: str, total: str) -> DataFrame:

@@ -13,18 +13,19 @@ adjacency rows has them spread over ``ceil(rows / hot_rows)`` salts (hash of
 the neighbour), and its state row is replicated once per salt.  The hot-
 vertex table has at most ``rows / hot_rows`` entries, which bounds its
 broadcast.
+
+The tables go with ``drop()`` or at the end of a ``with`` block.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.operators.skew import HOT_KEY_ROWS
-from txlens.session import scratch_path
+from txlens.session import delete_path, scratch_path, written
 from txlens.sources.sinks import create_database
 
 STATE_DB = "txlens_state"
@@ -37,21 +38,34 @@ class SaltedAdjacency:
         spark = adj.sparkSession
         self.spark = spark
         self.n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        # the input feeds two passes (degrees, then the bucketed write): cache it for the setup only
-        adj = adj.persist(StorageLevel.MEMORY_AND_DISK)
+        # the input feeds two passes (degrees, then the bucketed write): written once
+        plain = scratch_path(spark, f"{name}_plain")
+        adj.write.parquet(plain)
+        adj = spark.read.schema(adj.schema).parquet(plain)
         deg = adj.groupBy("src").agg(F.count(F.lit(1)).alias("_rows"))
         width = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int")
         hot = deg.filter(F.col("_rows") > F.lit(hot_rows)).select("src", width.alias("_w"))
-        self.hot = hot.checkpoint(eager=True)           # <= rows / hot_rows entries
+        self.hot = written(hot, f"{name}_hot")          # <= rows / hot_rows entries
         salt = F.when(F.col("_w").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("_w")).cast("int"))
         salted = adj.join(F.broadcast(self.hot), "src", "left").select(*adj.columns, salt.alias("_salt"))
         create_database(spark, STATE_DB, scratch_path(spark, f"{STATE_DB}.db"))
-        table = f"{STATE_DB}.{name}_{uuid.uuid4().hex[:12]}"
+        table, self.path = f"{STATE_DB}.{name}_{uuid.uuid4().hex[:12]}", scratch_path(spark, name)
         (salted.repartition(self.n, "src", "_salt")        # one bucket per task -> n files
                .write.mode("overwrite").bucketBy(self.n, "src", "_salt")
-               .option("path", scratch_path(spark, name)).saveAsTable(table))
-        adj.unpersist()
-        self.table = spark.table(table)
+               .option("path", self.path).saveAsTable(table))
+        delete_path(spark, plain)
+        self.name, self.table = table, spark.table(table)
+
+    def drop(self) -> None:
+        """Drop the table and its files; frames that read it are no longer usable."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        delete_path(self.spark, self.path)
+
+    def __enter__(self) -> "SaltedAdjacency":
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.drop()
 
     def state_for_join(self, state: DataFrame, key: str = "id") -> DataFrame:
         """Per-vertex state renamed to src, replicated once per salt of a hot vertex."""

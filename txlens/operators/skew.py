@@ -18,6 +18,11 @@ task.  ``attach_group_stats`` therefore salts only the hot groups:
    slice has about ``hot_rows`` rows, so no task sees more than that.
 
 Keys must be NULL-free (callers map NULL to a sentinel), so the join is exact.
+
+``grid_join`` is for keys that are heavy on *both* sides of a join, where salting one side
+leaves a task with all rows of the other.  A heavy key's pairs form a rectangle that is cut into a grid: each side is
+cut into fragments of about ``cell_rows`` rows, and each fragment travels once for every fragment of the
+other side (fragment and replicate).  A key heavy on one side only has one fragment on the other.
 """
 
 from __future__ import annotations
@@ -42,3 +47,48 @@ def attach_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column],
     salts = F.sequence(F.lit(0), F.greatest(width - F.lit(1), F.lit(0)))
     replicated = agg.select(*keys, *names, F.explode(salts).alias("_salt"))
     return rows.join(replicated, keys + ["_salt"], "left").drop("_salt")
+
+
+CELL_ROWS = 500_000        # rows of one side of a key that meet in one task of a grid join
+
+
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key (partially aggregated before the shuffle)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def grid_of(left_counts: DataFrame, right_counts: DataFrame, keys: list[str], cell_rows: int = CELL_ROWS) -> DataFrame:
+    """keys, _rows, _cols: how many fragments each heavy key has on either side.
+
+    Only keys of both sides that have more than ``cell_rows`` rows on one: at most (rows of both sides) / ``cell_rows`` rows.
+    Counts may be upper bounds."""
+    both = left_counts.select(*keys, F.col("_n").alias("_l")).join(right_counts.select(*keys, F.col("_n").alias("_r")), keys)
+    heavy = both.filter(F.greatest("_l", "_r") > F.lit(cell_rows))
+    return heavy.select(*keys, *[F.ceil(F.col(c) / F.lit(cell_rows)).cast("int").alias(n) for c, n in (("_l", "_rows"), ("_r", "_cols"))])
+
+
+def _dealt(df: DataFrame, keys: list[str], grid: DataFrame, own: str, other: str, own_name: str, other_name: str) -> DataFrame:
+    """``df`` with its own fragment number, repeated for every fragment of the other side."""
+    one = F.coalesce(F.col(own), F.lit(1))
+    numbers = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
+    # dealt at random (no column is read for it); rows of other keys have one fragment
+    mine = F.least(F.floor(F.rand(17) * one).cast("int"), one - 1)
+    # two steps: the fragment is drawn once per row, before the row is repeated
+    drawn = df.join(F.broadcast(grid), keys, "left").select(*df.columns, mine.alias(own_name), numbers.alias("_numbers"))
+    return drawn.select(*df.columns, own_name, F.explode("_numbers").alias(other_name))
+
+
+def grid_join(left: DataFrame, right: DataFrame, keys: list[str], grid: DataFrame | None = None, condition: Column | None = None,
+              cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Inner equi-join on ``keys`` (other columns differ in name) whose heavy keys are spread over a grid of tasks.
+
+    The partitions are fixed at the session's shuffle width: a join that fans out keeps its
+    parallelism although its inputs are small."""
+    if grid is None:
+        grid = grid_of(key_counts(left, keys), key_counts(right, keys), keys, cell_rows)
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    on = [*keys, "_i", "_j"]
+    a = _dealt(left, keys, grid, "_rows", "_cols", "_i", "_j").repartition(n, *on)
+    b = _dealt(right, keys, grid, "_cols", "_rows", "_j", "_i").repartition(n, *on)
+    joined = a.join(b, on)
+    return (joined.filter(condition) if condition is not None else joined).drop("_i", "_j")

@@ -171,6 +171,43 @@ def q_motif_match(spark, sf):
                     F.col("e.TRANSACTION_ID").alias("e_id"), F.col("e.TX_AMOUNT").alias("e_amount"))
 
 
+# pairs of frauds on one terminal within a day; a fraud's customer seen later at another terminal
+_PAIRS_WHERE = ("e1.TX_FRAUD = 1 AND e2.TX_FRAUD = 1 AND a.id != b.id AND e2.TX_TIME_SECONDS > e1.TX_TIME_SECONDS "
+                "AND e2.TX_TIME_SECONDS - e1.TX_TIME_SECONDS <= 86400 AND a.type = 'Customer'")
+
+
+@query("motif_two_terms", with_("edges_a") + """SELECT e1.src AS a_id, e1.dst AS t_id, e2.src AS b_id,
+  e1.TRANSACTION_ID AS e1_id, e2.TRANSACTION_ID AS e2_id, e2.TX_AMOUNT AS e2_amount
+FROM edges_a e1 JOIN edges_a e2 ON e2.dst = e1.dst
+WHERE e1.TX_FRAUD = 1 AND e2.TX_FRAUD = 1 AND e1.src <> e2.src AND e2.TX_TIME_SECONDS > e1.TX_TIME_SECONDS
+  AND e2.TX_TIME_SECONDS - e1.TX_TIME_SECONDS <= 86400""")
+def q_motif_two(spark, sf):
+    """Two frauds of different customers on one terminal within a day."""
+    g = graph_a(spark, sf)
+    m = motif.find_motif(g.vertices, g.edges.select("src", "dst", *EDGE_COLS), "(a)-[e1]->(t); (b)-[e2]->(t)", _PAIRS_WHERE)
+    return m.select(F.col("a.id").alias("a_id"), F.col("t.id").alias("t_id"), F.col("b.id").alias("b_id"),
+                    F.col("e1.TRANSACTION_ID").alias("e1_id"), F.col("e2.TRANSACTION_ID").alias("e2_id"),
+                    F.col("e2.TX_AMOUNT").alias("e2_amount"))
+
+
+@query("motif_three_terms", with_("edges_a") + """SELECT e1.src AS a_id, e1.dst AS t1_id, e2.src AS b_id, e3.dst AS t2_id,
+  e1.TRANSACTION_ID AS e1_id, e2.TRANSACTION_ID AS e2_id, e3.TRANSACTION_ID AS e3_id
+FROM edges_a e1 JOIN edges_a e2 ON e2.dst = e1.dst JOIN edges_a e3 ON e3.src = e2.src
+WHERE e1.src <> e2.src AND e1.dst <> e3.dst AND e1.TX_FRAUD = 1 AND e2.TX_FRAUD = 0 AND e3.TX_FRAUD = 1
+  AND e2.TX_TIME_SECONDS > e1.TX_TIME_SECONDS AND e3.TX_TIME_SECONDS > e2.TX_TIME_SECONDS
+  AND e3.TX_TIME_SECONDS - e1.TX_TIME_SECONDS <= 172800""")
+def q_motif_three(spark, sf):
+    """A fraud, then a clean visit of the same terminal, then a fraud of that visitor elsewhere, all in two days."""
+    g = graph_a(spark, sf)
+    m = motif.find_motif(
+        g.vertices, g.edges.select("src", "dst", *EDGE_COLS), "(a)-[e1]->(t1); (b)-[e2]->(t1); (b)-[e3]->(t2)",
+        "a.id != b.id AND t1.id != t2.id AND e1.TX_FRAUD = 1 AND e2.TX_FRAUD = 0 AND e3.TX_FRAUD = 1 "
+        "AND e2.TX_TIME_SECONDS > e1.TX_TIME_SECONDS AND e3.TX_TIME_SECONDS > e2.TX_TIME_SECONDS "
+        "AND e3.TX_TIME_SECONDS - e1.TX_TIME_SECONDS <= 172800")
+    return m.select(F.col("a.id").alias("a_id"), F.col("t1.id").alias("t1_id"), F.col("b.id").alias("b_id"), F.col("t2.id").alias("t2_id"),
+                    *[F.col(f"{e}.TRANSACTION_ID").alias(f"{e}_id") for e in ("e1", "e2", "e3")])
+
+
 # ---------------------------------------------------------------- traversals
 _BFS_SQL = """SELECT r.id AS "from", e1.dst AS v1, e2.dst AS "to"
 FROM root_a r JOIN und_a e1 ON e1.src = r.id JOIN und_a e2 ON e2.src = e1.dst
@@ -193,6 +230,17 @@ def q_bfs(spark, sf):
     return _bfs_a(spark, sf)
 
 
+@query("bfs_path_counts", with_("root_a", "und_a") + f"""SELECT "to" AS id, 2 AS distance, count(*)::DOUBLE AS n_paths
+FROM ({_BFS_SQL}) p GROUP BY 1""")
+def q_bfs_counts(spark, sf):
+    """The number of shortest paths to every customer next to the top fraud customer, without listing them."""
+    tx = ad.events_tx(spark, sf)
+    g = build.build_graph(tx)
+    root = top_fraud_customer(tx)
+    found = traversal.bfs_path_counts(g.vertices, g.edges, f"id = '{root}'", f"type = 'Customer' AND id != '{root}'", 4)
+    return found.withColumn("n_paths", F.col("n_paths").cast("double"))
+
+
 @query("bfs_path_pairs", with_("root_a", "und_a") + f"""SELECT p.*, x.step, x.node_from, x.node_to FROM ({_BFS_SQL}) p,
   LATERAL (SELECT 0 AS step, p."from" AS node_from, p.v1 AS node_to UNION ALL SELECT 1, p.v1, p."to") x""")
 def q_bfs_pairs(spark, sf):

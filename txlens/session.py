@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed defaults for the session we build ourselves (tests, bench).
 DEFAULT_CONF = {
@@ -63,3 +63,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint root for written tables."""
     root = checkpoint_root(spark)
     return f"{root}/txlens-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a table in the shared folder and read back: cuts the lineage, survives
+    lost executors, and (unlike a checkpoint, whose plan runs once to count and once to write) is computed once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class Scratch:
+    """Written tables of one operator that go when it is done: ``with Scratch() as scratch: scratch.written(...)``.
+    What the operator returns must not read them."""
+
+    def __init__(self):
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(df.sparkSession, name)
+        self.paths.append((df.sparkSession, path))
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *error) -> None:
+        for spark, path in self.paths:
+            delete_path(spark, path)
+        self.paths = []
