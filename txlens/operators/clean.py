@@ -105,6 +105,7 @@ def add_month_features(df: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame
     specs: map-side partial aggregation, and a hot (month, customer) or
     (month, terminal) group is split over several tasks by salting (see
     ``operators.skew``) where a window would sort the whole group in one task.
+    Both aggregates read the narrow input, not the joined rows.
     """
     mk, ck, tk = _key("tx_year_month", _NULL_MONTH), _key("CUSTOMER_ID", _NULL_ID), _key("TERMINAL_ID", _NULL_ID)
     keep = [c for c in df.columns if c not in ("customer_tx_count", "customer_avg_amount", "terminal_tx_count")]
@@ -112,7 +113,7 @@ def add_month_features(df: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame
     out = attach_group_stats(base, ["_mk", "_ck"], {
         "customer_tx_count": F.count("TRANSACTION_ID"),
         "customer_avg_amount": F.avg("TX_AMOUNT")}, hot_rows)
-    out = attach_group_stats(out, ["_mk", "_tk"], {"terminal_tx_count": F.count("TRANSACTION_ID")}, hot_rows)
+    out = attach_group_stats(out, ["_mk", "_tk"], {"terminal_tx_count": F.count("TRANSACTION_ID")}, hot_rows, source=base)
     return out.select(*keep, "customer_tx_count", "customer_avg_amount", "terminal_tx_count")
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlens.functions.columns import pct
+from txlens.functions.columns import money_sum, pct
 from txlens.functions.stats import one_row
 from txlens.operators.graph.build import weighted_undirected_edges
 from txlens.operators.graph.layout import SaltedAdjacency
@@ -176,17 +176,16 @@ def ring_metrics(edges: DataFrame, labels: DataFrame, label_col: str = "label")
     """Per community of the *source* customer: tx, frauds, amounts, rate %.
 
     Edges are summed per source first, so only one row per customer meets the
-    labels, and the edges are shuffled once.  Amounts are summed as decimals, so
-    the totals do not depend on the order of the partitions."""
-    amount = F.col("TX_AMOUNT").cast("decimal(28,10)")
+    labels, and the edges are shuffled once.  Amounts are summed in whole numbers, so
+    the totals of a customer do not depend on the order of the partitions."""
     per_source = edges.groupBy(F.col("src").alias("id")).agg(
         F.count("TRANSACTION_ID").alias("tx"), F.count(F.when(F.col("TX_FRAUD") == 1, 1)).alias("frauds"),
-        F.sum(amount).alias("amount"), F.sum(F.when(F.col("TX_FRAUD") == 1, amount).otherwise(0)).alias("lost"))
+        money_sum("TX_AMOUNT").alias("amount"),
+        F.coalesce(money_sum(F.when(F.col("TX_FRAUD") == 1, F.col("TX_AMOUNT"))), F.lit(0.0)).alias("lost"))
     ring = (per_source.join(labels.select("id", F.col(label_col).alias("community_label")), "id")
             .groupBy("community_label")
-            .agg(*[F.sum(c).cast(kind).alias(name) for c, name, kind in (
-                ("tx", "Total_Transactions", "bigint"), ("frauds", "Fraud_Transactions", "bigint"),
-                ("lost", "Total_Fraud_Amount", "double"), ("amount", "Total_Transaction_Amount", "double"))]))
+            .agg(F.sum("tx").alias("Total_Transactions"), F.sum("frauds").alias("Fraud_Transactions"),
+                 money_sum("lost").alias("Total_Fraud_Amount"), money_sum("amount").alias("Total_Transaction_Amount")))
     return ring.withColumn("Fraud_Rate_Pct", pct("Fraud_Transactions", "Total_Transactions", 2))
 
 

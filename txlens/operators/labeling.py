@@ -2,18 +2,20 @@
 
 Inputs are the transactions and the compromise windows as tables:
 terminal windows (TERMINAL_ID, day) and customer windows (CUSTOMER_ID, day).
-A window covers days [day, day + length).  Each window is exploded into its
-days once, so "transaction day inside a window" becomes an equi-join on
-(id, TX_TIME_DAYS).
+A window covers days [day, day + length).  Windows are not unfolded into days: time is cut into spans of the
+windows' length, an interval is known to each span that it touches (two for a single window), and a transaction
+looks in its own span.  Terminal windows are first merged to disjoint intervals, so a transaction meets
+at most two of its terminal's rows.  A hot (terminal, span) is dealt over tasks (``skew.grid_join``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlens.functions.stats import one_row
-from txlens.operators.ordering import with_global_index
+from txlens.operators.selection import first_rows
+from txlens.operators.skew import CELL_ROWS, salted_lookup
 
 # --- fixed values of the reference's fraud scenarios ------------------------
 AMOUNT_THRESHOLD = 220.0
@@ -24,9 +26,21 @@ CARD_FRAUD_AMOUNT_FACTOR = 5.0
 # -----------------------------------------------------------------------------
 
 
-def _window_days(windows: DataFrame, id_col: str, length: int) -> DataFrame:
-    return windows.select(F.col(id_col), F.col("day").alias("window_day"),
-                          F.explode(F.sequence(F.col("day"), F.col("day") + F.lit(length - 1))).alias("TX_TIME_DAYS"))
+def merged_windows(windows: DataFrame, id_col: str, length: int) -> DataFrame:
+    """Disjoint intervals (id, start, end) that cover the same days as the windows [day, day + length)."""
+    days = windows.select(id_col, F.col("day").cast("bigint").alias("start")).filter(
+        F.col(id_col).isNotNull() & F.col("start").isNotNull()).distinct()
+    order = Window.partitionBy(id_col).orderBy("start")                       # one row per day of an id at most
+    gap = F.col("start") > F.lag("start").over(order) + F.lit(length)
+    island = F.sum(F.when(gap, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return (days.withColumn("_island", island).groupBy(id_col, "_island")
+            .agg(F.min("start").alias("start"), (F.max("start") + F.lit(length)).alias("end")).drop("_island"))
+
+
+def _by_span(intervals: DataFrame, length: int) -> DataFrame:
+    """Intervals once per span of ``length`` days that they touch."""
+    return intervals.withColumn("_span", F.explode(F.sequence(
+        F.floor(F.col("start") / F.lit(length)), F.floor((F.col("end") - 1) / F.lit(length)))))
 
 
 def label_amount(tx: DataFrame, threshold: float = AMOUNT_THRESHOLD) -> DataFrame:
@@ -38,11 +52,16 @@ def label_amount(tx: DataFrame, threshold: float = AMOUNT_THRESHOLD) -> DataFram
     })
 
 
-def label_terminal_compromise(tx: DataFrame, windows: DataFrame, length: int = TERMINAL_WINDOW_DAYS) -> DataFrame:
+def label_terminal_compromise(tx: DataFrame, windows: DataFrame, length: int = TERMINAL_WINDOW_DAYS,
+                              cell_rows: int = CELL_ROWS) -> DataFrame:
     """Rows on a compromised terminal inside its window -> fraud, scenario 2."""
-    days = _window_days(windows, "TERMINAL_ID", length).select("TERMINAL_ID", "TX_TIME_DAYS").distinct()
-    days = days.select("*", F.lit(True).alias("_hit"))
-    j = tx.join(days, ["TERMINAL_ID", "TX_TIME_DAYS"], "left")
+    spans = _by_span(merged_windows(windows, "TERMINAL_ID", length), length)
+    # the intervals of a span as one short list (two at most): one row per (terminal, span) to meet
+    lists = spans.groupBy("TERMINAL_ID", "_span").agg(F.collect_list(F.struct("start", "end")).alias("_open"))
+    at = tx.withColumn("_span", F.floor(F.col("TX_TIME_DAYS") / F.lit(length)))
+    j = salted_lookup(at, lists, ["TERMINAL_ID", "_span"], cell_rows)
+    inside = F.exists("_open", lambda w: (w["start"] <= F.col("TX_TIME_DAYS")) & (F.col("TX_TIME_DAYS") < w["end"]))
+    j = j.withColumn("_hit", F.when(inside, True))
     hit = F.col("_hit").isNotNull()
     return j.withColumns({
         "TX_FRAUD": F.when(hit, F.lit(1)).otherwise(F.col("TX_FRAUD")),
@@ -54,18 +73,20 @@ def card_compromise_picks(tx: DataFrame, windows: DataFrame, order: list[Column]
                           length: int = CUSTOMER_WINDOW_DAYS) -> DataFrame:
     """J8 step: per window day, the first floor(n/3) of its n rows in ``order``.
 
-    Returns (TRANSACTION_ID, picks) — how many windows picked each row.  The
-    rank inside a window day comes from distributed global positions (range
-    partitioning), so a huge window day is spread over many tasks.
+    Returns (TRANSACTION_ID, picks) — how many windows picked each row.  ``order`` are numeric columns.
+    The border of a window day's first third comes from a histogram of its order values that is narrowed to
+    the border bin (``selection.first_rows``): candidates are counted, not sorted, and a window day
+    with most candidates is spread like any other.
     """
-    days = _window_days(windows, "CUSTOMER_ID", length)
-    cand = tx.select("TRANSACTION_ID", "CUSTOMER_ID", "TX_TIME_DAYS", *[o.alias(f"_o{i}") for i, o in enumerate(order)])
-    cand = cand.join(days, ["CUSTOMER_ID", "TX_TIME_DAYS"]).select(
-        "TRANSACTION_ID", "window_day", *[f"_o{i}" for i in range(len(order))])
-    idx = with_global_index(cand, ["window_day"] + [f"_o{i}" for i in range(len(order))], "_gi")
-    grp = idx.groupBy("window_day").agg(F.min("_gi").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    picked = (idx.join(grp, "window_day")
-                 .filter(F.col("_gi") - F.col("_start") < F.floor(F.col("_n") / F.lit(CARD_FRAUD_SHARE_DIVISOR))))
+    names = [f"_o{i}" for i in range(len(order))]
+    # a customer has one window per day at most
+    spans = _by_span(windows.select("CUSTOMER_ID", F.col("day").alias("window_day"), F.col("day").cast("bigint").alias("start"),
+                                    (F.col("day").cast("bigint") + length).alias("end")), length)
+    cand = tx.select("TRANSACTION_ID", "CUSTOMER_ID", "TX_TIME_DAYS", *[o.alias(n) for o, n in zip(order, names)])
+    cand = cand.withColumn("_span", F.floor(F.col("TX_TIME_DAYS") / F.lit(length)))
+    cand = cand.join(spans, ["CUSTOMER_ID", "_span"]).filter("start <= TX_TIME_DAYS AND TX_TIME_DAYS < end").select(
+        "TRANSACTION_ID", "window_day", *names)
+    picked = first_rows(cand, "window_day", names, F.floor(F.col("n") / F.lit(CARD_FRAUD_SHARE_DIVISOR)))
     return picked.groupBy("TRANSACTION_ID").agg(F.count(F.lit(1)).alias("picks"))
 
 

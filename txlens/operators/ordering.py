@@ -1,4 +1,4 @@
-"""Ordering helpers: global row positions, exact quantiles, top-k, hash sample/split.
+"""Ordering helpers: global row positions, sketch quantiles, top-k, hash sample/split (exact quantiles: ``selection``).
 
 ``with_global_index`` gives every row its 0-based position in a total order
 without a single-partition window: range-partition + sort, count rows per
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txlens.operators.selection import exact_quantiles  # noqa: F401  (its place for callers)
 from txlens.session import ensure_checkpoint_dir
 
 _LOW_BITS = 33  # monotonically_increasing_id: record number in the low 33 bits
@@ -36,39 +37,6 @@ def with_global_index(df: DataFrame, order_cols: list, name: str = "row_index",
                   .select(*[F.col(c) for c in df.columns], (F.col("_off") + local).alias(name)))
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: list[float], group_col: str | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles (pandas/numpy 'linear', DuckDB
-    quantile_cont) computed from distributed ranks — no single-buffer percentile.
-
-    Returns one row per group: (group?, q_0, q_1, ...).
-    """
-    keys = [group_col] if group_col else []
-    # a row tiebreak makes every sort key distinct, so range partitioning can
-    # split a value (or group) that holds a large share of the rows
-    base = (df.select(*keys, F.col(value_col).cast("double").alias("_v"),
-                      F.monotonically_increasing_id().alias("_tb"))
-              .filter(F.col("_v").isNotNull()))
-    order = keys + ["_v", "_tb"]
-    idx = with_global_index(base, order, "_i")
-    grp = idx.groupBy(*keys).agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_cnt"))
-    # wanted positions per group: floor/ceil of p*(n-1) for every p
-    wanted = grp.select(*keys, "_start", "_cnt", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("qi"), (F.lit(p) * (F.col("_cnt") - 1)).alias("pos"))
-        for i, p in enumerate(probs)])).alias("w"))
-    wanted = wanted.select(*keys, "_start", "w.qi", "w.pos",
-                           F.explode(F.array_distinct(F.array(F.floor("w.pos"), F.ceil("w.pos")))).alias("k"))
-    wanted = wanted.select(*keys, "qi", "pos", (F.col("_start") + F.col("k")).alias("_i"), "k")
-    # wanted: 2 positions per (group, probability) -> broadcast, the ranked rows stay in place
-    picked = F.broadcast(wanted).join(idx.select("_i", "_v"), "_i")
-    per_q = picked.groupBy(*keys, "qi", "pos").agg(
-        F.min(F.struct("k", "_v")).alias("lo"), F.max(F.struct("k", "_v")).alias("hi"))
-    frac = F.col("pos") - F.col("lo.k")
-    val = F.col("lo._v") + frac * (F.col("hi._v") - F.col("lo._v"))
-    per_q = per_q.select(*keys, "qi", val.alias("q"))
-    out = per_q.groupBy(*keys).pivot("qi", list(range(len(probs)))).agg(F.first("q"))
-    return out.select(*keys, *[F.col(str(i)).alias(f"q_{i}") for i in range(len(probs))])
-
-
 def approx_quantiles(df: DataFrame, value_col: str, probs: list[float], group_col: str | None = None,
                      accuracy: int = 100000) -> DataFrame:
     """Bounded-memory sketch quantiles for very large inputs."""

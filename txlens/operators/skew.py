@@ -34,15 +34,18 @@ HOT_KEY_ROWS = 2_000_000   # rows of one group handled by one task at most
 
 
 def attach_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column],
-                       hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """df + one column per aggregate of ``stats`` ({name: aggregate}), computed per ``keys`` group."""
+                       hot_rows: int = HOT_KEY_ROWS, source: DataFrame | None = None) -> DataFrame:
+    """df + one column per aggregate of ``stats`` ({name: aggregate}), computed per ``keys`` group.
+
+    ``source`` holds the same rows for the aggregates, when ``df`` is costlier to read again."""
     names = list(stats)
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[e.alias(n) for n, e in stats.items()])
+    agg = (df if source is None else source).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[e.alias(n) for n, e in stats.items()])
     width = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int")
     hot = agg.filter(F.col("_n") > F.lit(hot_rows)).select(*keys, width.alias("_w"))
     rows = df.join(F.broadcast(hot), keys, "left")
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    salt = F.when(F.col("_w").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col("_w")).cast("int"))
+    # hashed only for rows of a hot group
+    row_hash = F.when(F.col("_w").isNotNull(), F.xxhash64(*[F.col(c) for c in df.columns]))
+    salt = F.coalesce(F.pmod(row_hash, F.col("_w")).cast("int"), F.lit(0))
     rows = rows.select(*df.columns, salt.alias("_salt"))
     salts = F.sequence(F.lit(0), F.greatest(width - F.lit(1), F.lit(0)))
     replicated = agg.select(*keys, *names, F.explode(salts).alias("_salt"))
@@ -92,3 +95,17 @@ def grid_join(left: DataFrame, right: DataFrame, keys: list[str], grid: DataFram
     b = _dealt(right, keys, grid, "_cols", "_rows", "_j", "_i").repartition(n, *on)
     joined = a.join(b, on)
     return (joined.filter(condition) if condition is not None else joined).drop("_i", "_j")
+
+
+def salted_lookup(df: DataFrame, table: DataFrame, keys: list[str], cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Left join of rows with a table of one row per key; rows of a key with more than ``cell_rows`` of them
+    are dealt over salts, and the table's row is repeated for each."""
+    width = F.ceil(F.col("_n") / F.lit(cell_rows)).cast("int")
+    hot = key_counts(df, keys).filter(F.col("_n") > F.lit(cell_rows)).select(*keys, width.alias("_w"))   # rows / cell_rows at most
+    hot = F.broadcast(hot)
+    width = F.coalesce(F.col("_w"), F.lit(1))
+    salt = F.least(F.floor(F.rand(17) * width).cast("int"), width - 1)
+    rows = df.join(hot, keys, "left").select(*df.columns, salt.alias("_salt"))
+    others = [c for c in table.columns if c not in keys]
+    copies = table.join(hot, keys, "left").select(*keys, *others, F.explode(F.sequence(F.lit(0), width - 1)).alias("_salt"))
+    return rows.join(copies, [*keys, "_salt"], "left").drop("_salt")

@@ -171,7 +171,7 @@ def q_hist(spark, sf):
   FROM (SELECT customer_group, CAST(customer_tx_count AS DOUBLE) AS v FROM grouped_a) g
   JOIN (SELECT customer_group, quantile_cont(customer_tx_count, 0.25) AS q1, quantile_cont(customer_tx_count, 0.5) AS median,
           quantile_cont(customer_tx_count, 0.75) AS q3 FROM grouped_a GROUP BY customer_group) q
-    ON g.customer_group = q.customer_group
+    ON g.customer_group IS NOT DISTINCT FROM q.customer_group
   GROUP BY g.customer_group, q.q1, q.median, q.q3) b""")
 def q_box(spark, sf):
     """Box-plot data of transactions per customer, by customer group."""
@@ -184,12 +184,13 @@ def q_box(spark, sf):
   SELECT customer_group, count(*) AS n, stddev_samp(customer_avg_amount) * pow(count(*), -0.2) AS bw,
          min(customer_avg_amount) AS vmin, max(customer_avg_amount) AS vmax
   FROM grouped_a WHERE customer_avg_amount IS NOT NULL GROUP BY customer_group),
-st2 AS (SELECT *, vmin - 3.0 * bw AS gmin, vmax + 3.0 * bw AS gmax FROM st WHERE bw > 0),
-grid AS (SELECT st2.*, CAST(g.gi AS INTEGER) AS gi FROM st2, range(200) g(gi))
-SELECT grid.customer_group, grid.gi, {R6('grid.gmin + grid.gi * (grid.gmax - grid.gmin) / 199')} AS x,
-  {R6(f'sum(exp(-0.5 * pow((grid.gmin + grid.gi * (grid.gmax - grid.gmin) / 199 - a.customer_avg_amount) / grid.bw, 2)) / (grid.bw * {math.sqrt(2 * math.pi)!r} * grid.n))')} AS density
-FROM grid JOIN grouped_a a ON a.customer_group = grid.customer_group AND a.customer_avg_amount IS NOT NULL
-GROUP BY grid.customer_group, grid.gi, grid.gmin, grid.gmax""")
+st2 AS (SELECT *, vmin - 3.0 * bw AS gmin, vmax + 3.0 * bw AS gmax FROM st WHERE bw > 0 AND vmax > vmin),
+grid AS (SELECT st2.*, CAST(g.gi AS INTEGER) AS gi, gmin + g.gi * (gmax - gmin) / 199 AS x FROM st2, range(200) g(gi))
+SELECT grid.customer_group, grid.gi, {R6('grid.x')} AS x,
+  {R6(f'sum(exp(-0.5 * pow((grid.x - a.customer_avg_amount) / grid.bw, 2)) / (grid.bw * {math.sqrt(2 * math.pi)!r} * grid.n))')} AS density
+FROM grid JOIN grouped_a a ON a.customer_group IS NOT DISTINCT FROM grid.customer_group AND a.customer_avg_amount IS NOT NULL
+GROUP BY grid.customer_group, grid.gi, grid.x
+UNION ALL SELECT customer_group, 0, {R6('vmin')}, NULL FROM st WHERE NOT coalesce(bw > 0 AND vmax > vmin, false)""")
 def q_density(spark, sf):
     """Gaussian KDE (200 points, Scott bandwidth) of average amount per group."""
     grouped = behavior.customer_group(profile_a(spark, sf))

@@ -126,8 +126,7 @@ def q_monthly_csv(spark, sf):
     """K5: one CSV directory per month (month lives in the path), read back with the month column."""
     path = scratch_path(spark, "monthly-csv")
     sinks.write_monthly_csv(raw_a(spark, sf), path, month_expr=F.substring("TX_DATETIME", 1, 7))
-    schema = T.StructType(list(RAW_SCHEMA.fields) + [T.StructField("TX_MONTH", T.StringType())])
-    return spark.read.schema(schema).option("header", "true").csv(path)
+    return readers.read_monthly_csv(spark, path)
 
 
 @query("catalog_listing")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txlens.operators.clean import clean_transactions
 from txlens.schema import RAW_SCHEMA
+from txlens.sources.sinks import CSV_OPTIONS
 
 
 def read_raw_csv(spark: SparkSession, paths, multiline: bool = False) -> DataFrame:
@@ -26,6 +28,14 @@ def read_raw_csv(spark: SparkSession, paths, multiline: bool = False) -> DataFra
                  .csv(list(paths)))
 
 
+def read_monthly_csv(spark: SparkSession, path: str, month_col: str = "TX_MONTH", schema: T.StructType = RAW_SCHEMA,
+                     multiline: bool = False) -> DataFrame:
+    """K5 read back: the folder of ``sinks.write_monthly_csv`` with its month column, every text as it was written."""
+    full = T.StructType([*schema.fields, T.StructField(month_col, T.StringType())])
+    options = CSV_OPTIONS | {"multiLine": "true" if multiline else "false"}
+    return spark.read.schema(full).options(**options).csv(path)
+
+
 def read_cleaned_parquet(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
     """S3: the month-partitioned Parquet directory; month filter = partition pruning."""
     df = spark.read.parquet(path)

@@ -74,11 +74,20 @@ def save_managed_orc(df: DataFrame, table: str, partition_col: str = PARTITION_C
         .partitionBy(partition_col).saveAsTable(table))
 
 
+# A text column comes back as it was written: spaces stay, and NULL and empty text are told apart (fixed marker).
+CSV_NULL = "\\N"
+CSV_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+               "nullValue": CSV_NULL}
+
+
 def write_monthly_csv(df: DataFrame, path: str, month_expr=None, month_col: str = "TX_MONTH") -> None:
-    """K5: headered CSV, one directory per month (the month column lives in the path)."""
+    """K5: headered CSV, one directory per month (the month column lives in the path).
+
+    NULL is written as ``CSV_NULL``, empty text as empty, other text as it is; a text that is ``CSV_NULL`` itself
+    reads back as NULL (``readers.read_monthly_csv``)."""
     m = month_expr if month_expr is not None else F.date_format("TX_DATETIME", "yyyy-MM")
     out = df.select("*", m.alias(month_col))
-    (_layout(out, month_col).write.mode("overwrite").option("header", "true")
+    (_layout(out, month_col).write.mode("overwrite").options(**CSV_OPTIONS)
         .partitionBy(month_col).csv(path))
 
 
