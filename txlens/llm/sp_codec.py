@@ -119,19 +119,32 @@ class Agenda:
 
 
 class Codec:
-    """Unit -> (ids, decimal text, corrected) for a worker process."""
+    """Unit -> (ids, corrected, decimal text, plain) for a worker process."""
 
     def __init__(self, model: bytes):
         self.agenda = Agenda(model)
         self.memo = Memo(self._encode, limit=300_000)
+        lib = self.agenda.lib
+        self.decimal = [str(i) for i in range(lib.get_piece_size())]
+        self.pieces = ["" if lib.is_control(i) or lib.is_byte(i) or lib.is_unknown(i) else lib.id_to_piece(i)
+                       for i in range(lib.get_piece_size())]
 
     def _encode(self, units: list[str]) -> list[tuple]:
         """units: texts without their leading mark."""
         ours = [self.agenda.ids_of(MARK + u.replace(" ", MARK)) for u in units]
         # an empty unit (a space at the end) is a lone mark, which the library drops from an empty text
         library = self.agenda.lib.encode(units, num_threads=1)
-        return [(np.array(a if a == b or not u else b, dtype=np.int32), int(bool(u) and a != b))
-                for u, a, b in zip(units, ours, library)]
+        final = [a if a == b or not u else b for u, a, b in zip(units, ours, library)]
+        # a unit is plain if its pieces spell it after a mark: plain units in a row decode to these units with a space
+        # between, which the library confirms for all of them together (or, failing that, one by one)
+        pieces, decimal, lib = self.pieces, self.decimal, self.agenda.lib
+        plain = [bool(u) and "".join([pieces[i] for i in f]) == MARK + u for u, f in zip(units, final)]
+        some = [k for k, p in enumerate(plain) if p]
+        if lib.decode([i for k in some for i in final[k]]) != " ".join([units[k] for k in some]):
+            for k in some:
+                plain[k] = lib.decode(final[k]) == units[k]
+        return [(np.array(f, dtype=np.int32), int(bool(u) and a != b), " ".join([decimal[i] for i in f]), p)
+                for u, a, b, f, p in zip(units, ours, library, final, plain)]
 
     def units(self, text: str) -> list[str]:
         """The units of a text whose spaces are not all single."""
@@ -170,6 +183,60 @@ class Codec:
             else:
                 yield gather(flat, starts, lengths, c), int(fixed[c].sum()) if some_fixed else 0
 
+    def digests(self, texts: pa.Array) -> tuple[list[int], list[str], list[str], list[int]]:
+        """Number of ids, hash of the ids, hash of the decoded text and corrected units per text, the end id included.
+
+        A text of plain units alone is never unfolded to ids: the units' decimal texts are joined, and its decoding is the
+        text itself.  Any other text is encoded and decoded as a whole."""
+        parts = pc.split_pattern(texts, " ")
+        offsets = np.asarray(parts.offsets, dtype=np.int64)
+        enc = parts.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).dictionary_encode()
+        offsets = offsets - offsets[0]
+        codes, names = np.asarray(enc.indices, dtype=np.int64), enc.dictionary.to_pylist()
+        known = self.memo.get(names)
+        plain = np.fromiter((k[3] and u != "" and MARK not in u for k, u in zip(known, names)), dtype=bool, count=len(names))
+        if not self.agenda.cuttable or not len(texts):
+            plain[:] = False
+        starts = offsets[:-1]
+        whole = np.logical_and.reduceat(plain[codes], starts) if len(texts) else np.zeros(0, bool)
+        length = np.fromiter((len(k[0]) for k in known), dtype=np.int64, count=len(known))
+        n = np.add.reduceat(length[codes], starts) + 1 if len(texts) else np.zeros(0, np.int64)
+        fixed = np.fromiter((k[1] for k in known), dtype=np.int64, count=len(known))
+        n_fixed = np.add.reduceat(fixed[codes], starts) if len(texts) else n
+        decimal = pa.array([k[2] for k in known], pa.large_string())
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), decimal.take(pa.array(codes))),
+                                pa.scalar(" ", pa.large_string()))
+        end = b" " + self.decimal[self.agenda.eos].encode()
+        ids_hash, text_hash = [], []
+        slow = iter(self._slow_digests(texts.filter(pa.array(~whole))))
+        n, n_fixed = n.tolist(), n_fixed.tolist()
+        for r, (line, text) in enumerate(zip(_pieces(joined), _pieces(texts.cast(pa.large_string())))):
+            if whole[r]:
+                h = hashlib.sha256(line)
+                h.update(end)
+                ids_hash.append(h.hexdigest())
+                text_hash.append(hashlib.sha256(text).hexdigest())
+            else:
+                n[r], a, b, n_fixed[r] = next(slow)
+                ids_hash.append(a)
+                text_hash.append(b)
+        return n, ids_hash, text_hash, n_fixed
+
+    def _slow_digests(self, texts: pa.Array) -> Iterator[tuple[int, str, str, int]]:
+        rows = [(np.append(ids, np.int32(self.agenda.eos)).tolist(), n) for ids, n in self.encode(texts)]
+        for (ids, n), text in zip(rows, self.agenda.lib.decode([ids for ids, _ in rows]) if rows else []):
+            yield (len(ids), hashlib.sha256(" ".join([self.decimal[i] for i in ids]).encode()).hexdigest(),
+                   hashlib.sha256(text.encode()).hexdigest(), n)
+
+
+def _pieces(strings: pa.Array) -> Iterator[memoryview]:
+    """The bytes of each string of a large_string array, without copies."""
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int64)[strings.offset:strings.offset + len(strings) + 1].tolist() if len(strings) else [0]
+    view = memoryview(data) if data is not None else memoryview(b"")
+    for a, b in zip(at, at[1:]):
+        yield view[a:b]
+
 
 def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                      digests_only: bool = False) -> DataFrame:
@@ -185,24 +252,21 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = model.value
         codec = worker_once(("sp", file_key(data)), lambda: Codec(data))
-        end, decimal = codec.agenda.eos, [str(i) for i in range(codec.agenda.lib.get_piece_size())]
+        end = codec.agenda.eos
         for batch in batches:
             texts = batch.column(1).fill_null("")
             for start, part in text_slices(texts):
-                rows = [(np.append(ids, np.int32(end)), n) for ids, n in codec.encode(part)]
-                lists = [ids.tolist() for ids, _ in rows]
-                decoded = codec.agenda.lib.decode(lists)
                 if digests_only:
-                    cols = [pa.array([len(x) for x in lists], pa.int64()),
-                            pa.array([hashlib.sha256(" ".join([decimal[i] for i in x]).encode()).hexdigest()
-                                      for x in lists], pa.string()),
-                            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string())]
+                    n, ids_hash, text_hash, fixed = codec.digests(part)
+                    cols = [pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
                     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
                 else:
-                    cols = [pa.array(lists, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                    rows = [(np.append(ids, np.int32(end)), n) for ids, n in codec.encode(part)]
+                    lists, fixed = [ids.tolist() for ids, _ in rows], [n for _, n in rows]
+                    cols = [pa.array(lists, pa.list_(pa.int32())), pa.array(codec.agenda.lib.decode(lists), pa.string())]
                     names = ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(part)), *cols, pa.array([n for _, n in rows], pa.int64())],
+                    [batch.column(0).slice(start, len(part)), *cols, pa.array(fixed, pa.int64())],
                     names=["doc_id", *names, "n_corrected"])
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
