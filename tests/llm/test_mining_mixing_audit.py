@@ -233,3 +233,30 @@ def test_sketch_clears_only_unique_texts(spark):
     left = h.filter(maybe("h")).select("id").toPandas()["id"]
     assert set(range(15_000, 20_000)) <= set(left)
     assert (left < 15_000).sum() < 600
+
+
+def test_conflicting_labels_count_as_zero_whatever_their_order(spark):
+    from txlens.llm import quality_qda, toxicity
+    rng = random.Random(1)
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(["good", "plain", "word", "text", "zx#", "##"]) for _ in range(60)) + (" vile scum" * 3 if i % 4 == 0 else ""))
+                                  for i in range(120)], "doc_id long, text string")
+    clean = [(i, int(i % 3 > 0), int(i % 4 == 0)) for i in range(120)]
+    both = clean + [(i, 1 - q, 1 - t) for i, q, t in clean[:40]]
+    low = [(i, min(q, 1 - q), min(t, 1 - t)) if i < 40 else (i, q, t) for i, q, t in clean]
+    schema = "doc_id long, quality int, toxic int"
+    for module in (quality_qda, toxicity):
+        runs = []
+        for rows in (both, both[::-1], low):
+            model = module.fit(docs, spark.createDataFrame(rows, schema).repartition(3))
+            runs.append([round(r["score"], 9) for r in module.score(docs, model).orderBy("doc_id").collect()])
+        assert runs[0] == runs[1] == runs[2]
+
+
+def test_agendas_of_many_units_equal_one_by_one():
+    import public_tokenizers
+    from txlens.llm.sp_codec import MARK, Agenda
+    agenda = Agenda(open(public_tokenizers.path("piece_bpe_32k.model"), "rb").read())
+    rng = random.Random(3)
+    alphabet = "abcdefghijklmnopqrstuvwxyz.,;ABCé漢🙂\n\t0123 " + MARK
+    units = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(4000)]
+    assert agenda.merge_many(units) == [agenda.ids_of(u) for u in units]

@@ -7,7 +7,7 @@ from helpers import documents, near_classes, shingles
 from pyspark.sql import functions as F
 
 from txlens.llm import dartminhash
-from txlens.llm.common import Scratch
+from txlens.session import Scratch
 
 
 def _edited(rnd, w, k):
@@ -59,7 +59,7 @@ def test_fine_signatures_agree_as_often_as_sets(spark):
 
 def test_scratch_tables_go(spark):
     with Scratch() as scratch:
-        df = scratch.staged(spark.range(5), "t")
+        df = scratch.written(spark.range(5), "t")
         path = scratch.paths[0][1]
         assert df.agg(F.sum("id")).first()[0] == 10 and spark.read.parquet(path).count() == 5
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

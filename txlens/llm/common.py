@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
@@ -14,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlens.session import scratch_path
+from txlens.session import written
 
 # Whitespace of the quality contracts: \x20 and \x09-\x0D (fixed values).
 WS = " \t\n\x0b\x0c\r"
@@ -41,34 +40,7 @@ def ship_package(spark: SparkSession) -> None:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts the
     lineage, survives lost executors, and is computed once."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-class Scratch:
-    """Staged tables of one operator that go when it is done: ``with Scratch() as scratch: scratch.staged(...)``.
-    What the operator returns must not read them."""
-
-    def __init__(self):
-        self.paths: list[tuple[SparkSession, str]] = []
-
-    def __enter__(self) -> "Scratch":
-        return self
-
-    def staged(self, df: DataFrame, name: str) -> DataFrame:
-        spark = df.sparkSession
-        path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
-        self.paths.append((spark, path))
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    def __exit__(self, *error) -> None:
-        for spark, path in self.paths:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        self.paths = []
+    return written(df, name)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -48,7 +48,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlens.llm.common import Scratch, fresh, release_worker, ship_package, staged
+from txlens.llm.common import fresh, release_worker, ship_package, staged
+from txlens.session import Scratch
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5                        # 0.8 ** 5 = 0.33 a band: one pair in 14,000 at 0.8 meets in none
@@ -373,7 +374,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, ban
     known = sig.filter(F.col("fp1").isNotNull() & F.col("doc_id").isNotNull())
     reps = staged(known.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("doc")), "representatives")
     with Scratch() as scratch:
-        labels = _labels(docs, known, reps, id_col, text_col, similarity, scratch.staged)
+        labels = _labels(docs, known, reps, id_col, text_col, similarity, scratch.written)
         reps = staged(reps.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc")), "classes")
     members = sig.select("doc_id", "fp1", "fp2", "n").join(reps.drop("doc"), ["fp1", "fp2", "n"], "left")
     return members.select("doc_id", F.coalesce("label", "doc_id").alias("class_id"))

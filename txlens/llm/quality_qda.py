@@ -123,11 +123,11 @@ def _calibrate(hist: list[tuple[float, int, int]]) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality") -> Model:
-    """Learn from every labelled row outside the held-out fold.
+    """Learn from every labelled row outside the held-out fold; an id with both labels counts as 0.
 
     Only labelled documents' statistics (twelve numbers a row) are shuffled."""
     known = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")).filter(
-        F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("i"))).dropDuplicates(["i"])
+        F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("i"))).groupBy("i").agg(F.min("y").alias("y"))
     narrow = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter(~held_out(F.col("i")))
     rows = statistics(narrow, "x", "t").select("i", "x").join(known, "i").select("x", "y").persist()
     try:

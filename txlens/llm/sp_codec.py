@@ -34,6 +34,9 @@ from pyspark.sql import functions as F
 from txlens.llm.common import Memo, file_key, gather, read_file, ship_package, text_slices, worker_once
 
 MARK = "▁"
+NEVER = np.iinfo(np.int32).max
+LONG, TOGETHER = 48, 8_192   # characters of a unit, and units, that merge together
+NEXT = "\x02"              # begins a unit that follows a line break, without a mark (texts that hold it take the slow way)
 
 
 class Agenda:
@@ -56,6 +59,9 @@ class Agenda:
         # a cut in front of a mark is exact only if no piece holds "x" + mark
         self.cuttable = not any(b == MARK and a != MARK for a, b in self.inner)
         self.eos = sp.eos_id()
+        self.spelled = range(n)
+        self._tables()
+        self.loose = {int(i): chr(c) for c, i in enumerate(self.of_char.tolist()) if i >= n}
         self.parts = Memo(lambda units: [self._merge(u) for u in units])
         probe = sp.encode("a  b")
         if sp.encode("") or probe != self.ids_of(MARK + "a" + MARK + MARK + "b"):
@@ -102,6 +108,96 @@ class Agenda:
                 out.append(self.unknown)
         return out
 
+    def _tables(self) -> None:
+        """Symbols (pieces, and characters that occur in pieces) as numbers, and the pairs that merge, by (left, right)."""
+        symbols = dict(self.ids)
+        for p in self.rank:
+            for c in p:
+                symbols.setdefault(c, self.lib.get_piece_size() + len(symbols))
+        self.base = max(symbols.values()) + 1
+        pairs = {}
+        for p, r in self.rank.items():
+            for i in range(1, len(p)):
+                left, right = symbols.get(p[:i]), symbols.get(p[i:])
+                if left is not None and right is not None:
+                    pairs[left * self.base + right] = (r, symbols[p])
+        self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
+        self.pair_rank = np.array([pairs[k][0] for k in self.pair_keys.tolist()], dtype=np.int32)
+        self.pair_into = np.array([pairs[k][1] for k in self.pair_keys.tolist()], dtype=np.int32)
+        self.of_char = np.full(0x110000, -1, dtype=np.int32)
+        for c, i in symbols.items():
+            if len(c) == 1:
+                self.of_char[ord(c)] = i
+
+    def _look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair (``NEVER`` if it does not merge) and the symbol it becomes."""
+        key = left.astype(np.int64) * self.base + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        hit = (self.pair_keys[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(hit, self.pair_rank[at], NEVER), self.pair_into[at]
+
+    def merge_many(self, units: list[str]) -> list[list[int]]:
+        """Ids of many units (with marks): the agendas of all of them, one merge each per round.
+
+        A round takes each unit's pair of the least rank, the leftmost of equals, as its agenda would; only the two pairs beside a
+        merge are looked up anew.  Units run together with others of like length; long ones take ``ids_of``."""
+        if not self.byte_fallback or not len(self.pair_keys):
+            return [self.ids_of(u) for u in units]
+        length = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
+        out: list = [None] * len(units)
+        order = np.argsort(length, kind="stable")
+        order = order[:np.searchsorted(length[order], LONG, side="right")]
+        for k in np.flatnonzero(length > LONG).tolist():
+            out[k] = self.ids_of(units[k])
+        for a in range(0, len(order), TOGETHER):
+            some = order[a:a + TOGETHER]
+            self._rounds([units[k] for k in some.tolist()], length[some], some, out)
+        return out
+
+    def _rounds(self, units: list[str], length: np.ndarray, places: np.ndarray, out: list) -> None:
+        width = max(2, int(length[-1]))
+        points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        code = self.of_char[points]
+        code = np.where(code >= 0, code, -2 - points.astype(np.int64)).astype(np.int32)
+        inside = np.arange(width) < length[:, None]
+        sym = np.full(inside.shape, -1, dtype=np.int32)
+        sym[inside] = code
+        rank, into = self._look(sym[:, :-1], sym[:, 1:])
+        rows, n = np.arange(len(units)), length.copy()
+        column = np.arange(width)
+        while True:
+            at = rank.argmin(1)
+            go = rank[np.arange(len(rank)), at] != NEVER
+            for r in np.flatnonzero(~go).tolist():
+                out[places[rows[r]]] = self._final(sym[r, :n[r]].tolist())
+            if not go.any():
+                return
+            rows, sym, rank, into, at, n = rows[go], sym[go], rank[go], into[go], at[go], n[go] - 1
+            line = np.arange(len(rows))
+            sym[line, at] = into[line, at]
+            # close the gap behind the merged symbol
+            move = np.minimum(column + (column > at[:, None]), width - 1)
+            sym = np.take_along_axis(sym, move, 1)
+            sym[line, n] = -1
+            rank, into = np.take_along_axis(rank, move[:, :-1].clip(max=width - 2), 1), np.take_along_axis(into, move[:, :-1].clip(max=width - 2), 1)
+            rank[line, np.minimum(n - 1, width - 2)] = NEVER
+            rank[line, np.minimum(n, width - 2)] = NEVER
+            for beside in (at - 1, at):
+                ok = (beside >= 0) & (beside < n - 1)
+                w, b = line[ok], beside[ok]
+                rank[w, b], into[w, b] = self._look(sym[w, b], sym[w, b + 1])
+
+    def _final(self, symbols: list[int]) -> list[int]:
+        if not symbols or min(symbols) >= 0 and max(symbols) < len(self.spelled):
+            return symbols
+        ids: list[int] = []
+        for s in symbols:
+            if 0 <= s < len(self.spelled):
+                ids.append(s)
+            else:
+                ids += [self.bytes[b] for b in (chr(-2 - s) if s < 0 else self.loose[s]).encode()]
+        return ids
+
     def ids_of(self, unit: str) -> list[int]:
         """Cut ``unit`` where two neighbours stand together in no piece, then merge each part."""
         if not self.byte_fallback:
@@ -126,23 +222,32 @@ class Codec:
         self.memo = Memo(self._encode, limit=300_000)
         lib = self.agenda.lib
         self.decimal = [str(i) for i in range(lib.get_piece_size())]
-        self.pieces = ["" if lib.is_control(i) or lib.is_byte(i) or lib.is_unknown(i) else lib.id_to_piece(i)
-                       for i in range(lib.get_piece_size())]
+        agenda_bytes = {i: b for b, i in enumerate(self.agenda.bytes)} if self.agenda.byte_fallback else {}
+        self.spell = [bytes([agenda_bytes[i]]) if i in agenda_bytes else b"" if lib.is_control(i) or lib.is_unknown(i)
+                      else lib.id_to_piece(i).encode() for i in range(lib.get_piece_size())]
+        # the library decodes a row of pieces to what they spell, without the first mark (checked once, for all pieces)
+        usable = sorted(self.agenda.ids.values())
+        start = self.agenda.ids.get(MARK)
+        whole = b"".join([self.spell[i] for i in usable]).decode().replace(MARK, " ")
+        self.spells = start is not None and lib.decode([start, *usable]) == whole
+        # line breaks are in no piece: a text may be cut after each of them
+        self.line_break = lib.encode("\n")
+        self.lines = self.agenda.byte_fallback and not any("\n" in p for p in self.agenda.ids) and \
+            self.line_break == self.agenda.ids_of(MARK + "\n")
 
-    def _encode(self, units: list[str]) -> list[tuple]:
-        """units: texts without their leading mark."""
-        ours = [self.agenda.ids_of(MARK + u.replace(" ", MARK)) for u in units]
+    def _encode(self, units: list[str], lines: bool = True) -> list[tuple]:
+        """units: texts without their leading mark, or (``lines``) what follows a line break after ``NEXT``."""
+        agenda, lib, brk = self.agenda, self.agenda.lib, self.line_break
+        after = [lines and u[:1] == NEXT for u in units]
+        ours = agenda.merge_many([u[1:] if n else MARK + u.replace(" ", MARK) for u, n in zip(units, after)])
         # an empty unit (a space at the end) is a lone mark, which the library drops from an empty text
-        library = self.agenda.lib.encode(units, num_threads=1)
+        library = lib.encode(["\n" + u[1:] if n else u for u, n in zip(units, after)], num_threads=1)
+        library = [b[len(brk):] if n else b for b, n in zip(library, after)]
         final = [a if a == b or not u else b for u, a, b in zip(units, ours, library)]
-        # a unit is plain if its pieces spell it after a mark: plain units in a row decode to these units with a space
-        # between, which the library confirms for all of them together (or, failing that, one by one)
-        pieces, decimal, lib = self.pieces, self.decimal, self.agenda.lib
-        plain = [bool(u) and "".join([pieces[i] for i in f]) == MARK + u for u, f in zip(units, final)]
-        some = [k for k, p in enumerate(plain) if p]
-        if lib.decode([i for k in some for i in final[k]]) != " ".join([units[k] for k in some]):
-            for k in some:
-                plain[k] = lib.decode(final[k]) == units[k]
+        # a unit is plain if its pieces spell it: plain units in a row decode to the text they were cut from
+        spell, decimal = self.spell, self.decimal
+        plain = [bool(u) and b"".join([spell[i] for i in f]) == (u[1:] if n else MARK + u).encode()
+                 for u, n, f in zip(units, after, final)]
         return [(np.array(f, dtype=np.int32), int(bool(u) and a != b), " ".join([decimal[i] for i in f]), p)
                 for u, a, b, f, p in zip(units, ours, library, final, plain)]
 
@@ -164,7 +269,7 @@ class Codec:
         offsets = offsets - offsets[0]
         enc = values.dictionary_encode()
         codes, names = np.asarray(enc.indices, dtype=np.int64), enc.dictionary.to_pylist()
-        odd = np.fromiter((u == "" or MARK in u for u in names), dtype=bool, count=len(names))
+        odd = np.fromiter((u == "" or MARK in u or NEXT in u for u in names), dtype=bool, count=len(names))
         if not self.agenda.cuttable:
             odd[:] = True
         known = self.memo.get(names)
@@ -178,7 +283,8 @@ class Codec:
             if len(c) == 1 and names[c[0]] == "":
                 yield flat[:0], 0
             elif some_odd and odd[c].any():
-                got = self.memo.get(self.units(texts[r].as_py()))
+                text = texts[r].as_py()
+                got = self._encode(self.units(text), lines=False) if NEXT in text else self.memo.get(self.units(text))
                 yield np.concatenate([g[0] for g in got]), sum(g[1] for g in got)
             else:
                 yield gather(flat, starts, lengths, c), int(fixed[c].sum()) if some_fixed else 0
@@ -188,17 +294,19 @@ class Codec:
 
         A text of plain units alone is never unfolded to ids: the units' decimal texts are joined, and its decoding is the
         text itself.  Any other text is encoded and decoded as a whole."""
-        parts = pc.split_pattern(texts, " ")
+        cut = pc.replace_substring_regex(texts, "\n([^ ])", f"\n {NEXT}\\1") if self.lines else texts
+        parts = pc.split_pattern(cut, " ")
         offsets = np.asarray(parts.offsets, dtype=np.int64)
         enc = parts.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).dictionary_encode()
         offsets = offsets - offsets[0]
         codes, names = np.asarray(enc.indices, dtype=np.int64), enc.dictionary.to_pylist()
         known = self.memo.get(names)
         plain = np.fromiter((k[3] and u != "" and MARK not in u for k, u in zip(known, names)), dtype=bool, count=len(names))
-        if not self.agenda.cuttable or not len(texts):
+        if not self.agenda.cuttable or not self.spells:
             plain[:] = False
         starts = offsets[:-1]
         whole = np.logical_and.reduceat(plain[codes], starts) if len(texts) else np.zeros(0, bool)
+        whole &= ~np.asarray(pc.match_substring(texts, NEXT), dtype=bool)
         length = np.fromiter((len(k[0]) for k in known), dtype=np.int64, count=len(known))
         n = np.add.reduceat(length[codes], starts) + 1 if len(texts) else np.zeros(0, np.int64)
         fixed = np.fromiter((k[1] for k in known), dtype=np.int64, count=len(known))

@@ -213,9 +213,9 @@ def train(toxic: list[str], ordinary: list[str], share: float) -> Model:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Learn from labelled rows outside the held-out fold."""
+    """Learn from labelled rows outside the held-out fold; an id with both labels counts as 0."""
     known = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")).filter(
-        F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("i"))).dropDuplicates(["i"])
+        F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("i"))).groupBy("i").agg(F.min("y").alias("y"))
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     # at most sample_docs ids of each class: a proven bound for the broadcasts
     ids = known.filter(F.col("y") == 1).orderBy(F.xxhash64("i"), "i").limit(sample_docs).union(
