@@ -17,7 +17,7 @@ from txlens.operators.clean import clean_transactions
 from txlens.plans.q_clean import _EXTRA as CLEAN_EXTRA, CLEAN_COLS, raw_a
 from txlens.plans.registry import query, r6
 from txlens.plans.sql import R6, with_
-from txlens.schema import CLEANED_COLUMNS, RAW_SCHEMA
+from txlens.schema import CLEANED_COLUMNS
 from txlens.session import scratch_path
 from txlens.sources import adapters as ad
 from txlens.sources import readers, sinks
