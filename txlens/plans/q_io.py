@@ -11,7 +11,6 @@ import re
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txlens.operators.clean import clean_transactions
 from txlens.plans.q_clean import _EXTRA as CLEAN_EXTRA, CLEAN_COLS, raw_a
