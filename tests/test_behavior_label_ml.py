@@ -127,6 +127,31 @@ def test_radius_join_matches_brute_force(spark):
         assert got[i] == exp
 
 
+def test_counts_in_reach_match_brute_force(spark):
+    rng = np.random.default_rng(8)
+    crowd = rng.normal(50, 0.5, (600, 2)).tolist() + [[50.0, 50.0]] * 60     # a dense cell, and places that no split parts
+    term = [(j, x, y) for j, (x, y) in enumerate(rng.uniform(0, 100, (300, 2)).tolist() + crowd + [[10.0, 10.0], [-3.0, -4.0]])]
+    cust = [(i, x, y) for i, (x, y) in enumerate(rng.uniform(0, 100, (60, 2)).tolist() + rng.normal(50, 4, (60, 2)).tolist()
+                                                 + [[50.0, 50.0], [50.0, 57.5], [0.0, 0.0], [17.5, 10.0], [-3.0, -4.0]])]
+    cust += [(7, 1.0, 1.0), (900, None, 1.0), (901, 3.0, float("nan"))]
+    c = spark.createDataFrame(cust, "CUSTOMER_ID long, x_customer_id double, y_customer_id double")
+    t = spark.createDataFrame([*term, (9999, None, None)], "TERMINAL_ID long, x_terminal_id double, y_terminal_id double")
+
+    def near(x, y, r):
+        if x is None or y is None:
+            return 0
+        return sum(np.sqrt((x - a) ** 2 + (y - b) ** 2) < r for _, a, b in term)
+
+    got = sorted(map(tuple, spatial.terminals_in_reach(c, t, 7.5, leaf_rows=8).collect()))
+    assert got == sorted((i, near(x, y, 7.5)) for i, x, y in cust)
+    tree = spatial.quadtree(t, 7.5, leaf_rows=8)
+    big = tree.groupBy("cx", "cy", "depth", "lx", "ly").agg(F.count("*").alias("n"), F.countDistinct("tx", "ty").alias("places"))
+    assert tree.count() == len(term) and [r["n"] for r in big.filter("n > 8 and places = 1").collect()] == [60]
+    assert big.filter(f"n > 8 and places > 1 and depth < {spatial.MAX_DEPTH}").count() == 0
+    assert spatial.terminals_in_reach(c, t.limit(0), 5.0).agg({"nb_terminals": "sum"}).first()[0] == 0
+    assert spatial.terminals_in_reach(c.limit(0), t, 5.0).count() == 0
+
+
 def test_roc_curve_matches_brute_force(spark):
     rng = np.random.default_rng(3)
     scores = rng.integers(0, 50, 400).astype(float)

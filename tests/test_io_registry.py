@@ -50,6 +50,24 @@ def test_file_audit_missing_empty_and_ok(spark):
     assert readers.files_ok(audit).first()["integrity_ok"] is False
 
 
+def test_file_audit_walks_folders(spark):
+    d = scratch_path(spark, "t-audit-tree")
+    want = {}
+    for folder, files in (("", {"a.csv": 3, "b.txt": 2}), ("x y/deep", {"c.csv": 0, "a[1].csv": 5}), ("é", {"d.csv": 1}), ("none", {})):
+        os.makedirs(os.path.join(_local(d), folder), exist_ok=True)
+        for name, size in files.items():
+            with open(os.path.join(_local(d), folder, name), "w") as f:
+                f.write("1" * size)
+            want[f"{folder}/{name}".lstrip("/")] = size
+    audit = readers.audit_files(spark, d, recursive=True)
+    rows = audit.collect()
+    root = _local(d).rstrip("/") + "/"
+    assert {r["path"].removeprefix("file:").removeprefix(root): r["bytes"] for r in rows} == {
+        k: v for k, v in want.items() if k.endswith(".csv")}
+    assert all(r["ok"] == (r["bytes"] > 0) and r["modified"] is not None for r in rows)
+    assert {r["path"].rsplit("/", 1)[1] for r in readers.audit_files(spark, [d, d + "/missing"], "?.*").collect()} == {"a.csv", "b.txt"}
+
+
 def test_dynamic_overwrite_replaces_only_present_months(spark):
     path = scratch_path(spark, "t-parquet")
     tx = ad.lineitem_tx(spark, SF001, True)

@@ -99,6 +99,28 @@ def q_top_amount(spark, sf):
     return behavior.night_spike_top_amount(ad.events_tx(spark, sf), 8, 3.0, 0)
 
 
+# O7 with the filter of the original (more than one terminal), at two deviations, where the given days have such customers.
+_REPEAT = ("SELECT CUSTOMER_ID, count(TRANSACTION_ID) AS night_spike_tx_count, count(DISTINCT TERMINAL_ID) AS unique_pos_count, "
+           f"{R('max(TX_AMOUNT)', 2)} AS max_spike_amount, {R('avg(cust_avg)', 2)} AS normal_avg_amount, "
+           f"{I64('sum(TX_FRAUD)')} AS fraud_cases_detected FROM z_a WHERE hour(TX_DATETIME) < 6 AND cust_std > 0 "
+           "AND TX_AMOUNT > cust_avg + 2 * cust_std GROUP BY CUSTOMER_ID HAVING count(DISTINCT TERMINAL_ID) > 1")
+EXTRA["repeat_a"] = (_REPEAT, ["z_a"])
+
+
+@query("night_spike_repeat_pos", with_("repeat_a", extra=EXTRA) +
+       "SELECT * FROM repeat_a ORDER BY unique_pos_count DESC, CUSTOMER_ID ASC LIMIT 10")
+def q_repeat_pos(spark, sf):
+    """Top 10 of the customers with night spikes on several terminals, by terminals."""
+    return behavior.night_spike_top_pos(ad.events_tx(spark, sf), 10, 2.0)
+
+
+@query("night_spike_repeat_amount", with_("repeat_a", extra=EXTRA) +
+       "SELECT * FROM repeat_a ORDER BY max_spike_amount DESC, CUSTOMER_ID ASC LIMIT 8")
+def q_repeat_amount(spark, sf):
+    """Top 8 of the customers with night spikes on several terminals, by amount."""
+    return behavior.night_spike_top_amount(ad.events_tx(spark, sf), 8, 2.0)
+
+
 def _tercile_sql(src: str, col: str, label: str) -> str:
     return (f"CASE WHEN {col} IS NULL THEN NULL "
             f"WHEN {col} <= (SELECT quantile_cont({col}, 1.0/3.0) FROM {src}) THEN 'Low' "

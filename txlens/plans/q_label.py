@@ -134,6 +134,17 @@ def q_radius(spark, sf):
                       "nb_terminals")
 
 
+@query("terminals_in_reach", with_("cust_d", "term_d") + """SELECT c.CUSTOMER_ID,
+  (SELECT count(*) FROM term_d t
+   WHERE sqrt(pow(c.x_customer_id - t.x_terminal_id, 2) + pow(c.y_customer_id - t.y_terminal_id, 2)) < 20) AS nb_terminals
+FROM cust_d c""")
+def q_reach(spark, sf):
+    """Number of terminals within radius 20 of each customer, by an adaptive quadtree, without pairs."""
+    cust = ad.customer_profiles(ad.read_table(spark, sf, "customer"))
+    term = ad.terminal_profiles(ad.read_table(spark, sf, "supplier"))
+    return spatial.terminals_in_reach(cust, term, 20.0)
+
+
 @query("fraud_rate_by_cell", with_("feat_b", "term_d") + f"""SELECT cell, count(*) AS total_transactions,
   {I64('sum(TX_FRAUD)')} AS fraud_transactions, {AVG2('TX_AMOUNT')} AS avg_tx_amount,
   {R('sum(TX_FRAUD) / count(*)', 4)} AS fraud_rate, {R('sum(TX_FRAUD) / count(*) * 100', 2)} AS fraud_rate_pct
