@@ -11,7 +11,7 @@ import corpus_pipeline
 from helpers import EDGE_TEXTS, SF, documents, near_classes, words
 from pyspark.sql import functions as F
 
-from txlens.llm import pii, quality_qda, quality_rules, warc_revisit
+from txlens.llm import oracle, pii, quality_qda, quality_rules, warc_revisit
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -91,6 +91,23 @@ def test_ibans_end_at_their_own_length(spark):
     assert redacted[0] == "pay [iban] Please" and redacted[1] == "[iban] BIC"
 
 
+def test_span_sql_agrees_on_ibans_and_odd_texts(spark):
+    import duckdb
+    import pandas as pd
+
+    random.seed(12)
+    parts = [*IBANS, *[x.replace(" ", "") for x in IBANS], "ZZ65 1234 5678 9012", "IBAN", "BIC", " ", " ", "A", "7", "é", "🙂",
+             ".", "\n", "AT99", "bank "]
+    texts = PII_TEXTS[:-7] + ["".join(random.choice(parts) for _ in range(random.randint(1, 6))) for _ in range(600)]
+    documents_table = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    con = duckdb.connect()
+    con.register("documents", documents_table)
+    want = dict(con.sql(f"SELECT doc_id, spans FROM ({oracle.ORACLES['op7_pii_spans']})").fetchall())
+    got = {r["doc_id"]: r["spans"] for r in pii.find(documents(spark, texts)).collect()}
+    assert [t for i, t in enumerate(texts) if got[i] != want[i]] == []
+    assert sum("iban" in x for x in got.values()) > 100
+
+
 def test_redaction_covers_every_span(spark):
     docs = documents(spark, PII_TEXTS)
     found = {r["doc_id"]: r["found"] for r in pii.find(docs).collect()}

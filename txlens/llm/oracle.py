@@ -47,7 +47,7 @@ PLAIN = {
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": pii.PATTERNS["iban"],
+    "iban": "[A-Z]{2}[0-9]{2}",               # the first four characters: such places never overlap
     "ssn": pii.PATTERNS["ssn"],
 }
 _D = "regexp_replace(x.v, '[^0-9]', '', 'g')"
@@ -60,21 +60,47 @@ _CHECK = {
             f"ELSE (2 * substr({_D}, length({_D}) - i, 1)::INT) // 10 "
             f"+ (2 * substr({_D}, length({_D}) - i, 1)::INT) % 10 END)) % 10 = 0",
     "phone": f"length({_D}) BETWEEN 9 AND 15",
-    "iban": "list_reduce(list_transform(string_split(substr(replace(x.v, ' ', ''), 5) "
-            "|| substr(replace(x.v, ' ', ''), 1, 4), ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' "
-            "THEN c::INT ELSE ascii(c) - 55 END), lambda a, d: "
-            "(a * CASE WHEN d > 9 THEN 100 ELSE 10 END + d) % 97) % 97 = 1",
+    "iban": "true",                           # see _ibans
     "ssn": "true",
 }
 
 
+def _grouped(n: int) -> str:
+    """``n`` characters in fours, each four with or without a space before it."""
+    return f"( ?[A-Z0-9]{{4}}){{{n // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+
+
+def _ibans() -> str:
+    """The list f_iban of places and values from f0_iban, the places of two letters and two digits.
+
+    A place counts after no letter or digit, or after the letters IBAN.  A country with a known length is
+    tried at that length, any other at 35 down to 12 characters; no letter or digit may follow; the first
+    that is 1 modulo 97 counts."""
+    ahead, end = "substr(t, x.s + 1, 44)", "([^A-Za-z0-9]|$)"
+    known = "^(" + "|".join(c for cs in pii.IBAN_LENGTHS.values() for c in cs.split()) + ")"
+    tries = [f"regexp_extract({ahead}, '^(({'|'.join(cs.split())})[0-9]{{2}}{_grouped(n - 4)}){end}', 1)"
+             for n, cs in pii.IBAN_LENGTHS.items()]
+    tries += [f"CASE WHEN regexp_matches({ahead}, '{known}') THEN '' "
+              f"ELSE regexp_extract({ahead}, '^([A-Z]{{2}}[0-9]{{2}}{_grouped(n - 4)}){end}', 1) END"
+              for n in range(35, 11, -1)]
+    plain = "replace(v, ' ', '')"
+    value = "CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END"
+    rest = (f"list_reduce(list_transform(string_split(substr({plain}, 5) || substr({plain}, 1, 4), ''), lambda c: {value}), "
+            "lambda a, d: (a * CASE WHEN d > 9 THEN 100 ELSE 10 END + d) % 97) % 97")
+    free = ("x.s = 0 OR NOT regexp_matches(substr(t, x.s, 1), '[A-Za-z0-9]') "
+            "OR (x.s >= 4 AND substr(t, x.s - 3, 4) = 'IBAN')")
+    first = f"list_filter(list_filter([{', '.join(tries)}], lambda v: v <> ''), lambda v: {rest} = 1)[1]"
+    return (f"list_filter(list_transform(list_filter(f0_iban, lambda x: {free}), lambda x: {{'s': x.s, 'v': {first}}}), "
+            "lambda x: x.v IS NOT NULL) AS f_iban")
+
+
 def _spans_sql() -> str:
     cuts = ", ".join(f"regexp_extract_all(t, '{PLAIN[k]}') AS m_{k}, string_split_regex(t, '{PLAIN[k]}') AS p_{k}"
                      for k in pii.KINDS)
     at = ", ".join(
         f"list_transform(range(1, len(m_{k}) + 1), lambda i: {{'s': (coalesce(list_sum(list_transform("
         f"p_{k}[1:i], lambda y: length(y))), 0) + coalesce(list_sum(list_transform("
-        f"m_{k}[1:i - 1], lambda y: length(y))), 0))::BIGINT, 'v': m_{k}[i]}}) AS f_{k}" for k in pii.KINDS)
+        f"m_{k}[1:i - 1], lambda y: length(y))), 0))::BIGINT, 'v': m_{k}[i]}}) AS {'f0' if k == 'iban' else 'f'}_{k}" for k in pii.KINDS)
     near = ("regexp_matches(substr(t, greatest(x.s - {n}, 0) + 1, x.s - greatest(x.s - {n}, 0)) || ' ' "
             "|| substr(t, x.s + length(x.v) + 1, {n}), '(?i)({w})')")
     scored = []
@@ -92,7 +118,8 @@ def _spans_sql() -> str:
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 c AS (SELECT doc_id, t, {cuts} FROM d),
-f AS (SELECT doc_id, t, {at} FROM c),
+f0 AS (SELECT doc_id, t, {at} FROM c),
+f AS (SELECT *, {_ibans()} FROM f0),
 s AS (SELECT doc_id, {", ".join(scored)} FROM f)
 SELECT doc_id, {counts}, sha256(array_to_string({base}, ',')) AS base_sha256,
   array_to_string(list_transform({every}, lambda z: z.span), ',') AS spans,

@@ -41,7 +41,7 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?+[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    # the shape that the SQL checks; the search itself goes by IBAN_START and the lengths
+    # the shape; the search itself goes by IBAN_START and the lengths
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
 }
