@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -165,6 +166,29 @@ def test_top_k_equals_brute_force(spark):
     assert {tuple(r) for r in got.collect()} == brute_top(rows, 5, 10)
 
 
+def test_top_k_is_exact_for_large_values(spark):
+    rnd = np.random.default_rng(6)
+    rows = [(i, rnd.normal(size=8).tolist()) for i in range(120)]
+    rows += [(200 + i, (rnd.normal(size=8) * 2.0 ** rnd.integers(18, 40)).tolist()) for i in range(60)]
+    rows += [(300 + i, (rnd.normal(size=8) * 1e30).tolist()) for i in range(30)]
+    rows += [(400, rows[125][1]), (405, rows[125][1]), (410, [1e300] * 8), (420, [-1e300] + [0.0] * 7), (430, [1e308] * 8),
+             (440, [2.0 ** 45 + 1 / 256] * 8), (441, [2.0 ** 45] * 8), (500, [1e30, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    v = {i: [math.floor(256 * c) for c in x] + [0] * (8 - len(x)) for i, x in rows if i != 430}     # 256 * 1e308 is no double
+
+    def best(q):
+        scores = sorted((-sum(a * b for a, b in zip(v[q], v[c])), c) for c in v if c != q)[:5]
+        return {(q, r + 1, c, max(-(1 << 63), min((1 << 63) - 1, -s))) for r, (s, c) in enumerate(scores)}
+
+    want = set().union(*(best(q) for q in v if q % 10 == 0))
+    assert {tuple(r) for r in topk_pivots.top_k(df, F.col("id") % 10 == 0, pivots=4, annuli=4).collect()} == want
+    only = df.filter("vec_id >= 300")                                          # nothing for the index
+    ids = [q for q in v if q >= 300]
+    v = {q: v[q] for q in ids}
+    want = set().union(*(best(q) for q in v if q % 10 == 0))
+    assert {tuple(r) for r in topk_pivots.top_k(only, F.col("id") % 10 == 0).collect()} == want
+
+
 def test_top_k_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.5, 0.25])], "vec_id long, embedding array<float>")
     assert {tuple(r) for r in topk_pivots.top_k(df, F.col("id") % 10 == 0).collect()} == brute_top(

@@ -17,14 +17,18 @@ Queries travel in packs of at most ``PACK_ROWS`` rows: a round joins the visited
 block; a window keeps the best k.  So nothing is a cross join of rows, and
 no key holds more than one block or one pack.
 
+Products of doubles are exact as long as both vectors' squared lengths are at most 2^53, since no partial
+sum exceeds the product of the lengths.  Longer vectors stay out of the index: as queries they meet every
+block, as candidates every query, in blocks of the same sizes; extended floats with an error bound leave a few
+rows per query and block, whose scores are then computed in whole numbers.
+
 Fitted on a bounded sample: ``pivots`` vectors, chosen farthest-first from at most ``sample``
 vectors by the hash of their id.  The index holds every vector.
 
 Defined results: vectors that are NULL or hold NULL, NaN or infinite
-components take no part, as queries or candidates; a shorter vector counts as
-padded with zeros; components beyond +-2^24 after scaling are refused with
-an error, since their products would not be exact; equal scores go to the
-smaller id; fewer than k candidates give fewer rows; of rows with the same id each
+components, or components that scaling makes infinite, take no part, as queries or candidates;
+a shorter vector counts as padded with zeros; equal scores go to the smaller id; a score beyond
+a long is ranked by its exact value and reported as the nearest long; fewer than k candidates give fewer rows; of rows with the same id each
 takes part (none is a candidate for its own id); extra columns are ignored whatever
 their names; an empty table gives an empty result.
 """
@@ -45,14 +49,18 @@ PIVOTS, SAMPLE = 32, 4_096
 ANNULI = 32                                # of one pivot
 BLOCK_ROWS, PACK_ROWS = 1_024, 256
 FIRST_VISITS = 4                           # annuli in a query's first round; four times as many in each next one
-SCALE_LIMIT = 1 << 24
+EXACT = float(1 << 53)                     # squared length up to which products of doubles are exact
+_HEX = 528                                 # digits of a whole score as text that sorts by value
 
 
 def quantised(vector: Column, scale: float = 256.0) -> Column:
     """floor(scale * x) per component; NULL if the vector takes no part."""
     x = F.transform(vector, lambda v: v.cast("double"))
-    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    return F.when(vector.isNotNull() & ~bad, F.transform(x, lambda v: F.floor(v * F.lit(scale)).cast("double")))
+    y = F.transform(x, lambda v: v * F.lit(scale))
+    bad = F.exists(y, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    # from 2^53 on a double is whole, and floor() would give the nearest long
+    whole = F.transform(y, lambda v: F.when(F.abs(v) < EXACT, F.floor(v).cast("double")).otherwise(v))
+    return F.when(vector.isNotNull() & ~bad, whole)
 
 
 def _matrix(lists: pa.ListArray, dim: int) -> np.ndarray:
@@ -89,6 +97,69 @@ def choose_pivots(m: np.ndarray, n: int) -> np.ndarray:
     return m[picked]
 
 
+def _sortable(score: int) -> str:
+    return f"{score + (1 << (4 * _HEX)):0{_HEX + 1}x}"
+
+
+def _exact_scores(data: DataFrame, is_query: Column, k: int, dim: int) -> DataFrame:
+    """query_id, vec_id, score, sortable: of every pair with a long vector in it what may be among the query's k best."""
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+
+    def packed(rows: DataFrame, per: int, name: str) -> DataFrame:
+        """Rows as matrices of about ``per`` of them, long vectors apart: long, part, ids, m."""
+        counts = {r["long"]: r["n"] for r in rows.groupBy("long").agg(F.count(F.lit(1)).alias("n")).collect()}
+        parts = F.when(F.col("long"), -(-counts.get(True, 1) // per)).otherwise(-(-counts.get(False, 1) // per))
+
+        def matrix(part: pd.DataFrame) -> pd.DataFrame:
+            part = part.sort_values("id", kind="stable")
+            m = np.zeros((len(part), dim))
+            for i, v in enumerate(part["v"]):
+                m[i, :len(v)] = v
+            return pd.DataFrame({"long": [part["long"].iloc[0]], "part": [part["part"].iloc[0]],
+                                 "ids": [part["id"].to_numpy(np.int64).tobytes()], "m": [m.tobytes()]})
+
+        dealt = rows.withColumn("part", F.pmod(F.xxhash64("id", "v"), parts).cast("int"))
+        return staged(dealt.groupBy("long", "part").applyInPandas(matrix, "long boolean, part int, ids binary, m binary"), name)
+
+    rows = data.withColumn("long", square > EXACT)
+    blocks = packed(rows, BLOCK_ROWS, "exact_blocks")
+    packs = packed(rows.filter(is_query), PACK_ROWS, "exact_packs")
+    numbers = {r["long"]: r["n"] for r in blocks.groupBy("long").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # long queries meet every block, the others the blocks of long vectors
+    met = packs.select(F.col("long").alias("q_long"), F.col("ids").alias("q_ids"), F.col("m").alias("q"),
+                       F.explode(F.when(F.col("long"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True))))
+                       .alias("long"))
+    last = F.when(F.col("long"), numbers.get(True, 0)).otherwise(numbers.get(False, 0)) - 1
+    met = met.filter(last >= 0).withColumn("part", F.explode(F.sequence(F.lit(0), last)))
+    named = blocks.withColumn("part", (F.row_number().over(Window.partitionBy("long").orderBy("part")) - 1).cast("int"))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                q_ids, ids = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["ids"], np.int64)
+                q, m = (np.frombuffer(r[c], np.float64).reshape(-1, dim) for c in ("q", "m"))
+                wide_q, wide_m = q.astype(np.longdouble), m.astype(np.longdouble).T
+                about = wide_q @ wide_m
+                off = np.abs(wide_q) @ np.abs(wide_m) * (4 * (dim + 2) * np.finfo(np.longdouble).eps)
+                other = q_ids[:, None] != ids[None]
+                out = []
+                for i in range(len(q_ids)):
+                    at = np.flatnonzero(other[i])
+                    low, high = about[i, at] - off[i, at], about[i, at] + off[i, at]
+                    if len(at) > k:
+                        at = at[high >= np.partition(low, len(at) - k)[len(at) - k]]
+                    mine = [int(x) for x in q[i]]
+                    exact = sorted((-sum(x * int(y) for x, y in zip(mine, m[j])), int(ids[j])) for j in at)[:k]
+                    out += [(int(q_ids[i]), j, -s) for s, j in exact]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
+                     pa.array([max(-(1 << 63), min((1 << 63) - 1, o[2])) for o in out], pa.int64()),
+                     pa.array([_sortable(o[2]) for o in out], pa.string())], names=["query_id", "vec_id", "score", "sortable"])
+
+    return (met.join(named.withColumnRenamed("m", "block"), ["long", "part"]).select("q_ids", "q", "ids", F.col("block").alias("m"))
+            .mapInArrow(score, "query_id bigint, vec_id bigint, score bigint, sortable string"))
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
           scale: float = 256.0, pivots: int = PIVOTS, annuli: int = ANNULI, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k largest inner products with other ids.
@@ -99,14 +170,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     data = staged(vectors.select(F.col(id_col).cast("bigint").alias("id"), quantised(F.col(vector_col), scale).alias("v"))
                   .filter(F.col("id").isNotNull() & F.col("v").isNotNull()), "vectors")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    stats = data.agg(F.max(F.size("v")).alias("dim"), F.max(square).alias("top"),
-                     F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("large"),
-                     F.count(F.lit(1)).alias("n")).first()
+    stats = data.agg(F.max(F.size("v")).alias("dim"), F.max(F.when(square <= EXACT, square)).alias("top"),
+                     F.count_if(square > EXACT).alias("long"), F.count(F.lit(1)).alias("n")).first()
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
     if not stats["n"]:
         return spark.createDataFrame([], schema)
-    if (stats["large"] or 0) > SCALE_LIMIT:
-        raise ValueError("components are too large for exact integer products")
+    extra = None
+    if stats["long"]:
+        extra = _exact_scores(data, is_query, k, int(stats["dim"]))
+        data = data.filter(square <= EXACT)
     dim, top = int(stats["dim"]), float(stats["top"] or 0.0)
     some = data.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").collect()      # bounded by ``sample``
     pivot = choose_pivots(_lifted(np.array([list(r["v"]) + [0.0] * (dim - len(r["v"])) for r in some])
@@ -187,7 +259,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
                     limit = np.array([best.get(int(i), -np.inf) for i in ids])
                     reach = np.sqrt(np.maximum((q * q).sum(1) + t - 2 * limit, 0.0))
                     order = np.argsort(bound, axis=1, kind="stable")[:, start:stop]
-                    near = np.take_along_axis(bound, order, 1) <= reach[:, None] * (1 + slack) + slack
+                    size = np.sqrt((q * q).sum(1) + t)
+                    near = np.take_along_axis(bound, order, 1) <= (reach * (1 + slack) + slack * (1 + size))[:, None]
                     visits: dict[int, list[int]] = {}
                     for i, j in zip(*np.nonzero(near)):
                         visits.setdefault(int(order[i, j]), []).append(int(i))
@@ -239,6 +312,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
         elif best is not None:
             break
         start, step = start + step, step * 4
-    if best is None:
-        return spark.createDataFrame([], schema)
-    return best.select("query_id", "rank", "vec_id", "score")
+    if extra is None:
+        return best.select("query_id", "rank", "vec_id", "score") if best is not None else spark.createDataFrame([], schema)
+    if best is not None:
+        text = F.lower(F.hex("score"))
+        extra = extra.unionByName(best.select("query_id", "vec_id", "score", F.when(
+            F.col("score") >= 0, F.concat(F.lit("1" + "0" * (_HEX - 16)), F.lpad(text, 16, "0"))).otherwise(
+            F.concat(F.lit("0" + "f" * (_HEX - 16)), text)).alias("sortable")))
+    by_value = Window.partitionBy("query_id").orderBy(F.desc("sortable"), "vec_id")
+    return extra.withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") <= k).select(
+        "query_id", "rank", "vec_id", "score")
