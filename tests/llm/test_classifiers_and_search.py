@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -53,6 +54,43 @@ def test_toxicity_held_out_and_edges(spark):
     assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), labels.limit(0))).count() == 0
 
 
+def plain_toxicity(model, text):
+    """The score by plain loops: every window compressed on its own, once per dictionary."""
+    import zstandard as zs
+    shown = " ".join(w[:3].upper() + w[3:] for w in re.findall(r"\w+", (text or "").lower())).encode()
+    starts = [0]
+    while starts[-1] + 256 < len(shown):
+        starts.append(starts[-1] + 232)
+    reach = max(17, (len(model.ordinary) + len(model.toxic) + 256).bit_length())
+    params = zs.ZstdCompressionParameters(
+        compression_level=9, min_match=5, strategy=1, window_log=reach, hash_log=17, chain_log=17, search_log=6,
+        target_length=1, write_content_size=False, write_dict_id=False)
+
+    def size(window, content):
+        told = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
+        told.precompute_compress(compression_params=params)
+        return len(zs.ZstdCompressor(dict_data=told, compression_params=params).compress(window))
+
+    saved = [size(shown[a:a + 256], model.ordinary + b"\0" * len(model.toxic))
+             - size(shown[a:a + 256], model.ordinary + model.toxic) for a in starts]
+    n, best = len(saved), sorted(saved, reverse=True)
+    told = [best[0], sum(best[:3]) / 3, sum(saved) / n, *[sum(g >= at for g in saved) / n for at in (2, 3, 4)]]
+    z = model.weights[0] + sum(w * (x - c) / s for w, x, c, s in zip(model.weights[1:], told, model.centre, model.scale))
+    return 1 / (1 + math.exp(-z)), best[0]
+
+
+def test_toxicity_equals_a_plain_scorer(spark):
+    texts, toxic, _ = corpus()
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(documents(spark, texts), labels)
+    tried = texts[:40] + [t for t in EDGE_TEXTS if len(t or "") < 20_000] + ["ßIDIOT scum! " * 90, "1_x é漢 ﬁ idiot"]
+    got = {r["doc_id"]: r for r in toxicity.score(documents(spark, tried), model).collect()}
+    for i, t in enumerate(tried):
+        p, far = plain_toxicity(model, t)
+        assert abs(got[i]["score"] - p) < 1e-9 and got[i]["distance"] == far, t
+        assert got[i]["predicted"] == int(p >= 0.5)
+
+
 def test_toxicity_fits_on_long_texts_too(spark, monkeypatch):
     texts, toxic, _ = corpus()
     texts = [(t + " ") * (60 if i % 9 == 0 else 1) for i, t in enumerate(texts)]
