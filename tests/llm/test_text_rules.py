@@ -108,6 +108,40 @@ def test_span_sql_agrees_on_ibans_and_odd_texts(spark):
     assert sum("iban" in x for x in got.values()) > 100
 
 
+def test_thousands_of_spans_in_one_text(spark):
+    """Context and what is kept between spans come from the parts around them: 16 times the spans must
+    not take 256 times as long."""
+    import time
+
+    def text(n):
+        return "🙂 ".join(f"mail u{i}@ex{i % 7}.org or call +49 30 {1234567 + i} é" for i in range(n))
+
+    def seconds(n):
+        docs, t0 = documents(spark, [text(n)]), time.time()
+        row = pii.find(docs).collect()[0]
+        redacted = pii.redact(docs).collect()[0]["text"]
+        took = time.time() - t0
+        want = base_spans(text(n))
+        assert row["base"] == ",".join(want) and len(want) == 2 * n
+        assert {s["score"] for s in row["found"]["email"]} == {90} and {s["score"] for s in row["found"]["phone"]} == {70}
+        assert redacted == "🙂 ".join(["mail [email] or call [phone] é"] * n)
+        return took
+
+    seconds(10)                                    # plans compiled
+    few = seconds(500)
+    assert seconds(8000) < 10 + 40 * few
+
+
+def test_context_at_the_borders_of_parts(spark):
+    """A span and its context word at every distance around the border between two parts."""
+    texts = ["é" * pad + " visa" + " " * gap + "4111111111111111" + " " * 5 + tail
+             for pad in range(195, 260, 3) for gap, tail in ((1, ""), (39, "x"), (41, "card"), (60, "." * 300))]
+    for i, r in enumerate(pii.find(documents(spark, texts)).orderBy("doc_id").collect()):
+        at = texts[i].index("4111")
+        near = texts[i][max(at - 40, 0):at] + " " + texts[i][at + 16:at + 56]
+        assert [s["score"] for s in r["found"]["card"]] == [80 + 20 * ("visa" in near or "card" in near)], texts[i]
+
+
 def test_redaction_covers_every_span(spark):
     docs = documents(spark, PII_TEXTS)
     found = {r["doc_id"]: r["found"] for r in pii.find(docs).collect()}

@@ -15,6 +15,11 @@ Positions come from splitting the text by the same pattern: the pieces
 between matches and the matches themselves alternate, so a running sum of
 their lengths gives every start, in code points.
 
+A text with matches is also cut once into parts of equal length.  Context,
+what follows the start of an IBAN and the text between redacted spans come
+from the parts they lie in, never from a count from the start of the text:
+the work grows with the text and with its spans, not with their product.
+
 The patterns match what the plain patterns match, but are written so that
 Java's backtracking engine stays linear: possessive loops, and a start that
 is either the first character of a run or the end of the last match.
@@ -89,6 +94,18 @@ CONTEXT_BONUS = 20
 LEAST_SCORE = 50                          # of an added span
 
 _BLOCK = 256
+_PART = 256                               # code points of a part of a text
+
+
+def _parts(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(r"(?s).{1,%d}" % _PART), F.lit(0))
+
+
+def _cut(parts: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to ``end`` (exclusive) of the text in ``parts``."""
+    first = (start / _PART).cast("int")
+    held = F.slice(parts, first + 1, (end / _PART).cast("int") - first + 1)
+    return F.substring(F.array_join(held, ""), start % _PART + 1, F.greatest(end - start, F.lit(0)))
 
 
 def _digits(s: Column) -> Column:
@@ -117,7 +134,7 @@ def _confirmed(kind: str, s: Column) -> Column:
     return F.lit(True)
 
 
-def _ibans(text: Column, starts: Column) -> Column:
+def _ibans(parts: Column, starts: Column) -> Column:
     """Spans of the IBANs that begin at ``starts``, checksum included."""
     def ends(s: Column, ahead: Column) -> Column:
         own = F.regexp_extract(ahead, f"^(?:{_OWN_LENGTH}){_END}", 0)
@@ -129,7 +146,7 @@ def _ibans(text: Column, starts: Column) -> Column:
 
     # one character more than the longest, for the boundary
     return F.flatten(F.transform(starts, lambda s: let(
-        F.substring(text, s["start"] + 1, F.lit(_IBAN_CHARS + 1)), lambda ahead: ends(s, ahead))))
+        _cut(parts, s["start"], s["start"] + _IBAN_CHARS + 1), lambda ahead: ends(s, ahead))))
 
 
 def _found(text: Column, kind: str) -> Column:
@@ -170,14 +187,13 @@ def _found(text: Column, kind: str) -> Column:
     return F.when(need, search).otherwise(none)
 
 
-def _scored(text: Column, kind: str, found: Column) -> Column:
+def _scored(parts: Column, kind: str, found: Column) -> Column:
     """Confirmed spans with their score; added kinds need LEAST_SCORE."""
-    sure = _ibans(text, found) if kind == "iban" else F.filter(found, lambda s: _confirmed(kind, s["value"]))
+    sure = _ibans(parts, found) if kind == "iban" else F.filter(found, lambda s: _confirmed(kind, s["value"]))
 
     def score(s: Column) -> Column:
-        start = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-        before = F.substring(text, start + 1, s["start"] - start)
-        after = F.substring(text, s["end"] + 1, F.lit(CONTEXT_CHARS))
+        before = _cut(parts, F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)), s["start"])
+        after = _cut(parts, s["end"], s["end"] + CONTEXT_CHARS)
         near = F.concat(before, F.lit(" "), after).rlike(f"(?i)({CONTEXT[kind]})")
         return F.struct(s["kind"], s["start"], s["end"], s["value"], (
             F.lit(PRIOR[kind] + CHECK_BONUS[kind]) + F.when(near, CONTEXT_BONUS).otherwise(0)).alias("score"))
@@ -190,12 +206,16 @@ def _text_of(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
-def with_spans(docs: DataFrame, out: str, text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``out``: struct of one array of scored spans per kind."""
+def with_spans(docs: DataFrame, out: str, text_col: str = "text", parts_col: str | None = None) -> DataFrame:
+    """``docs`` plus ``out``: struct of one array of scored spans per kind; plus
+    ``parts_col``, if named: the parts of a text in which a pattern matched."""
     text = _text_of(text_col)
-    raw = fresh(docs, f"{out}_raw")
+    raw, parts = fresh(docs, f"{out}_raw"), parts_col or fresh(docs, f"{out}_parts")
     df = docs.withColumn(raw, F.struct(*[_found(text, k).alias(k) for k in KINDS]))
-    return df.withColumn(out, F.struct(*[_scored(text, k, F.col(raw)[k]).alias(k) for k in KINDS])).drop(raw)
+    some = F.greatest(*[F.size(F.col(raw)[k]) for k in KINDS]) > 0
+    df = df.withColumn(parts, F.when(some, _parts(text)).otherwise(F.array().cast("array<string>")))
+    df = df.withColumn(out, F.struct(*[_scored(F.col(parts), k, F.col(raw)[k]).alias(k) for k in KINDS]))
+    return df.drop(raw) if parts_col else df.drop(raw, parts)
 
 
 def _joined(spans: list[Column]) -> Column:
@@ -218,9 +238,9 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     """``docs`` with every span of a text replaced by ``[kind]`` (overlapping
     spans by the first of them); columns unchanged.  ``length_col``, if the
     table has it, follows the new text; a NULL text stays NULL."""
-    name, cuts = fresh(docs, "pii_spans"), fresh(docs, "pii_cuts")
-    text = F.col(text_col)
-    df = with_spans(docs, name, text_col)
+    name, cuts, held = fresh(docs, "pii_spans"), fresh(docs, "pii_cuts"), fresh(docs, "pii_parts")
+    text, parts = F.col(text_col), F.col(held)
+    df = with_spans(docs, name, text_col, held)
     s = F.col(name)
     every = F.array_sort(F.flatten(F.array(*[F.transform(s[k], lambda x: F.struct(
         x["start"], (-x["end"]).alias("last"), x["kind"])) for k in KINDS])))
@@ -239,7 +259,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     cut = let(reach, lambda r: F.concat(
         F.array_join(F.transform(r, lambda x: F.concat(
             F.when(x["start"] >= x["before"], F.concat(
-                F.substring(text, x["before"] + 1, x["start"] - x["before"]), F.lit("["), x["kind"], F.lit("]")))
+                _cut(parts, x["before"], x["start"]), F.lit("["), x["kind"], F.lit("]")))
             .otherwise(F.lit("")))), ""),
         F.substring(text, F.coalesce(F.array_max(F.transform(r, lambda x: x["end"])), F.lit(0)) + 1, F.length(text))))
     df = df.withColumn(text_col, F.when(F.size(cuts) > 0, cut).otherwise(text))
