@@ -52,19 +52,25 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+_HASH_RANGE = 1 << 48
+
+
+def key_hash(key: str, seed: int) -> Column:
+    """A whole number in [0, 2^48) from the MD5 of ``key`` as text and the seed: the same in every
+    engine, whatever the partitioning.  All rows without a key share one number."""
+    text = F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
+
+
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
     """Deterministic Bernoulli-like sample by a hash of the key (partitioning-independent)."""
-    buckets = 1_000_000
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
-    return df.filter(h < F.lit(int(round(fraction * buckets))))
+    return df.filter(key_hash(key, seed) < F.lit(round(fraction * _HASH_RANGE)))
 
 
 def hash_split(df: DataFrame, key: str, weights: tuple[float, float] = (0.8, 0.2), seed: int = 42):
     """Reproducible train/test split by hash of a key (randomSplit depends on partitioning)."""
-    buckets = 1_000_000
-    cut = int(round(weights[0] / sum(weights) * buckets))
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
-    return df.filter(h < F.lit(cut)), df.filter(h >= F.lit(cut))
+    h, cut = key_hash(key, seed), F.lit(round(weights[0] / sum(weights) * _HASH_RANGE))
+    return df.filter(h < cut), df.filter(h >= cut)
 
 
 def chronological_id(df: DataFrame, time_col: str = "TX_DATETIME", tie_col: str = "TRANSACTION_ID",

@@ -128,12 +128,19 @@ def q_monthly_csv(spark, sf):
     return readers.read_monthly_csv(spark, path)
 
 
-@query("catalog_listing")
+@query("catalog_listing", with_("tx_b") + "SELECT 'txlens_cat' AS namespace, 'cleaned_transactions' AS tableName, "
+       "false AS isTemporary, count(*) AS n_rows FROM tx_b")
 def q_catalog(spark, sf):
-    """K6: CREATE DATABASE / saveAsTable / SHOW TABLES."""
+    """K6: CREATE DATABASE / saveAsTable / DROP TABLE / SHOW TABLES, with the rows of the listed table."""
     db = _db(spark, "txlens_cat")
-    sinks.save_external_table(ad.lineitem_tx(spark, sf, True), f"{db}.cleaned_transactions", scratch_path(spark, "cat"))
-    return sinks.catalog_listing(spark, db)
+    tx = ad.lineitem_tx(spark, sf)
+    sinks.save_external_table(tx, f"{db}.cleaned_transactions", scratch_path(spark, "cat"))
+    sinks.save_external_table(tx.limit(0), f"{db}.dropped", scratch_path(spark, "cat"))
+    spark.sql(f"DROP TABLE {db}.dropped")
+    rows = spark.table(f"{db}.cleaned_transactions").count()
+    return sinks.catalog_listing(spark, db).select(
+        F.regexp_replace("namespace", "_[0-9a-f]{10}$", "").alias("namespace"), "tableName", "isTemporary",
+        F.lit(rows).cast("bigint").alias("n_rows"))
 
 
 @query("file_audit")

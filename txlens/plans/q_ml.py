@@ -72,12 +72,15 @@ def q_scaled(spark, sf):
     return r6(spark.createDataFrame(rows, "feature string, mean double, std double"), "mean", "std")
 
 
-@query("ml_assembled")
+@query("ml_assembled", with_("feat_a") +
+       f"SELECT TRANSACTION_ID, {_FEATURE_SQL}, CAST(TX_FRAUD AS DOUBLE) AS TX_FRAUD FROM feat_a")
 def q_assembled(spark, sf):
-    """M1: assembled feature vectors (handleInvalid=keep) as arrays."""
+    """M1: assembled feature vectors (handleInvalid=keep), one column per place of the vector."""
     prepared = prep.prepare_features(_tx(spark, sf), keep=["TRANSACTION_ID"])
     va = VectorAssembler(inputCols=ML_FEATURES, outputCol="features_raw", handleInvalid="keep")
-    return va.transform(prepared).select("TRANSACTION_ID", vector_to_array("features_raw").alias("features"), LABEL)
+    rows = va.transform(prepared).select("TRANSACTION_ID", vector_to_array("features_raw").alias("v"), LABEL)
+    return r6(rows.select("TRANSACTION_ID", *[F.col("v")[i].alias(c) for i, c in enumerate(ML_FEATURES)], LABEL),
+              "customer_avg_amount")
 
 
 def _fit(spark, sf, model="logistic"):
@@ -179,15 +182,23 @@ def q_pr(spark, sf):
     return r6(curves.pr_curve(_scored(spark, sf), "score", "label"), "precision", "recall")
 
 
-@query("hash_sample")
+# the key's hash, as in ordering.key_hash
+_HASH = "CAST('0x' || substr(md5(concat_ws(':', CAST(TRANSACTION_ID AS VARCHAR), '42')), 1, 12) AS BIGINT)"
+
+
+@query("hash_sample", with_("feat_a") + f"SELECT TRANSACTION_ID, CUSTOMER_ID, TERMINAL_ID, TX_AMOUNT, TX_FRAUD FROM feat_a "
+       f"WHERE {_HASH} < {round(0.01 * 2 ** 48)}")
 def q_sample(spark, sf):
     """Deterministic 1 % sample of transactions by hash of the id."""
-    return hash_sample(_tx(spark, sf), "TRANSACTION_ID", 0.01, 42)
+    return hash_sample(ad.events_tx(spark, sf), "TRANSACTION_ID", 0.01, 42).select(
+        "TRANSACTION_ID", "CUSTOMER_ID", "TERMINAL_ID", "TX_AMOUNT", LABEL)
 
 
-@query("hash_split")
+@query("hash_split", with_("feat_a") + f"SELECT CASE WHEN {_HASH} < {round(0.8 * 2 ** 48)} THEN 'train' ELSE 'test' END AS side, "
+       "count(*) AS count, sum(TRANSACTION_ID)::BIGINT AS ids FROM feat_a GROUP BY 1")
 def q_split(spark, sf):
-    """Reproducible 80/20 split by hash of the id; rows per side."""
-    tr, te = hash_split(_tx(spark, sf), "TRANSACTION_ID", (0.8, 0.2), 42)
-    return (tr.select(F.lit("train").alias("side")).unionByName(te.select(F.lit("test").alias("side")))
-              .groupBy("side").count())
+    """Reproducible 80/20 split by hash of the id; rows per side and the sum of their ids."""
+    tr, te = hash_split(ad.events_tx(spark, sf), "TRANSACTION_ID", (0.8, 0.2), 42)
+    both = [d.select(F.lit(side).alias("side"), "TRANSACTION_ID") for d, side in ((tr, "train"), (te, "test"))]
+    return both[0].unionByName(both[1]).groupBy("side").agg(
+        F.count(F.lit(1)).alias("count"), F.sum("TRANSACTION_ID").alias("ids"))
