@@ -127,3 +127,20 @@ def test_chains_of_a_terminal_heavy_on_both_sides_are_a_grid(spark, skew_conf):
     pairs = skew.grid_join(fraud, clean, ["dst"], grid).filter("dst = 'T_0'")
     tasks = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
     assert len(tasks) >= 4 and max(tasks) <= sum(tasks) * 0.6
+
+
+def test_fragments_do_not_follow_the_order_of_rows(spark):
+    """A task that runs again with its rows in another order deals them alike, and equal rows are spread."""
+    from txlens.operators import skew
+    rows = [(0, i % 40) for i in range(400)] + [(0, 99)] * 400
+
+    def dealt(data):
+        df = spark.createDataFrame(spark.sparkContext.parallelize(data, 4), "k int, v int")
+        grid = spark.createDataFrame([(0, 8, 3)], "k int, _rows int, _cols int")
+        out = skew._dealt(df, ["k"], grid, "_rows", "_cols", "_i", "_j")
+        return sorted(tuple(r) for r in out.select(F.spark_partition_id(), "k", "v", "_i", "_j").collect())
+
+    quarters = [rows[i:i + 200] for i in range(0, 800, 200)]
+    there, back = dealt(sum(quarters, [])), dealt(sum([q[::-1] for q in quarters], []))
+    assert there == back and len(there) == 3 * 800
+    assert len({i for _, _, v, i, _ in there if v == 99}) > 1 and {i for _, _, _, i, _ in there} == set(range(8))

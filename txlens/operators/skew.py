@@ -23,6 +23,11 @@ Keys must be NULL-free (callers map NULL to a sentinel), so the join is exact.
 leaves a task with all rows of the other.  A heavy key's pairs form a rectangle that is cut into a grid: each side is
 cut into fragments of about ``cell_rows`` rows, and each fragment travels once for every fragment of the
 other side (fragment and replicate).  A key heavy on one side only has one fragment on the other.
+
+Salts and fragments come from a hash of the row, never from ``rand``: a task that runs again after a lost
+executor may meet its rows in another order, and must send each where it went before, or rows would be
+lost or doubled.  In grid joins and lookups the number of the row's partition, which a second run does
+not change, is hashed along, so that equal rows of different partitions are spread too.
 """
 
 from __future__ import annotations
@@ -33,6 +38,12 @@ from pyspark.sql import functions as F
 HOT_KEY_ROWS = 2_000_000   # rows of one group handled by one task at most
 
 
+def _dealt_to(columns: list[str], width: Column) -> Column:
+    """The row's number in [0, ``width``), whatever the order of the rows; hashed only where there is a choice."""
+    row = F.xxhash64(*[F.col(c) for c in columns], F.spark_partition_id())
+    return F.when(width > 1, F.pmod(row, width).cast("int")).otherwise(F.lit(0))
+
+
 def attach_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column],
                        hot_rows: int = HOT_KEY_ROWS, source: DataFrame | None = None) -> DataFrame:
     """df + one column per aggregate of ``stats`` ({name: aggregate}), computed per ``keys`` group.
@@ -70,29 +81,31 @@ def grid_of(left_counts: DataFrame, right_counts: DataFrame, keys: list[str], ce
     return heavy.select(*keys, *[F.ceil(F.col(c) / F.lit(cell_rows)).cast("int").alias(n) for c, n in (("_l", "_rows"), ("_r", "_cols"))])
 
 
-def _dealt(df: DataFrame, keys: list[str], grid: DataFrame, own: str, other: str, own_name: str, other_name: str) -> DataFrame:
+def _dealt(df: DataFrame, keys: list[str], grid: DataFrame, own: str, other: str, own_name: str, other_name: str,
+           spread: list[str] | None = None) -> DataFrame:
     """``df`` with its own fragment number, repeated for every fragment of the other side."""
     one = F.coalesce(F.col(own), F.lit(1))
     numbers = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
-    # dealt at random (no column is read for it); rows of other keys have one fragment
-    mine = F.least(F.floor(F.rand(17) * one).cast("int"), one - 1)
-    # two steps: the fragment is drawn once per row, before the row is repeated
+    mine = _dealt_to(spread or df.columns, one)
+    # two steps: the fragment is found once per row, before the row is repeated
     drawn = df.join(F.broadcast(grid), keys, "left").select(*df.columns, mine.alias(own_name), numbers.alias("_numbers"))
     return drawn.select(*df.columns, own_name, F.explode("_numbers").alias(other_name))
 
 
 def grid_join(left: DataFrame, right: DataFrame, keys: list[str], grid: DataFrame | None = None, condition: Column | None = None,
-              cell_rows: int = CELL_ROWS) -> DataFrame:
+              cell_rows: int = CELL_ROWS, spread: tuple[list[str] | None, list[str] | None] = (None, None)) -> DataFrame:
     """Inner equi-join on ``keys`` (other columns differ in name) whose heavy keys are spread over a grid of tasks.
 
+    ``spread``: the columns of either side whose hash deals its rows, all unless named; they are read even if
+    nothing else asks for them.
     The partitions are fixed at the session's shuffle width: a join that fans out keeps its
     parallelism although its inputs are small."""
     if grid is None:
         grid = grid_of(key_counts(left, keys), key_counts(right, keys), keys, cell_rows)
     n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     on = [*keys, "_i", "_j"]
-    a = _dealt(left, keys, grid, "_rows", "_cols", "_i", "_j").repartition(n, *on)
-    b = _dealt(right, keys, grid, "_cols", "_rows", "_j", "_i").repartition(n, *on)
+    a = _dealt(left, keys, grid, "_rows", "_cols", "_i", "_j", spread[0]).repartition(n, *on)
+    b = _dealt(right, keys, grid, "_cols", "_rows", "_j", "_i", spread[1]).repartition(n, *on)
     joined = a.join(b, on)
     return (joined.filter(condition) if condition is not None else joined).drop("_i", "_j")
 
@@ -104,8 +117,7 @@ def salted_lookup(df: DataFrame, table: DataFrame, keys: list[str], cell_rows: i
     hot = key_counts(df, keys).filter(F.col("_n") > F.lit(cell_rows)).select(*keys, width.alias("_w"))   # rows / cell_rows at most
     hot = F.broadcast(hot)
     width = F.coalesce(F.col("_w"), F.lit(1))
-    salt = F.least(F.floor(F.rand(17) * width).cast("int"), width - 1)
-    rows = df.join(hot, keys, "left").select(*df.columns, salt.alias("_salt"))
+    rows = df.join(hot, keys, "left").select(*df.columns, _dealt_to(df.columns, width).alias("_salt"))
     others = [c for c in table.columns if c not in keys]
     copies = table.join(hot, keys, "left").select(*keys, *others, F.explode(F.sequence(F.lit(0), width - 1)).alias("_salt"))
     return rows.join(copies, [*keys, "_salt"], "left").drop("_salt")
