@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from txlens.functions.columns import money_sum, pct
 from txlens.functions.stats import one_row
 from txlens.operators.graph.build import weighted_undirected_edges
-from txlens.operators.graph.layout import SaltedAdjacency
+from txlens.operators.graph.layout import SaltedAdjacency, partitions_for
 from txlens.operators.skew import HOT_KEY_ROWS, attach_group_stats
 from txlens.schema import CUSTOMER_PREFIX, CUSTOMER_TYPE, TERMINAL_PREFIX, TERMINAL_TYPE
 from txlens.session import Scratch, written
@@ -49,9 +49,17 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
         labels = scratch.written(vertices.join(degree, "id", "left").select(
             *vcols, "_deg", F.col("id").alias("label"), F.lit(None).cast(dict(vertices.dtypes)["id"]).alias("_old")), "lpa_state")
         votes, sent = None, total
-        for _ in range(max_iter):
+        # the adjacency holds both directions: if every end is one vertex, the first votes lie there already
+        known = one_row(labels.filter("_deg IS NOT NULL"), F.count(F.lit(1)), F.count_distinct("id"))
+        own = tuple(known) == (degree.count(),) * 2
+        for step in range(max_iter):
             if votes is None:
-                asked = adj.join(labels.select("id", "label")).groupBy(F.col("dst").alias("id"), "label").agg(F.sum("w").alias("score"))
+                if step == 0 and own:
+                    asked = adj.table.groupBy(F.col("src").alias("id"), "_salt", F.col("dst").alias("label")).agg(
+                        F.sum("w").alias("score")).drop("_salt")
+                else:
+                    asked = _votes(adj.join(labels.select("id", "label")).select(F.col("dst").alias("id"), "label", F.col("w").alias("score")),
+                                   adj, total)
                 messages = total
                 if sent < active_share * total:
                     votes = asked = scratch.written(asked, "lpa_votes")
@@ -60,7 +68,7 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
                     F.struct(F.col("_old").alias("label"), F.lit(-1).alias("sign")),
                     F.struct(F.col("label").alias("label"), F.lit(1).alias("sign")))).alias("v")).select("id", "v.*")
                 change = adj.join(moved).select(F.col("dst").alias("id"), "label", (F.col("w") * F.col("sign")).alias("score"))
-                change = scratch.written(change.groupBy("id", "label").agg(F.sum("score").alias("score")), "lpa_change")
+                change = scratch.written(_votes(change, adj, 2 * sent), "lpa_change")
                 votes = scratch.written(votes.unionByName(change).groupBy("id", "label").agg(F.sum("score").alias("score"))
                                         .filter("score > 0"), "lpa_votes")
                 # a vertex whose neighbours have all kept their labels keeps its own
@@ -80,6 +88,18 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
         return written(labels.select(*vcols, "label"), "lpa_labels")
 
 
+def _votes(messages: DataFrame, adj: SaltedAdjacency, count: int) -> DataFrame:
+    """(id, label, score) of ``count`` messages, together per vertex: sums and choice take one shuffle.
+    Messages of hot vertices are summed before they travel, and by (id, label)."""
+    hot = F.broadcast(adj.hot.select(F.col("src").alias("id")))
+    total = F.sum("score").alias("score")
+    plain = messages.join(hot, "id", "left_anti") if adj.any_hot else messages
+    votes = plain.repartition(partitions_for(adj.spark, count), "id").groupBy("id", "label").agg(total)
+    if not adj.any_hot:
+        return votes
+    return votes.unionByName(messages.join(hot, "id", "left_semi").groupBy("id", "label").agg(total))
+
+
 def connected_components(vertices: DataFrame, edges: DataFrame, hot_rows: int = HOT_KEY_ROWS, log: list | None = None) -> DataFrame:
     """(id, component) with component = smallest vertex id of the component.
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlens.operators.skew import HOT_KEY_ROWS
@@ -29,6 +29,12 @@ from txlens.session import delete_path, scratch_path, written
 from txlens.sources.sinks import create_database
 
 STATE_DB = "txlens_state"
+TASK_ROWS = 2_000_000      # adjacency rows, or messages, of one task
+
+
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """The session's shuffle width, or more where a task would hold more than ``TASK_ROWS`` rows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
 
 
 class SaltedAdjacency:
@@ -37,15 +43,16 @@ class SaltedAdjacency:
     def __init__(self, adj: DataFrame, hot_rows: int = HOT_KEY_ROWS, name: str = "adj"):
         spark = adj.sparkSession
         self.spark = spark
-        self.n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         # the input feeds two passes (degrees, then the bucketed write): written once
         plain = scratch_path(spark, f"{name}_plain")
         adj.write.parquet(plain)
         adj = spark.read.schema(adj.schema).parquet(plain)
+        self.n = partitions_for(spark, adj.count())     # buckets grow with the rows
         deg = adj.groupBy("src").agg(F.count(F.lit(1)).alias("_rows"))
         width = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int")
         hot = deg.filter(F.col("_rows") > F.lit(hot_rows)).select("src", width.alias("_w"))
         self.hot = written(hot, f"{name}_hot")          # <= rows / hot_rows entries
+        self.any_hot = not self.hot.isEmpty()
         salt = F.when(F.col("_w").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("_w")).cast("int"))
         salted = adj.join(F.broadcast(self.hot), "src", "left").select(*adj.columns, salt.alias("_salt"))
         create_database(spark, STATE_DB, scratch_path(spark, f"{STATE_DB}.db"))
@@ -74,5 +81,6 @@ class SaltedAdjacency:
         return s.select(*[c for c in s.columns if c != "_w"], F.explode(salts).alias("_salt"))
 
     def join(self, state: DataFrame, key: str = "id") -> DataFrame:
-        """adjacency rows with the state of their source vertex (no shuffle of the adjacency)."""
-        return self.table.join(self.state_for_join(state, key), ["src", "_salt"]).drop("_salt")
+        """adjacency rows with the state of their source vertex (no shuffle of the adjacency, and no sort: a bucket is
+        streamed past the state of its vertices, at most as many as its rows, about ``TASK_ROWS``)."""
+        return self.table.join(self.state_for_join(state, key).hint("shuffle_hash"), ["src", "_salt"]).drop("_salt")
