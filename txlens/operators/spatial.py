@@ -1,9 +1,10 @@
 """Spatial operators: radius join (J6), its counts, and fraud rate by grid cell.
 
 The radius join buckets terminals into square cells of side r; each
-customer probes its own and the 8 neighbouring cells, so the equi-join on
+place of customers probes its own and the 8 neighbouring cells, so the equi-join on
 the cell key only meets candidates within one cell of distance and the
 exact distance filter finishes the job — no customers x terminals product.
+The list of a place goes to its customers in one join.
 
 Counts need no pairs: terminals lie in an adaptive quadtree over those cells (a
 cell is quartered while it holds more than ``leaf_rows``), a leaf wholly inside
@@ -16,10 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlens.operators.skew import grid_join
+from txlens.operators.skew import grid_join, salted_lookup
 from txlens.operators.trends import fraud_rate_by
 from txlens.session import written
 
+PLACE_ROWS = 50_000                       # customers of one place that get its list in one task
 LEAF_ROWS, MAX_DEPTH = 256, 12            # terminals of a leaf that is not split; quarterings of a cell
 
 
@@ -36,22 +38,32 @@ def terminals_within_radius(customers: DataFrame, terminals: DataFrame, r: float
     t = terminals.select("TERMINAL_ID", "x_terminal_id", "y_terminal_id",
                          F.floor(F.col("x_terminal_id") / cell).alias("cx"),
                          F.floor(F.col("y_terminal_id") / cell).alias("cy"))
+    # customers at the same place have the same terminals: the list is made once per place
+    c = customers.select("CUSTOMER_ID", F.col("x_customer_id").alias("x"), F.col("y_customer_id").alias("y"))
     offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                      for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    c = customers.select("CUSTOMER_ID", "x_customer_id", "y_customer_id",
-                         F.floor(F.col("x_customer_id") / cell).alias("_ccx"),
-                         F.floor(F.col("y_customer_id") / cell).alias("_ccy"),
-                         F.explode(offs).alias("_o"))
-    c = c.select("CUSTOMER_ID", "x_customer_id", "y_customer_id",
-                 (F.col("_ccx") + F.col("_o.dx")).alias("cx"), (F.col("_ccy") + F.col("_o.dy")).alias("cy"))
-    dist = F.sqrt(F.pow(F.col("x_customer_id") - F.col("x_terminal_id"), 2)
-                  + F.pow(F.col("y_customer_id") - F.col("y_terminal_id"), 2))
-    pairs = c.join(t, ["cx", "cy"]).filter(dist < cell).select("CUSTOMER_ID", "TERMINAL_ID")
-    agg = pairs.groupBy("CUSTOMER_ID").agg(F.sort_array(F.collect_list("TERMINAL_ID")).alias("available_terminals"))
-    out = customers.select("CUSTOMER_ID").join(agg, "CUSTOMER_ID", "left")
+    spots = c.filter("x IS NOT NULL AND y IS NOT NULL").select("x", "y").distinct()
+    places = spots.select(
+        "x", "y", F.floor(F.col("x") / cell).alias("_ccx"), F.floor(F.col("y") / cell).alias("_ccy"), F.explode(offs).alias("_o"))
+    probes = places.select("x", "y", (F.col("_ccx") + F.col("_o.dx")).alias("cx"), (F.col("_ccy") + F.col("_o.dy")).alias("cy"))
+    dist = F.sqrt(F.pow(F.col("x") - F.col("x_terminal_id"), 2) + F.pow(F.col("y") - F.col("y_terminal_id"), 2))
+    pairs = grid_join(probes, t, ["cx", "cy"], condition=dist < cell)
+    lists = spots.join(pairs.groupBy("x", "y").agg(F.sort_array(F.collect_list("TERMINAL_ID")).alias("_list")), ["x", "y"], "left")
+    # a customer of one row takes its place's list; the rows of a customer that has several share one list of all their places
+    once = c.filter("CUSTOMER_ID IS NOT NULL").groupBy("CUSTOMER_ID").agg(
+        F.count(F.lit(1)).alias("_n"), F.first("x").alias("x"), F.first("y").alias("y"))
+    # a grid join keeps its tasks although its sides are small: its rows are as long as the lists
+    single = grid_join(once.filter("_n = 1 AND x IS NOT NULL AND y IS NOT NULL").select("CUSTOMER_ID", "x", "y"), lists, ["x", "y"],
+                       cell_rows=PLACE_ROWS, spread=(["CUSTOMER_ID"], ["x", "y"])).select("CUSTOMER_ID", F.col("_list").alias("available_terminals"))
+    several = once.filter("_n > 1").select("CUSTOMER_ID", "_n")
+    union = (salted_lookup(c.join(several.select("CUSTOMER_ID"), "CUSTOMER_ID", "left_semi"), lists, ["x", "y"])
+             .groupBy("CUSTOMER_ID").agg(F.sort_array(F.flatten(F.collect_list("_list"))).alias("_all"))
+             .join(several, "CUSTOMER_ID").select("CUSTOMER_ID", F.explode(F.array_repeat("_all", F.col("_n").cast("int"))).alias("available_terminals")))
+    nowhere = once.filter("_n = 1 AND (x IS NULL OR y IS NULL)").select("CUSTOMER_ID")
+    nobody = c.filter("CUSTOMER_ID IS NULL").select("CUSTOMER_ID").unionByName(nowhere).select("CUSTOMER_ID", F.lit(None).cast("array<bigint>").alias("available_terminals"))
     terms = F.coalesce(F.col("available_terminals"), F.array().cast("array<bigint>"))
-    return out.select("CUSTOMER_ID", terms.alias("available_terminals"),
-                      F.size(terms).alias("nb_terminals"))
+    return single.unionByName(union).unionByName(nobody).select(
+        "CUSTOMER_ID", terms.alias("available_terminals"), F.size(terms).alias("nb_terminals"))
 
 
 def quadtree(terminals: DataFrame, r: float, leaf_rows: int = LEAF_ROWS, max_depth: int = MAX_DEPTH) -> DataFrame:
