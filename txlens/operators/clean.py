@@ -105,28 +105,33 @@ def add_month_features(df: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame
     specs: map-side partial aggregation, and a hot (month, customer) or
     (month, terminal) group is split over several tasks by salting (see
     ``operators.skew``) where a window would sort the whole group in one task.
-    Both aggregates read the narrow input, not the joined rows.
+    Both aggregates read the narrow input, not the joined rows.  The month travels as its key alone.
     """
     mk, ck, tk = _key("tx_year_month", _NULL_MONTH), _key("CUSTOMER_ID", _NULL_ID), _key("TERMINAL_ID", _NULL_ID)
     keep = [c for c in df.columns if c not in ("customer_tx_count", "customer_avg_amount", "terminal_tx_count")]
-    base = df.select(*keep, mk.alias("_mk"), ck.alias("_ck"), tk.alias("_tk"))
+    base = df.select(*[c for c in keep if c != "tx_year_month"], mk.alias("_mk"), ck.alias("_ck"), tk.alias("_tk"))
     out = attach_group_stats(base, ["_mk", "_ck"], {
         "customer_tx_count": F.count("TRANSACTION_ID"),
         "customer_avg_amount": F.avg("TX_AMOUNT")}, hot_rows)
     out = attach_group_stats(out, ["_mk", "_tk"], {"terminal_tx_count": F.count("TRANSACTION_ID")}, hot_rows, source=base)
-    return out.select(*keep, "customer_tx_count", "customer_avg_amount", "terminal_tx_count")
+    month = F.when(F.col("_mk") != F.lit(_NULL_MONTH), F.col("_mk")).alias("tx_year_month")
+    return out.select(*[month if c == "tx_year_month" else F.col(c) for c in keep],
+                      "customer_tx_count", "customer_avg_amount", "terminal_tx_count")
 
 
 def add_features(base: DataFrame, month_features: bool = True, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Typed base columns -> the 18-column cleaned table.
 
     ``month_features=False`` stops after the calendar parts and flags (15
-    columns) for analyses that never read the three monthly features.
+    columns) for analyses that never read the three monthly features.  Calendar parts and flags are taken
+    after the monthly features, so their shuffles carry the base columns alone.
     """
-    out = add_risk_flags(add_calendar(base))
     if not month_features:
+        out = add_risk_flags(add_calendar(base))
         return out.select(*[c for c in CLEANED_COLUMNS if c in out.columns])
-    return add_month_features(out, hot_rows).select(*CLEANED_COLUMNS)
+    narrow = base.select(*[c for c in BASE_COLUMNS if c in base.columns],
+                         calendar_columns("TX_DATETIME")["tx_year_month"].alias("tx_year_month"))
+    return add_risk_flags(add_calendar(add_month_features(narrow, hot_rows))).select(*CLEANED_COLUMNS)
 
 
 def parse_raw(raw: DataFrame) -> DataFrame:

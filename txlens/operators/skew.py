@@ -8,14 +8,13 @@ task.  ``attach_group_stats`` therefore salts only the hot groups:
 
 1. one aggregate per group, with its row count ``n`` (map-side partial
    aggregation, so the hot group costs one partial row per task);
-2. the hot groups (``n > hot_rows``) and their salt width
+2. the hot groups (``n > hot_rows``) with their statistics and their salt width
    ``ceil(n / hot_rows)`` — at most ``N / hot_rows`` rows, a proven bound —
    are broadcast onto the rows (no shuffle);
-3. every row of a hot group gets a deterministic salt (hash of the row) in
-   ``[0, width)``; rows of other groups get salt 0;
-4. the aggregate is replicated once per salt of its group (extra rows are
-   at most ``N / hot_rows``) and joined on (keys, salt): each (key, salt)
-   slice has about ``hot_rows`` rows, so no task sees more than that.
+3. every row of a hot group has its statistics now, and gets a deterministic
+   salt (hash of the row) so that the shuffle spreads the group;
+4. the other rows meet the aggregate in one join: a (key, salt)
+   slice has about ``hot_rows`` rows at most.
 
 Keys must be NULL-free (callers map NULL to a sentinel), so the join is exact.
 
@@ -50,17 +49,23 @@ def attach_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column],
 
     ``source`` holds the same rows for the aggregates, when ``df`` is costlier to read again."""
     names = list(stats)
-    agg = (df if source is None else source).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[e.alias(n) for n, e in stats.items()])
+    # a number in {0, 1} that belongs to the group: the aggregate is dealt by (keys, _salt) from the start and meets the
+    # rows without a second shuffle; slices of hot groups are numbered from 2
+    own = F.shiftrightunsigned(F.hash(*[F.col(k) for k in keys]), 31)
+    # both readers below use every column of the aggregate, so it is computed once and its shuffle reused
+    agg = (df if source is None else source).groupBy(*keys, own.alias("_salt")).agg(
+        F.count(F.lit(1)).alias("_n"), *[e.alias(n) for n, e in stats.items()])
     width = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int")
-    hot = agg.filter(F.col("_n") > F.lit(hot_rows)).select(*keys, width.alias("_w"))
+    hot = agg.filter(F.col("_n") > F.lit(hot_rows)).select(*keys, width.alias("_w"), F.struct(*names).alias("_hot"))
     rows = df.join(F.broadcast(hot), keys, "left")
     # hashed only for rows of a hot group
-    row_hash = F.when(F.col("_w").isNotNull(), F.xxhash64(*[F.col(c) for c in df.columns]))
-    salt = F.coalesce(F.pmod(row_hash, F.col("_w")).cast("int"), F.lit(0))
-    rows = rows.select(*df.columns, salt.alias("_salt"))
-    salts = F.sequence(F.lit(0), F.greatest(width - F.lit(1), F.lit(0)))
-    replicated = agg.select(*keys, *names, F.explode(salts).alias("_salt"))
-    return rows.join(replicated, keys + ["_salt"], "left").drop("_salt")
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    salt = F.when(F.col("_w").isNull(), own).otherwise(F.lit(2) + F.pmod(row_hash, F.col("_w")).cast("int"))
+    rows = rows.select(*df.columns, "_hot", salt.alias("_salt"))
+    cold = agg.filter(F.col("_n") <= F.lit(hot_rows)).select(*keys, "_salt", *names)
+    value = lambda n: F.when(F.col("_hot").isNotNull(), F.col("_hot")[n]).otherwise(F.col(n)).alias(n)
+    others = [c for c in df.columns if c not in keys]
+    return rows.join(cold, keys + ["_salt"], "left").select(*keys, *others, *[value(n) for n in names])
 
 
 CELL_ROWS = 500_000        # rows of one side of a key that meet in one task of a grid join
