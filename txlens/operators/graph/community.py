@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from txlens.functions.columns import money_sum, pct
 from txlens.functions.stats import one_row
-from txlens.operators.graph.build import weighted_undirected_edges
-from txlens.operators.graph.layout import SaltedAdjacency, partitions_for
+from txlens.operators.graph.layout import SaltedAdjacency, number_ids, partitions_for
 from txlens.operators.skew import HOT_KEY_ROWS, attach_group_stats
 from txlens.schema import CUSTOMER_PREFIX, CUSTOMER_TYPE, TERMINAL_PREFIX, TERMINAL_TYPE
 from txlens.session import Scratch, written
@@ -40,52 +39,85 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
     ``active_share`` of the adjacency, the votes (id, label, score) are kept and only changes are sent: minus the
     weight for the label left, plus for the label taken.  Weights are whole numbers, so both
     give the same votes.  Stops early when no label changes.  ``log`` gathers the messages of each step.
+
+    The steps run on whole numbers in the order of the ids (``layout.number_ids``), so the smallest number is the
+    smallest label; texts are read once at the start and put back at the end.
     """
     vcols = [c for c in vertices.columns if c != "label"]
-    with Scratch() as scratch, SaltedAdjacency(weighted_undirected_edges(edges), hot_rows, "lpa_adj") as adj:
-        degree = scratch.written(adj.table.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("_deg")), "lpa_degree")
-        total = one_row(degree, F.sum("_deg"))[0] or 0
-        # the vertex attributes ride along in the state, so the result is the last state itself
-        labels = scratch.written(vertices.join(degree, "id", "left").select(
-            *vcols, "_deg", F.col("id").alias("label"), F.lit(None).cast(dict(vertices.dtypes)["id"]).alias("_old")), "lpa_state")
-        votes, sent = None, total
-        # the adjacency holds both directions: if every end is one vertex, the first votes lie there already
-        known = one_row(labels.filter("_deg IS NOT NULL"), F.count(F.lit(1)), F.count_distinct("id"))
-        own = tuple(known) == (degree.count(),) * 2
-        for step in range(max_iter):
-            if votes is None:
-                if step == 0 and own:
-                    asked = adj.table.groupBy(F.col("src").alias("id"), "_salt", F.col("dst").alias("label")).agg(
-                        F.sum("w").alias("score")).drop("_salt")
-                else:
-                    asked = _votes(adj.join(labels.select("id", "label")).select(F.col("dst").alias("id"), "label", F.col("w").alias("score")),
-                                   adj, total)
-                messages = total
-                if sent < active_share * total:
-                    votes = asked = scratch.written(asked, "lpa_votes")
+    with Scratch() as scratch:
+        vertices = scratch.written(vertices.select(*vcols), "lpa_vertices")
+        numbers = number_ids(vertices, scratch)
+        with SaltedAdjacency(_numbered_adjacency(edges, numbers), hot_rows, "lpa_adj") as adj:
+            labels = _propagate(adj, numbers, max_iter, active_share, log, scratch)
+            named = labels.join(numbers.select(F.col("num").alias("label"), F.col("id").alias("_label")), "label")
+            found = numbers.join(named.select(F.col("id").alias("num"), "_label"), "num").select("id", "_label")
+            return written(vertices.join(found, "id", "left").select(*vcols, F.coalesce("_label", "id").alias("label")), "lpa_labels")
+
+
+def _numbered_adjacency(edges: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(src, dst, w) by number in both directions; ends that are no vertex neither send nor receive, and a
+    vertex that is listed more than once sends as often."""
+    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
+    for end in ("src", "dst"):
+        pairs = pairs.join(numbers.select(F.col("id").alias(end), F.col("num").alias(f"_{end}"), F.col("copies").alias(f"_{end}_n")), end).drop(end)
+    sends = lambda a, b: pairs.select(F.col(a).alias("src"), F.col(b).alias("dst"), (F.col("w") * F.col(f"{a}_n")).alias("w"))
+    return sends("_src", "_dst").unionByName(sends("_dst", "_src"))
+
+
+def _propagate(adj: SaltedAdjacency, numbers: DataFrame, max_iter: int, active_share: float, log: list | None,
+               scratch: Scratch) -> DataFrame:
+    """(id, label) by number of every vertex with neighbours after the steps."""
+    degree = adj.table.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("_deg"), F.sum("w").alias("_w"))
+    labels = scratch.written(degree.select("id", "_deg", "_w", F.col("id").alias("label"), F.lit(None).cast("bigint").alias("_old")),
+                             "lpa_state")
+    total, weight = (x or 0 for x in one_row(labels, F.sum("_deg"), F.sum("_w")))
+    count, copies = one_row(numbers, F.count(F.lit(1)), F.max("copies"))
+    # the adjacency holds both directions: if no vertex is listed twice, the first votes lie there already
+    own = copies == 1
+    votes, sent = None, total
+    for step in range(max_iter):
+        if votes is None:
+            if step == 0 and own:
+                asked = adj.table.groupBy(F.col("src").alias("id"), "_salt", F.col("dst").alias("label")).agg(
+                    F.sum("w").alias("score")).drop("_salt")
             else:
-                moved = labels.filter("_old IS NOT NULL").select("id", F.explode(F.array(
-                    F.struct(F.col("_old").alias("label"), F.lit(-1).alias("sign")),
-                    F.struct(F.col("label").alias("label"), F.lit(1).alias("sign")))).alias("v")).select("id", "v.*")
-                change = adj.join(moved).select(F.col("dst").alias("id"), "label", (F.col("w") * F.col("sign")).alias("score"))
-                change = scratch.written(_votes(change, adj, 2 * sent), "lpa_change")
-                votes = scratch.written(votes.unionByName(change).groupBy("id", "label").agg(F.sum("score").alias("score"))
-                                        .filter("score > 0"), "lpa_votes")
-                # a vertex whose neighbours have all kept their labels keeps its own
-                asked = votes.join(change.select("id").distinct(), "id", "left_semi")
-                messages = 2 * sent
-            best = (asked.groupBy("id")
-                    .agg(F.min(F.struct((-F.col("score")).alias("neg"), F.col("label").alias("lab"))).alias("b"))
-                    .select("id", F.col("b.lab").alias("new_label")))
-            new = F.coalesce("new_label", "label")
-            labels = scratch.written(labels.join(best, "id", "left").select(
-                *vcols, "_deg", new.alias("label"), F.when(new != F.col("label"), F.col("label")).alias("_old")), "lpa_state")
-            sent = one_row(labels.filter("_old IS NOT NULL"), F.coalesce(F.sum("_deg"), F.lit(0)))[0]
-            if log is not None:
-                log.append(int(messages))
-            if not sent:
-                break
-        return written(labels.select(*vcols, "label"), "lpa_labels")
+                asked = _votes(adj.join(labels.select("id", "label")).select(F.col("dst").alias("id"), "label", F.col("w").alias("score")),
+                               adj, total)
+            messages = total
+            if sent < active_share * total:
+                votes = asked = scratch.written(asked, "lpa_votes")
+        else:
+            moved = labels.filter("_old IS NOT NULL").select("id", F.explode(F.array(
+                F.struct(F.col("_old").alias("label"), F.lit(-1).alias("sign")),
+                F.struct(F.col("label").alias("label"), F.lit(1).alias("sign")))).alias("v")).select("id", "v.*")
+            change = adj.join(moved).select(F.col("dst").alias("id"), "label", (F.col("w") * F.col("sign")).alias("score"))
+            change = scratch.written(_votes(change, adj, 2 * sent), "lpa_change")
+            votes = scratch.written(votes.unionByName(change).groupBy("id", "label").agg(F.sum("score").alias("score"))
+                                    .filter("score > 0"), "lpa_votes")
+            # a vertex whose neighbours have all kept their labels keeps its own
+            asked = votes.join(change.select("id").distinct(), "id", "left_semi")
+            messages = 2 * sent
+        new = F.coalesce("new_label", "label")
+        labels = scratch.written(labels.join(_most_voted(asked, count, weight), "id", "left").select(
+            "id", "_deg", new.alias("label"), F.when(new != F.col("label"), F.col("label")).alias("_old")), "lpa_state")
+        sent = one_row(labels.filter("_old IS NOT NULL"), F.coalesce(F.sum("_deg"), F.lit(0)))[0]
+        if log is not None:
+            log.append(int(messages))
+        if not sent:
+            break
+    return labels.select("id", "label")
+
+
+def _most_voted(votes: DataFrame, count: int, weight: int) -> DataFrame:
+    """(id, new_label): of labels below ``count`` the one of the largest score (``weight`` at most), ties -> smallest label.
+
+    Score and label are one whole number, whose minimum takes neither a sort nor an object per vertex, unless it
+    could pass 64 bits."""
+    if (weight + 1) * count < 1 << 63:
+        key = (F.lit(weight) - F.col("score")) * F.lit(count) + F.col("label")
+        return votes.groupBy("id").agg(F.min(key).alias("k")).select("id", F.pmod("k", F.lit(count)).alias("new_label"))
+    best = F.min(F.struct((-F.col("score")).alias("neg"), F.col("label").alias("lab"))).alias("b")
+    return votes.groupBy("id").agg(best).select("id", F.col("b.lab").alias("new_label"))
 
 
 def _votes(messages: DataFrame, adj: SaltedAdjacency, count: int) -> DataFrame:

@@ -21,11 +21,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txlens.operators.skew import HOT_KEY_ROWS
-from txlens.session import delete_path, scratch_path, written
+from txlens.session import Scratch, delete_path, scratch_path, written
 from txlens.sources.sinks import create_database
 
 STATE_DB = "txlens_state"
@@ -37,6 +37,21 @@ def partitions_for(spark: SparkSession, rows: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
 
 
+def number_ids(vertices: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, num, copies): every id that is not NULL with its place 0, 1, ... in the order of the ids, and its rows.
+
+    Ranges are sorted each in its task and written; the rows of the ranges (one row per partition) give where each starts."""
+    ids = scratch.written(vertices.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("copies")), "ids")
+    n = partitions_for(ids.sparkSession, ids.count())
+    ranged = scratch.written(ids.repartitionByRange(n, "id").sortWithinPartitions("id").select(
+        "id", "copies", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")), "ids_ranged")
+    # the record number starts anew in each partition
+    starts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_low"))
+    starts = starts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n") - F.col("_low")).alias("_shift"))
+    return scratch.written(ranged.join(F.broadcast(starts), "_pid").select(
+        "id", (F.col("_mid") + F.col("_shift")).alias("num"), "copies"), "numbers")
+
+
 class SaltedAdjacency:
     """adjacency(src, dst, ...) bucketed by (src, _salt) + its hot-vertex table."""
 
