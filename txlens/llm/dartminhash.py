@@ -227,7 +227,9 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
+    """The pairs (a, b) whose sets reach the similarity.  Only sets of documents in pairs travel."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    sets = sets.join(asked, "doc", "left_semi")
     b = pairs.join(sets.select(F.col("doc").alias("b"), F.col("s").alias("sb")), "b")
     both = b.join(sets.select(F.col("doc").alias("a"), F.col("s").alias("sa")), "a")
     common = F.size(F.array_intersect("sa", "sb")).cast("double")
@@ -382,9 +384,12 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, ban
 
 def _labels(docs: DataFrame, known: DataFrame, reps: DataFrame, id_col: str, text_col: str, similarity: float, staged) -> DataFrame:
     """(doc, label) of the representatives that are linked to others."""
+    # rows of one id have one text: only repeated rows need a shuffle of keys and sets to be dropped
+    repeated = not known.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    once = lambda df: df.dropDuplicates(["doc"]) if repeated else df
     keys = known.select(F.col("doc_id").alias("doc"), "keys", F.col("n").alias("k"))
-    first = reps.select("doc", "n").join(keys, "doc").filter(F.col("n") == F.col("k"))
-    band = staged(first.select("doc", "n", F.explode("keys").alias("key")).distinct(), "bands")
+    first = once(reps.select("doc", "n").join(keys, "doc").filter(F.col("n") == F.col("k")))
+    band = staged(first.select("doc", "n", F.explode(F.array_distinct("keys")).alias("key")), "bands")
     shared = staged(band.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "keys")
     bucket = staged(band.join(shared, "key"), "buckets")
     crowd = staged(bucket.groupBy("doc").agg(F.sum("size").alias("crowd")), "crowds")
@@ -392,8 +397,8 @@ def _labels(docs: DataFrame, known: DataFrame, reps: DataFrame, id_col: str, tex
     lead = staged(bucket.groupBy("key").agg(F.min(F.struct((-F.col("crowd")).alias("c"), "doc", "n")).alias("f"))
                   .select("key", F.col("f.doc").alias("a"), F.col("f.n").alias("na")), "leaders")
     narrow = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("t"))
-    sets = staged(shingle_sets(narrow.join(crowd.select("doc"), "doc", "left_semi"), "doc", "t")
-                  .withColumnRenamed("doc_id", "doc").dropDuplicates(["doc"]), "sets")
+    sets = staged(once(shingle_sets(narrow.join(crowd.select("doc"), "doc", "left_semi"), "doc", "t")
+                       .withColumnRenamed("doc_id", "doc")), "sets")
     led = bucket.join(lead, "key").filter(F.col("doc") != F.col("a"))
     near = F.least("n", "na") >= similarity * F.greatest("n", "na")
     pairs = staged(led.filter(near).select("a", F.col("doc").alias("b")).distinct(), "pairs")
@@ -410,7 +415,7 @@ def _labels(docs: DataFrame, known: DataFrame, reps: DataFrame, id_col: str, tex
     members = staged(rest.join(open_, "key"), "members")
     unsettled = staged(members.select("doc").distinct(), "unsettled")
     fine = staged(fine_signatures(sets.join(unsettled, "doc", "left_semi"))
-                  .join(first.select("doc", "keys").dropDuplicates(["doc"]), "doc"), "fine")
+                  .join(first.select("doc", "keys"), "doc"), "fine")
     maybe = _compare_blocks(members.join(fine, "doc"), similarity)
     maybe = staged(maybe.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     more = staged(_links(maybe, sets, similarity), "links")
