@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from txlens.operators.graph import build, community, degree, motif, traversal
 from txlens.plans.registry import query, r6
 from txlens.plans.sql import R, R6, I64, with_
+from txlens.session import written
 from txlens.sources import adapters as ad
 
 EDGE_COLS = ["TRANSACTION_ID", "TX_AMOUNT", "TX_FRAUD", "TX_TIME_SECONDS"]
@@ -22,6 +23,13 @@ def graph_c(spark, sf):
     return build.build_graph(ad.sparse_tx(spark, sf))
 
 
+def graph_c_once(spark, sf, *columns):
+    """Mapping C and its graph with the ends and ``columns`` alone, written once: vertices, edges and
+    what else is read of the transactions take no join of their own."""
+    tx = written(ad.sparse_tx(spark, sf).select("CUSTOMER_ID", "TERMINAL_ID", *columns), "graph_c")
+    return tx, build.build_graph(tx)
+
+
 def top_fraud_customer(tx) -> str:
     """The customer with most fraud rows (smallest id on ties) as a vertex id."""
     row = (tx.groupBy("CUSTOMER_ID").agg(F.sum("TX_FRAUD").alias("n"))
@@ -286,8 +294,8 @@ def q_hops(spark, sf):
 
 
 # ---------------------------------------------------------------- communities
-def _labels_c(spark, sf):
-    g = graph_c(spark, sf)
+def _labels_c(spark, sf, *columns):
+    _, g = graph_c_once(spark, sf, *columns)
     return g, community.label_propagation(g.vertices, g.edges, 5)
 
 
@@ -335,7 +343,7 @@ _RING_SQL = (f"SELECT l.label AS community_label, count(e.TRANSACTION_ID) AS Tot
        f"{R6('Total_Transaction_Amount')} AS Total_Transaction_Amount, Fraud_Rate_Pct FROM ({_RING_SQL}) m")
 def q_rings_metrics(spark, sf):
     """Metrics per community of the source customer."""
-    g, labels = _labels_c(spark, sf)
+    g, labels = _labels_c(spark, sf, "TRANSACTION_ID", "TX_FRAUD", "TX_AMOUNT")
     return r6(community.ring_metrics(g.edges, labels), "Total_Fraud_Amount", "Total_Transaction_Amount")
 
 
@@ -346,7 +354,7 @@ FROM ({_RING_SQL}) m JOIN ({_SIZES_SQL}) s ON m.community_label = s.label
 WHERE m.Fraud_Transactions >= 3 OR m.Fraud_Rate_Pct > 10.0""")
 def q_fraud_rings(spark, sf):
     """High-risk rings (>= 3 frauds or > 10 %)."""
-    g, labels = _labels_c(spark, sf)
+    g, labels = _labels_c(spark, sf, "TRANSACTION_ID", "TX_FRAUD", "TX_AMOUNT")
     return r6(community.fraud_rings(g.edges, labels, 3, 10.0), "Total_Fraud_Amount")
 
 
@@ -355,8 +363,7 @@ _TARGET_SQL = ("SELECT COALESCE((SELECT label FROM labels_c WHERE id = (SELECT i
 
 
 def _community_of_root(spark, sf):
-    tx = ad.sparse_tx(spark, sf)
-    g = build.build_graph(tx)
+    tx, g = graph_c_once(spark, sf, "TRANSACTION_ID", "TX_FRAUD")
     labels = community.label_propagation(g.vertices, g.edges, 5)
     return g, labels, community.community_of(labels, top_fraud_customer(tx))
 
@@ -444,7 +451,7 @@ JOIN labels_c l ON e.src = l.id""")
 def q_graph_features(spark, sf):
     """Graph features (degrees, terminal risk, community) on each transaction."""
     from txlens.operators.graph.features import graph_features
-    g, labels = _labels_c(spark, sf)
+    g, labels = _labels_c(spark, sf, "TRANSACTION_ID", "TX_FRAUD")
     return graph_features(g.edges, labels).select(
         "TRANSACTION_ID", "TX_FRAUD", "customer_degree", "terminal_degree", "terminal_fraud_rate_pct",
         "customer_community")
