@@ -64,3 +64,41 @@ def test_scratch_tables_go(spark):
         assert df.agg(F.sum("id")).first()[0] == 10 and spark.read.parquet(path).count() == 5
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     assert not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def test_texts_of_documents_that_stay_are_not_shuffled(spark, monkeypatch):
+    """Only documents that go, or come more than once, meet others again; small bitmaps only let more rows meet."""
+    rnd = random.Random(7)
+    texts = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(30)) for _ in range(300)]
+    texts += [" ".join(_edited(rnd, (texts[i] + " " + texts[i]).split(), 0)) for i in range(20)] + texts[5:25] + ["", None, ""]
+    docs = documents(spark, texts)
+    docs = docs.unionByName(docs.filter("doc_id % 50 = 0")).unionByName(docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")))
+    label = near_classes(dict(enumerate(texts)))
+    want = sorted(i for i in label if label[i] == i)
+    mark, asked = dartminhash._mark, []
+
+    def watched(docs, id_col, touched, name):
+        out = mark(docs, id_col, touched, name)
+        ids = {r[0] for r in touched.collect()}
+        rows = [(r[id_col], r[name]) for r in out.collect()]
+        assert all(hit for i, hit in rows if i in ids)
+        asked.append((len(ids), sum(hit for _, hit in rows), len(rows)))
+        return out
+
+    monkeypatch.setattr(dartminhash, "_mark", watched)
+    for most in (1 << 25, 64):
+        monkeypatch.setattr(dartminhash, "MOST_BITS", most)
+        rows = dartminhash.keep_one(docs).collect()
+        assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == want
+        assert sum(r["doc_id"] is None for r in rows) == 3
+        assert all(r["text"] == texts[r["doc_id"]] for r in rows if r["doc_id"] is not None)
+    (touched, hit, rows), (_, more, _) = asked
+    assert 20 <= touched <= hit < 60 and rows == len(texts) + 7 and hit < more < rows
+
+
+def test_documents_signed_together_are_bounded():
+    """Short documents throw as many darts as long ones: their number is bounded, not only their words."""
+    offsets = np.arange(0, 5 * 3001, 5)
+    parts = list(dartminhash._parts(offsets, dartminhash.SIGN_DOCUMENTS))
+    assert max(b - a for a, b in parts) <= dartminhash.SIGN_DOCUMENTS
+    assert [a for a, _ in parts] + [3000] == [0] + [b for _, b in parts]

@@ -54,8 +54,10 @@ from txlens.session import Scratch
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5                        # 0.8 ** 5 = 0.33 a band: one pair in 14,000 at 0.8 meets in none
 MAX_ELEMENTS = 300_000                     # words hashed together in a task: bounds its memory
+SIGN_DOCUMENTS = 512                       # documents signed together: each throws about k ln k darts, however short it is
 FINE, SLACK = 480, 4.0                     # at similarity 0.8 a pair is passed over with probability 3e-5
 FINE_DOCUMENTS = 256                       # documents signed together on ``FINE`` coordinates: bounds a task's memory
+SPARSE, MOST_BITS = 16, 1 << 25              # bits for each id whose text is looked at again, and bits in all (4 MB)
 BLOCK = 4_096                                # members of a bucket compared with as many others at a time
 _U = np.uint64
 
@@ -145,11 +147,12 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs:
     return sig
 
 
-def _parts(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of documents of about MAX_ELEMENTS words (one document at least)."""
+def _parts(offsets: np.ndarray, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Runs of documents of about MAX_ELEMENTS words (one document at least, ``most`` at most)."""
     start = 0
     while start < len(offsets) - 1:
         end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + MAX_ELEMENTS, side="right")) - 1)
+        end = min(end, start + most) if most else end
         yield start, end
         start = end
 
@@ -178,7 +181,7 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands:
         release_worker()
         for batch in batches:
             values, offsets = _lists(batch)
-            for a, b in _parts(offsets):
+            for a, b in _parts(offsets, SIGN_DOCUMENTS):
                 doc, element, count = shingles(values[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 weight = count.astype(np.float64) if by_count else np.ones(len(doc))
                 sig = signatures(doc, element, weight, b - a, bands * rows)
@@ -431,8 +434,27 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
 def _keep_one(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
     found = staged(_classes(docs, id_col, text_col, similarity, BANDS, ROWS), "classes")
-    keepers = found.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(id_col))
-    kept = docs.join(keepers, id_col, "left_semi")
-    if not keepers.groupBy(id_col).count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(F.col(id_col).isNull())).select(*docs.columns)
+    dropped = found.filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias(id_col))
+    # texts stay where they are, but for ids that go, or come more than once, and the few that share a bit with these
+    touched = staged(dropped.unionByName(found.groupBy(F.col("doc_id").alias(id_col)).agg(F.count(F.lit(1)).alias("n"))
+                                         .filter("n > 1").select(id_col)), "touched")
+    hit = fresh(docs, "touched")
+    marked = _mark(docs.filter(F.col(id_col).isNotNull()), id_col, touched, hit)
+    exact = marked.filter(F.col(hit)).join(dropped, id_col, "left_anti").dropDuplicates([id_col])
+    kept = marked.filter(~F.col(hit)).unionByName(exact.select(*marked.columns))
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull())).select(*docs.columns)
+
+
+def _mark(docs: DataFrame, id_col: str, touched: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a boolean ``name``: true for every id in ``touched``, and for few others.
+
+    Each touched id sets one of at least ``SPARSE`` times as many bits; the bitmap, ``MOST_BITS`` at most, is broadcast."""
+    bits = min(MOST_BITS, 1 << max(15, (SPARSE * touched.count()).bit_length()))
+    bit = F.pmod(F.xxhash64(id_col), F.lit(bits))
+    number, place = fresh(docs, "bitmap_number"), fresh(docs, "bitmap")
+    maps = touched.select(F.bitmap_bucket_number(bit).alias(number), F.bitmap_bit_position(bit).alias("at")).groupBy(number).agg(
+        F.bitmap_construct_agg("at").alias(place))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col(place), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    mine = docs.withColumn(number, F.bitmap_bucket_number(bit)).join(F.broadcast(maps), number, "left")
+    return mine.select(*docs.columns, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False)).alias(name))
