@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.functions.columns import calendar_columns, is_night, is_weekend, parse_timestamp, whole_number
-from txlens.operators.skew import HOT_KEY_ROWS, attach_group_stats
+from txlens.operators.skew import HOT_KEY_ROWS, attach_group_stats, window_group_stats
 from txlens.schema import BAD_ID_MARKER, BASE_COLUMNS, CLEANED_COLUMNS
 
 _CASTS = {
@@ -98,7 +98,7 @@ def _key(c: str, sentinel):
     return F.coalesce(F.col(c), F.lit(sentinel))
 
 
-def add_month_features(df: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def add_month_features(df: DataFrame, hot_rows: int = HOT_KEY_ROWS, by_month: bool = False) -> DataFrame:
     """Monthly per-customer count/avg and per-terminal count on each row.
 
     Grouped aggregates joined back on NULL-free keys instead of two window
@@ -106,32 +106,39 @@ def add_month_features(df: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame
     (month, terminal) group is split over several tasks by salting (see
     ``operators.skew``) where a window would sort the whole group in one task.
     Both aggregates read the narrow input, not the joined rows.  The month travels as its key alone.
+
+    ``by_month``, for tables that are written by month from a stored ``df``: windows with the hot groups apart, whose last
+    shuffle deals the rows by month as the writer needs them (``sinks``: ``laid_out``).
     """
     mk, ck, tk = _key("tx_year_month", _NULL_MONTH), _key("CUSTOMER_ID", _NULL_ID), _key("TERMINAL_ID", _NULL_ID)
     keep = [c for c in df.columns if c not in ("customer_tx_count", "customer_avg_amount", "terminal_tx_count")]
     base = df.select(*[c for c in keep if c != "tx_year_month"], mk.alias("_mk"), ck.alias("_ck"), tk.alias("_tk"))
-    out = attach_group_stats(base, ["_mk", "_ck"], {
-        "customer_tx_count": F.count("TRANSACTION_ID"),
-        "customer_avg_amount": F.avg("TX_AMOUNT")}, hot_rows)
-    out = attach_group_stats(out, ["_mk", "_tk"], {"terminal_tx_count": F.count("TRANSACTION_ID")}, hot_rows, source=base)
+    customer = {"customer_tx_count": F.count("TRANSACTION_ID"), "customer_avg_amount": F.avg("TX_AMOUNT")}
+    terminal = {"terminal_tx_count": F.count("TRANSACTION_ID")}
+    if by_month:
+        out = window_group_stats(base, ["_mk", "_ck"], customer, hot_rows)
+        out = window_group_stats(out, ["_mk", "_tk"], terminal, hot_rows, source=base, within="_mk")
+    else:
+        out = attach_group_stats(base, ["_mk", "_ck"], customer, hot_rows)
+        out = attach_group_stats(out, ["_mk", "_tk"], terminal, hot_rows, source=base)
     month = F.when(F.col("_mk") != F.lit(_NULL_MONTH), F.col("_mk")).alias("tx_year_month")
     return out.select(*[month if c == "tx_year_month" else F.col(c) for c in keep],
                       "customer_tx_count", "customer_avg_amount", "terminal_tx_count")
 
 
-def add_features(base: DataFrame, month_features: bool = True, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def add_features(base: DataFrame, month_features: bool = True, hot_rows: int = HOT_KEY_ROWS, by_month: bool = False) -> DataFrame:
     """Typed base columns -> the 18-column cleaned table.
 
     ``month_features=False`` stops after the calendar parts and flags (15
     columns) for analyses that never read the three monthly features.  Calendar parts and flags are taken
-    after the monthly features, so their shuffles carry the base columns alone.
+    after the monthly features, so their shuffles carry the base columns alone.  ``by_month``: see ``add_month_features``.
     """
     if not month_features:
         out = add_risk_flags(add_calendar(base))
         return out.select(*[c for c in CLEANED_COLUMNS if c in out.columns])
     narrow = base.select(*[c for c in BASE_COLUMNS if c in base.columns],
                          calendar_columns("TX_DATETIME")["tx_year_month"].alias("tx_year_month"))
-    return add_risk_flags(add_calendar(add_month_features(narrow, hot_rows))).select(*CLEANED_COLUMNS)
+    return add_risk_flags(add_calendar(add_month_features(narrow, hot_rows, by_month))).select(*CLEANED_COLUMNS)
 
 
 def parse_raw(raw: DataFrame) -> DataFrame:

@@ -18,6 +18,9 @@ task.  ``attach_group_stats`` therefore salts only the hot groups:
 
 Keys must be NULL-free (callers map NULL to a sentinel), so the join is exact.
 
+``window_group_stats`` does the same without the aggregate's shuffle: the rows of a group, or of a slice of a hot group, meet
+in a window, and only hot groups are aggregated.  It suits groups so small that an aggregate is hardly shorter than the rows.
+
 ``grid_join`` is for keys that are heavy on *both* sides of a join, where salting one side
 leaves a task with all rows of the other.  A heavy key's pairs form a rectangle that is cut into a grid: each side is
 cut into fragments of about ``cell_rows`` rows, and each fragment travels once for every fragment of the
@@ -31,7 +34,7 @@ not change, is hashed along, so that equal rows of different partitions are spre
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_KEY_ROWS = 2_000_000   # rows of one group handled by one task at most
@@ -68,6 +71,46 @@ def attach_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column],
     return rows.join(cold, keys + ["_salt"], "left").select(*keys, *others, *[value(n) for n in names])
 
 
+CROWD_PLACES = 1 << 16     # hashes of keys whose rows are counted to find hot groups
+SLICE_ROWS = 500_000       # rows of a slice of ``within`` that meet in one task
+
+
+def hot_groups(df: DataFrame, keys: list[str], stats: dict[str, Column], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """keys, _w, _hot: groups of more than ``hot_rows`` rows with their salt width and statistics, at most N / ``hot_rows``.
+
+    Rows are counted per hash of the keys first (``CROWD_PLACES`` rows a task at most are shuffled); only groups of
+    a hash with more than ``hot_rows`` rows can be hot, and these alone are aggregated."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(CROWD_PLACES))
+    crowded = df.groupBy(place.alias("_place")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > F.lit(hot_rows))
+    few = df.withColumn("_place", place).join(F.broadcast(crowded.select("_place")), "_place", "left_semi")
+    groups = few.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[e.alias(n) for n, e in stats.items()])
+    width = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int")
+    return groups.filter(F.col("_n") > F.lit(hot_rows)).select(*keys, width.alias("_w"), F.struct(*stats).alias("_hot"))
+
+
+def window_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column], hot_rows: int = HOT_KEY_ROWS,
+                       source: DataFrame | None = None, within: str | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """``attach_group_stats`` by a window; statistics of hot groups are broadcast, and their rows are salted.
+
+    ``within``: one of the keys; the rows come out dealt by its value, large values in slices of about ``slice_rows`` rows, so that
+    what is written by that column afterwards needs no other shuffle."""
+    source = df if source is None else source
+    rows = df.join(F.broadcast(hot_groups(source, keys, stats, hot_rows)), keys, "left")
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    salt = F.when(F.col("_w").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col("_w")).cast("int"))
+    rows = rows.select(*df.columns, "_hot", salt.alias("_salt"))
+    by = [*keys, "_salt"]
+    if within is not None:
+        slices = F.ceil(F.count(F.lit(1)) / F.lit(slice_rows)).alias("_slices")      # one row per value of ``within``
+        others = [k for k in by if k != within]
+        rows = rows.join(F.broadcast(source.groupBy(within).agg(slices)), within)
+        rows = rows.withColumn("_slice", F.pmod(F.xxhash64(*others), F.col("_slices"))).repartition(within, "_slice")
+        by = [within, "_slice", *others]
+    group = Window.partitionBy(*by)
+    value = lambda n, e: F.when(F.col("_hot").isNotNull(), F.col("_hot")[n]).otherwise(e.over(group)).alias(n)
+    return rows.select(*df.columns, *[value(n, e) for n, e in stats.items()])
+
+
 CELL_ROWS = 500_000        # rows of one side of a key that meet in one task of a grid join
 
 

@@ -12,12 +12,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from txlens.operators.clean import clean_transactions
+from txlens.operators.clean import add_features, clean_transactions
 from txlens.plans.q_clean import _EXTRA as CLEAN_EXTRA, CLEAN_COLS, raw_a
 from txlens.plans.registry import query, r6
 from txlens.plans.sql import R6, with_
 from txlens.schema import CLEANED_COLUMNS
-from txlens.session import scratch_path
+from txlens.session import Scratch, scratch_path
 from txlens.sources import adapters as ad
 from txlens.sources import readers, sinks
 
@@ -35,9 +35,17 @@ def _clean_cols(df):
     return r6(df.select(*CLEANED_COLUMNS), "customer_avg_amount")
 
 
+def _store_b(spark, sf, write) -> None:
+    """``write(frame, laid_out=True)`` with mapping B, cleaned.  Its base columns are written once: the passes that look for hot
+    groups and count the months take no join of their own."""
+    with Scratch() as scratch:
+        base = scratch.written(ad.lineitem_base(spark, sf), "lineitem_base")
+        write(add_features(base, by_month=True), laid_out=True)
+
+
 def _write_b(spark, sf) -> str:
     path = scratch_path(spark, "cleaned-parquet")
-    sinks.write_parquet(ad.lineitem_tx(spark, sf, True), path)
+    _store_b(spark, sf, lambda tx, **how: sinks.write_parquet(tx, path, **how))
     return path
 
 
@@ -98,8 +106,7 @@ def _db(spark, prefix):
 def q_table_scan(spark, sf):
     """K2 + S4: external Parquet table saved at a path, scanned by name through SQL."""
     db = _db(spark, "txlens_ext")
-    sinks.save_external_table(ad.lineitem_tx(spark, sf, True), f"{db}.cleaned_transactions",
-                              scratch_path(spark, "external"))
+    _store_b(spark, sf, lambda tx, **how: sinks.save_external_table(tx, f"{db}.cleaned_transactions", scratch_path(spark, "external"), **how))
     return _clean_cols(spark.sql(f"SELECT * FROM {db}.cleaned_transactions"))
 
 
@@ -116,7 +123,7 @@ def q_external_ddl(spark, sf):
 def q_orc(spark, sf):
     """K3: managed ORC snappy table, partitioned by month, read back by name."""
     db = _db(spark, "txlens_orc")
-    sinks.save_managed_orc(ad.lineitem_tx(spark, sf, True), f"{db}.cleaned_transactions")
+    _store_b(spark, sf, lambda tx, **how: sinks.save_managed_orc(tx, f"{db}.cleaned_transactions", **how))
     return _clean_cols(readers.read_table(spark, f"{db}.cleaned_transactions"))
 
 

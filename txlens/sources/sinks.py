@@ -16,12 +16,15 @@ from txlens.schema import CLEANED_TABLE_DDL, PARTITION_COLUMN
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def _layout(df: DataFrame, partition_col: str = PARTITION_COLUMN) -> DataFrame:
+def _layout(df: DataFrame, partition_col: str = PARTITION_COLUMN, laid_out: bool = False) -> DataFrame:
     """REBALANCE by the partition column: one shuffle by month, then AQE splits
     a month that is too big into several tasks and merges small ones, so a
     month holding a third of the data is written in parallel and files stay
     near the advisory size.  (A range repartition would also spread it but
-    needs a sampling pass over the whole input first.)"""
+    needs a sampling pass over the whole input first.)  Rows that are ``laid_out``, dealt by month and slices
+    of large months already, stay as they are."""
+    if laid_out:
+        return df
     spark = df.sparkSession
     if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
         return df.hint("rebalance", partition_col)
@@ -32,9 +35,10 @@ def _layout(df: DataFrame, partition_col: str = PARTITION_COLUMN) -> DataFrame:
     return df.repartitionByRange(n, partition_col, *spread)
 
 
-def write_parquet(df: DataFrame, path: str, partition_col: str = PARTITION_COLUMN, mode: str = "overwrite") -> None:
+def write_parquet(df: DataFrame, path: str, partition_col: str = PARTITION_COLUMN, mode: str = "overwrite",
+                  laid_out: bool = False) -> None:
     """K1/K4: Parquet snappy, partitioned by month, dynamic partition overwrite."""
-    (_layout(df, partition_col).write.mode(mode)
+    (_layout(df, partition_col, laid_out).write.mode(mode)
         .option("compression", "snappy")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -48,11 +52,11 @@ def create_database(spark: SparkSession, db: str, location: str | None = None) -
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
 
 
-def save_external_table(df: DataFrame, table: str, path: str, partition_col: str = PARTITION_COLUMN) -> None:
+def save_external_table(df: DataFrame, table: str, path: str, partition_col: str = PARTITION_COLUMN, laid_out: bool = False) -> None:
     """K2: drop + save an external (path-backed) Parquet table, partitioned."""
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    (_layout(df, partition_col).write.mode("overwrite").format("parquet")
+    (_layout(df, partition_col, laid_out).write.mode("overwrite").format("parquet")
         .option("path", path).option("compression", "snappy")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(partition_col).saveAsTable(table))
@@ -64,11 +68,11 @@ def register_external_table(spark: SparkSession, table: str, location: str) -> N
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
-def save_managed_orc(df: DataFrame, table: str, partition_col: str = PARTITION_COLUMN) -> None:
+def save_managed_orc(df: DataFrame, table: str, partition_col: str = PARTITION_COLUMN, laid_out: bool = False) -> None:
     """K3: drop + save a managed ORC snappy table, partitioned."""
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    (_layout(df, partition_col).write.mode("overwrite").format("orc")
+    (_layout(df, partition_col, laid_out).write.mode("overwrite").format("orc")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(partition_col).saveAsTable(table))
