@@ -135,39 +135,59 @@ def _votes(messages: DataFrame, adj: SaltedAdjacency, count: int) -> DataFrame:
 def connected_components(vertices: DataFrame, edges: DataFrame, hot_rows: int = HOT_KEY_ROWS, log: list | None = None) -> DataFrame:
     """(id, component) with component = smallest vertex id of the component.
 
-    Alternating star contraction: an edge is kept as (hi, lo) with lo < hi.  A large star moves the lower end of every
-    edge to the smallest neighbour of that end; a small star links all lower neighbours of a vertex, and the vertex
-    itself, to the smallest of them.  Both keep what is connected; edges that become equal merge, so the set
-    shrinks, until every vertex is linked to the smallest of its component alone.  Edges of a hot
+    Every vertex is linked to its smallest neighbour on either side first: at most two links a vertex, however many
+    edges it has, whose components (trees) are found by star contraction.  Edges within a tree connect nothing more; those between trees, few where
+    vertices have many edges, are contracted in the same way.  Edges of a hot
     vertex are a plain side of a join of written tables, which Spark's skew-join rule splits.  No
     iteration cap; ``hot_rows`` is accepted as by the other algorithms, but nothing is salted here; ``log`` gathers the
     edges after each round.
     """
     with Scratch() as scratch:
-        pairs = edges.filter(F.col("src") != F.col("dst")).select(
-            F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct()
-        now = scratch.written(pairs, "cc_edges")
-        known = None
-        while True:
-            low = scratch.written(now.groupBy("hi").agg(F.min("lo").alias("low")), "cc_low")
-            # large star: (hi, lo) -> (hi, smallest neighbour of lo)
-            near = low.select(F.col("hi").alias("lo"), F.col("low").alias("near"))
-            large = scratch.written(now.join(near, "lo", "left").select("hi", F.coalesce("near", "lo").alias("lo")).distinct(), "cc_edges")
-            # small star: (hi, lo) -> (lo, smallest lower neighbour of hi), and hi -> the same
-            low = scratch.written(large.groupBy("hi").agg(F.min("lo").alias("low")), "cc_low")
-            links = large.join(low, "hi").filter(F.col("lo") != F.col("low")).select(F.col("lo").alias("hi"), F.col("low").alias("lo"))
-            now = scratch.written(links.unionByName(low.select("hi", F.col("low").alias("lo"))).distinct(), "cc_edges")
-            sums = one_row(now, F.count(F.lit(1)), F.expr("bit_xor(xxhash64(hi, lo))"))
-            if log is not None:
-                log.append(sums[0])
-            if known == tuple(sums):
-                break
-            known = tuple(sums)
-        root = now.select(F.col("hi").alias("id"), F.col("lo").alias("_root"))
+        pairs = scratch.written(edges.filter(F.col("src") != F.col("dst")).select("src", "dst"), "cc_pairs")
+        nearest = [pairs.groupBy(F.col(a).alias("a")).agg(F.min(b).alias("b")) for a, b in (("src", "dst"), ("dst", "src"))]
+        trees = _contracted(nearest[0].unionByName(nearest[1]), scratch, log)
+        between = pairs
+        for end in ("src", "dst"):
+            tree = trees.select(F.col("id").alias(end), F.col("root").alias(f"_{end}"))
+            between = between.join(tree, end, "left").withColumn(end, F.coalesce(f"_{end}", end)).drop(f"_{end}")
+        between = scratch.written(between.filter(F.col("src") != F.col("dst")).select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct(),
+                                  "cc_between")
+        root = trees
+        if not between.isEmpty():
+            more = _contracted(between, scratch, log)
+            further = more.select(F.col("id").alias("root"), F.col("root").alias("_further"))
+            root = trees.join(further, "root", "left").select("id", F.coalesce("_further", "root").alias("root")).unionByName(more)
+        root = root.withColumnRenamed("root", "_root")
         vcols = [c for c in vertices.columns if c != "component"]
         return written(vertices.join(root, "id", "left").select(*vcols, F.coalesce("_root", "id").alias("component")), "cc_components")
 
 
+def _contracted(links: DataFrame, scratch: Scratch, log: list | None = None) -> DataFrame:
+    """(id, root) of every linked vertex that is not the smallest of its component, from links (a, b).
+
+    Alternating star contraction: a link is kept as (hi, lo) with lo < hi.  A large star moves the lower end of every
+    link to the smallest neighbour of that end; a small star links all lower neighbours of a vertex, and the vertex
+    itself, to the smallest of them.  Both keep what is connected; links that become equal merge, so the set
+    shrinks, until every vertex is linked to the smallest of its component alone."""
+    now = scratch.written(links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "cc_edges")
+    known = None
+    while True:
+        low = scratch.written(now.groupBy("hi").agg(F.min("lo").alias("low")), "cc_low")
+        # large star: (hi, lo) -> (hi, smallest neighbour of lo)
+        near = low.select(F.col("hi").alias("lo"), F.col("low").alias("near"))
+        large = scratch.written(now.join(near, "lo", "left").select("hi", F.coalesce("near", "lo").alias("lo")).distinct(), "cc_edges")
+        # small star: (hi, lo) -> (lo, smallest lower neighbour of hi), and hi -> the same
+        low = scratch.written(large.groupBy("hi").agg(F.min("lo").alias("low")), "cc_low")
+        moved = large.join(low, "hi").filter(F.col("lo") != F.col("low")).select(F.col("lo").alias("hi"), F.col("low").alias("lo"))
+        now = scratch.written(moved.unionByName(low.select("hi", F.col("low").alias("lo"))).distinct(), "cc_edges")
+        sums = one_row(now, F.count(F.lit(1)), F.expr("bit_xor(xxhash64(hi, lo))"))
+        if log is not None:
+            log.append(sums[0])
+        if known == tuple(sums):
+            return now.select(F.col("hi").alias("id"), F.col("lo").alias("root"))
+        known = tuple(sums)
+
+
 def pagerank(vertices: DataFrame, edges: DataFrame, reset_probability: float = 0.15, max_iter: int = 10,
              hot_rows: int = HOT_KEY_ROWS, tolerance: float = 0.0, log: list | None = None) -> DataFrame:
     """Static PageRank on the directed multigraph (parallel edges count),

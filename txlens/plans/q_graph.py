@@ -413,7 +413,7 @@ def _components_sql(rounds: int = 24) -> str:
 @query("connected_components", _components_sql())
 def q_components(spark, sf):
     """Connected components (smallest member id) of mapping C."""
-    g = graph_c(spark, sf)
+    _, g = graph_c_once(spark, sf)
     return community.connected_components(g.vertices, g.edges).select("id", "type", "component")
 
 
