@@ -16,18 +16,34 @@ from txlens.functions.columns import vertex_id
 from txlens.schema import CUSTOMER_PREFIX, CUSTOMER_TYPE, TERMINAL_PREFIX, TERMINAL_TYPE
 
 
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+# the columns that the ends of the edges of ``graph_edges`` are made of, by prefix
+TX_KEYS = {"src": (CUSTOMER_PREFIX, "CUSTOMER_ID"), "dst": (TERMINAL_PREFIX, "TERMINAL_ID")}
+
+
 @dataclass(frozen=True)
 class TxGraph:
     vertices: DataFrame
     edges: DataFrame
 
 
+def is_whole(df: DataFrame, column: str) -> bool:
+    """Is the column of whole numbers, whose texts are as distinct as they are?"""
+    return dict(df.dtypes).get(column) in WHOLE
+
+
+def _vertex_ids(tx: DataFrame, prefix: str, column: str) -> DataFrame:
+    """Distinct vertex ids; whole numbers are made distinct as such and become texts afterwards."""
+    if is_whole(tx, column):
+        return tx.select(column).distinct().select(vertex_id(prefix, column).alias("id"))
+    return tx.select(vertex_id(prefix, column).alias("id")).distinct()
+
+
 def graph_vertices(tx: DataFrame) -> DataFrame:
     """G1: distinct customers and terminals as typed vertices (union of two distincts)."""
-    cust = (tx.select(vertex_id(CUSTOMER_PREFIX, "CUSTOMER_ID").alias("id")).distinct()
-              .select("id", F.lit(CUSTOMER_TYPE).alias("type")))
-    term = (tx.select(vertex_id(TERMINAL_PREFIX, "TERMINAL_ID").alias("id")).distinct()
-              .select("id", F.lit(TERMINAL_TYPE).alias("type")))
+    cust = _vertex_ids(tx, CUSTOMER_PREFIX, "CUSTOMER_ID").select("id", F.lit(CUSTOMER_TYPE).alias("type"))
+    term = _vertex_ids(tx, TERMINAL_PREFIX, "TERMINAL_ID").select("id", F.lit(TERMINAL_TYPE).alias("type"))
     return cust.union(term).filter(F.col("id").isNotNull())
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from txlens.functions.columns import money_sum, pct
 from txlens.functions.stats import one_row
+from txlens.operators.graph.build import is_whole
 from txlens.operators.graph.layout import SaltedAdjacency, number_ids, partitions_for
 from txlens.operators.skew import HOT_KEY_ROWS, attach_group_stats
 from txlens.schema import CUSTOMER_PREFIX, CUSTOMER_TYPE, TERMINAL_PREFIX, TERMINAL_TYPE
@@ -28,7 +29,8 @@ ACTIVE_SHARE = 0.25        # of the adjacency: when fewer rows belong to changed
 
 
 def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5, hot_rows: int = HOT_KEY_ROWS,
-                      active_share: float = ACTIVE_SHARE, log: list | None = None) -> DataFrame:
+                      active_share: float = ACTIVE_SHARE, log: list | None = None,
+                      keys: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """Synchronous LPA on both edge directions, parallel edges counted.
 
     Start label = vertex id; each step a vertex takes the label with the
@@ -41,36 +43,61 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, max_iter: int = 5,
     give the same votes.  Stops early when no label changes.  ``log`` gathers the messages of each step.
 
     The steps run on whole numbers in the order of the ids (``layout.number_ids``), so the smallest number is the
-    smallest label; texts are read once at the start and put back at the end.
+    smallest label; texts are read once at the start and put back at the end.  ``keys``: for ``src`` and ``dst`` the
+    (prefix, column of ``edges``) that the end is made of, as ``build.TX_KEYS``; where both columns are whole numbers,
+    the edges meet their vertices by these and no text of an edge is read.
     """
     vcols = [c for c in vertices.columns if c != "label"]
+    if keys is not None and not all(is_whole(edges, column) for _, column in keys.values()):
+        keys = None
     with Scratch() as scratch:
         vertices = scratch.written(vertices.select(*vcols), "lpa_vertices")
         numbers = number_ids(vertices, scratch)
-        with SaltedAdjacency(_numbered_adjacency(edges, numbers), hot_rows, "lpa_adj") as adj:
-            labels = _propagate(adj, numbers, max_iter, active_share, log, scratch)
+        rows = _numbered_adjacency(edges, numbers, keys, scratch)
+        degrees = scratch.written(rows.groupBy("src").agg(F.count(F.lit(1)).alias("_rows"), F.sum("w").alias("_w")), "lpa_degrees")
+        with SaltedAdjacency(rows, hot_rows, "lpa_adj", degrees) as adj:
+            labels = _propagate(adj, degrees, numbers, _one_way(keys), max_iter, active_share, log, scratch)
             named = labels.join(numbers.select(F.col("num").alias("label"), F.col("id").alias("_label")), "label")
             found = numbers.join(named.select(F.col("id").alias("num"), "_label"), "num").select("id", "_label")
             return written(vertices.join(found, "id", "left").select(*vcols, F.coalesce("_label", "id").alias("label")), "lpa_labels")
 
 
-def _numbered_adjacency(edges: DataFrame, numbers: DataFrame) -> DataFrame:
+def _one_way(keys: dict[str, tuple[str, str]] | None) -> bool:
+    """Can no vertex be a source and a destination, by the prefixes of their ids?"""
+    if keys is None:
+        return False
+    a, b = keys["src"][0], keys["dst"][0]
+    return not a.startswith(b) and not b.startswith(a)
+
+
+def _numbered_adjacency(edges: DataFrame, numbers: DataFrame, keys: dict[str, tuple[str, str]] | None = None,
+                        scratch: Scratch | None = None) -> DataFrame:
     """(src, dst, w) by number in both directions; ends that are no vertex neither send nor receive, and a
-    vertex that is listed more than once sends as often."""
-    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
-    for end in ("src", "dst"):
-        pairs = pairs.join(numbers.select(F.col("id").alias(end), F.col("num").alias(f"_{end}"), F.col("copies").alias(f"_{end}_n")), end).drop(end)
+    vertex that is listed more than once sends as often.  With ``scratch`` the pairs are written, once for both directions."""
+    ends = {end: F.col(keys[end][1]).cast("bigint") if keys else F.col(end) for end in ("src", "dst")}
+    pairs = edges.groupBy(*[column.alias(end) for end, column in ends.items()]).agg(F.count(F.lit(1)).alias("w"))
+    for end in ends:
+        known = numbers if keys is None else _by_key(numbers, keys[end][0])
+        key = "id" if keys is None else "key"
+        pairs = pairs.join(known.select(F.col(key).alias(end), F.col("num").alias(f"_{end}"), F.col("copies").alias(f"_{end}_n")), end).drop(end)
+    if scratch is not None:
+        pairs = scratch.written(pairs, "lpa_pairs")
     sends = lambda a, b: pairs.select(F.col(a).alias("src"), F.col(b).alias("dst"), (F.col("w") * F.col(f"{a}_n")).alias("w"))
     return sends("_src", "_dst").unionByName(sends("_dst", "_src"))
 
 
-def _propagate(adj: SaltedAdjacency, numbers: DataFrame, max_iter: int, active_share: float, log: list | None,
-               scratch: Scratch) -> DataFrame:
-    """(id, label) by number of every vertex with neighbours after the steps."""
-    degree = adj.table.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("_deg"), F.sum("w").alias("_w"))
-    labels = scratch.written(degree.select("id", "_deg", "_w", F.col("id").alias("label"), F.lit(None).cast("bigint").alias("_old")),
-                             "lpa_state")
-    total, weight = (x or 0 for x in one_row(labels, F.sum("_deg"), F.sum("_w")))
+def _by_key(numbers: DataFrame, prefix: str) -> DataFrame:
+    """The numbers of ids that are the prefix and a whole number, with that number as ``key``."""
+    key = F.substr("id", F.lit(len(prefix) + 1)).try_cast("bigint")
+    return numbers.withColumn("key", key).filter(F.col("id") == F.concat(F.lit(prefix), F.col("key").cast("string")))
+
+
+def _propagate(adj: SaltedAdjacency, degrees: DataFrame, numbers: DataFrame, one_way: bool, max_iter: int, active_share: float,
+               log: list | None, scratch: Scratch) -> DataFrame:
+    """(id, label) by number of every vertex with neighbours after the steps; ``one_way``: a pair of vertices has one row in each direction."""
+    labels = degrees.select(F.col("src").alias("id"), F.col("_rows").alias("_deg"), F.col("src").alias("label"),
+                            F.lit(None).cast("bigint").alias("_old"))
+    total, weight = (x or 0 for x in one_row(degrees, F.sum("_rows"), F.sum("_w")))
     count, copies = one_row(numbers, F.count(F.lit(1)), F.max("copies"))
     # the adjacency holds both directions: if no vertex is listed twice, the first votes lie there already
     own = copies == 1
@@ -78,8 +105,10 @@ def _propagate(adj: SaltedAdjacency, numbers: DataFrame, max_iter: int, active_s
     for step in range(max_iter):
         if votes is None:
             if step == 0 and own:
-                asked = adj.table.groupBy(F.col("src").alias("id"), "_salt", F.col("dst").alias("label")).agg(
-                    F.sum("w").alias("score")).drop("_salt")
+                asked = adj.table.select(F.col("src").alias("id"), "_salt", F.col("dst").alias("label"), F.col("w").alias("score"))
+                if not one_way:
+                    asked = asked.groupBy("id", "_salt", "label").agg(F.sum("score").alias("score"))
+                asked = asked.drop("_salt")
             else:
                 asked = _votes(adj.join(labels.select("id", "label")).select(F.col("dst").alias("id"), "label", F.col("w").alias("score")),
                                adj, total)

@@ -24,6 +24,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from txlens.functions.stats import one_row
 from txlens.operators.skew import HOT_KEY_ROWS
 from txlens.session import Scratch, delete_path, scratch_path, written
 from txlens.sources.sinks import create_database
@@ -55,15 +56,22 @@ def number_ids(vertices: DataFrame, scratch: Scratch) -> DataFrame:
 class SaltedAdjacency:
     """adjacency(src, dst, ...) bucketed by (src, _salt) + its hot-vertex table."""
 
-    def __init__(self, adj: DataFrame, hot_rows: int = HOT_KEY_ROWS, name: str = "adj"):
+    def __init__(self, adj: DataFrame, hot_rows: int = HOT_KEY_ROWS, name: str = "adj", degrees: DataFrame | None = None):
+        """``degrees``: (src, _rows, ...) of an ``adj`` that only reads written tables, so that it is neither written nor counted again."""
         spark = adj.sparkSession
         self.spark = spark
-        # the input feeds two passes (degrees, then the bucketed write): written once
-        plain = scratch_path(spark, f"{name}_plain")
-        adj.write.parquet(plain)
-        adj = spark.read.schema(adj.schema).parquet(plain)
-        self.n = partitions_for(spark, adj.count())     # buckets grow with the rows
-        deg = adj.groupBy("src").agg(F.count(F.lit(1)).alias("_rows"))
+        plain = None
+        if degrees is None:
+            # the input feeds two passes (degrees, then the bucketed write): written once
+            plain = scratch_path(spark, f"{name}_plain")
+            adj.write.parquet(plain)
+            adj = spark.read.schema(adj.schema).parquet(plain)
+            rows = adj.count()
+            deg = adj.groupBy("src").agg(F.count(F.lit(1)).alias("_rows"))
+        else:
+            deg = degrees.select("src", "_rows")
+            rows = one_row(deg, F.coalesce(F.sum("_rows"), F.lit(0)))[0]
+        self.n = partitions_for(spark, rows)     # buckets grow with the rows
         width = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int")
         hot = deg.filter(F.col("_rows") > F.lit(hot_rows)).select("src", width.alias("_w"))
         self.hot = written(hot, f"{name}_hot")          # <= rows / hot_rows entries
@@ -75,7 +83,8 @@ class SaltedAdjacency:
         (salted.repartition(self.n, "src", "_salt")        # one bucket per task -> n files
                .write.mode("overwrite").bucketBy(self.n, "src", "_salt")
                .option("path", self.path).saveAsTable(table))
-        delete_path(spark, plain)
+        if plain is not None:
+            delete_path(spark, plain)
         self.name, self.table = table, spark.table(table)
 
     def drop(self) -> None:

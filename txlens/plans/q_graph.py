@@ -296,7 +296,7 @@ def q_hops(spark, sf):
 # ---------------------------------------------------------------- communities
 def _labels_c(spark, sf, *columns):
     _, g = graph_c_once(spark, sf, *columns)
-    return g, community.label_propagation(g.vertices, g.edges, 5)
+    return g, community.label_propagation(g.vertices, g.edges, 5, keys=build.TX_KEYS)
 
 
 @query("label_propagation", with_("labels_c") + "SELECT id, type, label FROM labels_c")
@@ -364,7 +364,7 @@ _TARGET_SQL = ("SELECT COALESCE((SELECT label FROM labels_c WHERE id = (SELECT i
 
 def _community_of_root(spark, sf):
     tx, g = graph_c_once(spark, sf, "TRANSACTION_ID", "TX_FRAUD")
-    labels = community.label_propagation(g.vertices, g.edges, 5)
+    labels = community.label_propagation(g.vertices, g.edges, 5, keys=build.TX_KEYS)
     return g, labels, community.community_of(labels, top_fraud_customer(tx))
 
 
