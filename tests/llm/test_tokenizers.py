@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import EDGE_TEXTS, SF, documents
 
@@ -153,6 +154,26 @@ def test_planner_uses_singles_pairs_and_triples():
     assert sorted(used.values(), reverse=True)[:3] == [100, 100, 100] and sum(used.values()) == 320
 
 
+def test_word_tokenizer_remembers_units_once_and_few(spark, monkeypatch):
+    """Pipeline, best_fit_packing: units of letters alone are held once, the caches are bounded, and slices change no row."""
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(packing, "LETTERS", 40)
+    monkeypatch.setattr(packing, "UNITS", 30)
+    tok = packing.WordTokenizer(packing.read_file(WORD))
+    plain = Tokenizer.from_file(WORD)
+    words = ["Straße", "vélo", "x1", "a-b", "plain", "line\nbreak", "", "ЖЖ", "don't", "END.", "tail\n", "日本"]
+    for k in range(40):
+        texts = [" ".join(f"{w}{c}" for w in words for c in ("", chr(97 + k % 26), str(k))), "", " ", words[k % len(words)]]
+        ids, counts = tok.encode(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in plain.encode(t, add_special_tokens=False).ids]
+        assert counts.tolist() == [len(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+        assert not any(packing._LETTERS.fullmatch(u) for u in tok.units.young) and "x1" in tok.units.young | tok.units.old
+    assert len(tok.letters.old) < 150 and len(tok.units.old) < 150
+    docs = documents(spark, [" ".join(words) * (k % 5) for k in range(30)])
+    whole, cut = (sorted(map(tuple, packing.token_pieces(docs, WORD, slice_bytes=n).collect())) for n in (4_000_000, 90))
+    assert whole == cut and len(whole) == 30
+
+
 def test_empty_tables(spark):
     none = documents(spark, []).limit(0)
     assert packing.pack(packing.token_pieces(none, WORD)).count() == 0

@@ -36,12 +36,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txlens.llm.common import Memo, file_key, gather, read_file, ship_package, staged, text_slices, worker_once
+from txlens.llm.common import Memo, file_key, free_unused, gather, read_file, ship_package, staged, text_slices, worker_once
 
 CAPACITY = 2048
 END_ID = 0
 BUCKET_PIECES = 4_000_000
 SLICES = 256
+SLICE_BYTES = 4_000_000      # of text that is encoded at once
+LETTERS, UNITS = 200_000, 120_000    # remembered by a worker, at most twice
 
 # Letters that are one code point in every normal form, up to an ASCII character or the
 # end of the text: a pre-token of its own.  Anything else is one unit up to the next space.
@@ -68,8 +70,8 @@ class WordTokenizer:
         for c in map(chr, range(0xC0, 0x100)):
             for b, m in zip(c.encode(), letters(c)[0][0]):
                 self.byte_char[b] = m
-        self.letters = Memo(self._letters, limit=400_000)
-        self.units = Memo(self._units, limit=500_000)
+        self.letters = Memo(self._letters, limit=LETTERS)
+        self.units = Memo(self._units, limit=UNITS)
         want = self.lib.encode(probe, add_special_tokens=False).ids
         got = np.frombuffer(b"".join(self._units(probe.split(" "))), dtype=np.uint32).tolist()
         if got != want or self.lib.encode("ab cd x", add_special_tokens=False).ids != [
@@ -95,6 +97,14 @@ class WordTokenizer:
         known.update((p, array("I", e.ids).tobytes()) for p, e in zip(other, got))
         return [known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]) for ps in parts]
 
+    def _known(self, units: pa.Array) -> list[bytes]:
+        """Ids of distinct units; those of letters alone are remembered as such, and not as units too."""
+        plain = pc.match_substring_regex(units, f"^(?:{_LETTERS.pattern})$")
+        out = np.empty(len(units), dtype=object)
+        for memo, mine in ((self.letters, plain), (self.units, pc.invert(plain))):
+            out[np.asarray(mine)] = memo.get(units.filter(mine).to_pylist())
+        return out.tolist()
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, count per text)."""
         parts = pc.split_pattern(texts, " ")
@@ -102,7 +112,7 @@ class WordTokenizer:
         values = parts.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0]))
         offsets = offsets - offsets[0]
         enc = values.dictionary_encode()
-        codes, known = np.asarray(enc.indices, dtype=np.int64), self.units.get(enc.dictionary.to_pylist())
+        codes, known = np.asarray(enc.indices, dtype=np.int64), self._known(enc.dictionary)
         lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
         flat = np.frombuffer(b"".join(known), dtype=np.uint32)
         ids = gather(flat, np.cumsum(lengths) - lengths, lengths, codes)
@@ -111,8 +121,10 @@ class WordTokenizer:
 
 
 def token_pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 (and the ids)."""
+                 capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False,
+                 slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32 (and the ids).  Smaller ``slice_bytes`` take
+    less memory and more time."""
     spark = docs.sparkSession
     ship_package(spark)
     vocab = spark.sparkContext.broadcast(read_file(vocab_path))
@@ -123,7 +135,7 @@ def token_pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
         tok = worker_once(("word", file_key(data)), lambda: WordTokenizer(data))
         for batch in batches:
             texts = batch.column(1).fill_null("")
-            for first, part in text_slices(texts):
+            for first, part in text_slices(texts, slice_bytes):
                 ids, counts = tok.encode(part)
                 row, piece, start, length, crc, lists = [], [], [], [], [], []
                 at = 0
@@ -148,6 +160,8 @@ def token_pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
                     cols.append(pa.array(lists, pa.list_(pa.int64())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+            batch = texts = part = ids = cols = None     # before the next batch is read
+            free_unused()
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
             .mapInArrow(cut, f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint"
