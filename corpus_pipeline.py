@@ -42,8 +42,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # the executors still hold what the stages before have taken, so the workers encode little at once
-    return packing.pack(packing.token_pieces(docs, vocabulary("word_bpe_49k.json"), slice_bytes=1_000_000))
+    # the executors still hold what the stages before have taken, so the workers encode and keep little
+    return packing.pack(packing.token_pieces(docs, vocabulary("word_bpe_49k.json"), slice_bytes=1_000_000,
+                                             remembered=(200_000, 120_000)))
 
 
 STAGES = [

@@ -154,12 +154,10 @@ def test_planner_uses_singles_pairs_and_triples():
     assert sorted(used.values(), reverse=True)[:3] == [100, 100, 100] and sum(used.values()) == 320
 
 
-def test_word_tokenizer_remembers_units_once_and_few(spark, monkeypatch):
+def test_word_tokenizer_remembers_units_once_and_few(spark):
     """Pipeline, best_fit_packing: units of letters alone are held once, the caches are bounded, and slices change no row."""
     from tokenizers import Tokenizer
-    monkeypatch.setattr(packing, "LETTERS", 40)
-    monkeypatch.setattr(packing, "UNITS", 30)
-    tok = packing.WordTokenizer(packing.read_file(WORD))
+    tok = packing.WordTokenizer(packing.read_file(WORD), (40, 30))
     plain = Tokenizer.from_file(WORD)
     words = ["Straße", "vélo", "x1", "a-b", "plain", "line\nbreak", "", "ЖЖ", "don't", "END.", "tail\n", "日本"]
     for k in range(40):
@@ -170,7 +168,8 @@ def test_word_tokenizer_remembers_units_once_and_few(spark, monkeypatch):
         assert not any(packing._LETTERS.fullmatch(u) for u in tok.units.young) and "x1" in tok.units.young | tok.units.old
     assert len(tok.letters.old) < 150 and len(tok.units.old) < 150
     docs = documents(spark, [" ".join(words) * (k % 5) for k in range(30)])
-    whole, cut = (sorted(map(tuple, packing.token_pieces(docs, WORD, slice_bytes=n).collect())) for n in (4_000_000, 90))
+    whole, cut = (sorted(map(tuple, packing.token_pieces(docs, WORD, slice_bytes=n, remembered=k).collect()))
+                  for n, k in ((4_000_000, (400_000, 500_000)), (90, (40, 30))))
     assert whole == cut and len(whole) == 30
 
 

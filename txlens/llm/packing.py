@@ -43,7 +43,7 @@ END_ID = 0
 BUCKET_PIECES = 4_000_000
 SLICES = 256
 SLICE_BYTES = 4_000_000      # of text that is encoded at once
-LETTERS, UNITS = 200_000, 120_000    # remembered by a worker, at most twice
+REMEMBERED = 400_000, 500_000    # runs of letters and other units that a worker keeps, at most twice
 
 # Letters that are one code point in every normal form, up to an ASCII character or the
 # end of the text: a pre-token of its own.  Anything else is one unit up to the next space.
@@ -58,7 +58,7 @@ class WordTokenizer:
     text's ids are those of its space-separated units in a row; a run of
     letters within a unit is handed to the library's model directly."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, remembered: tuple[int, int] = REMEMBERED):
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_str(data.decode())
         self.lib.no_truncation()
@@ -70,8 +70,8 @@ class WordTokenizer:
         for c in map(chr, range(0xC0, 0x100)):
             for b, m in zip(c.encode(), letters(c)[0][0]):
                 self.byte_char[b] = m
-        self.letters = Memo(self._letters, limit=LETTERS)
-        self.units = Memo(self._units, limit=UNITS)
+        self.letters = Memo(self._letters, limit=remembered[0])
+        self.units = Memo(self._units, limit=remembered[1])
         want = self.lib.encode(probe, add_special_tokens=False).ids
         got = np.frombuffer(b"".join(self._units(probe.split(" "))), dtype=np.uint32).tolist()
         if got != want or self.lib.encode("ab cd x", add_special_tokens=False).ids != [
@@ -122,9 +122,9 @@ class WordTokenizer:
 
 def token_pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text",
                  capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False,
-                 slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 (and the ids).  Smaller ``slice_bytes`` take
-    less memory and more time."""
+                 slice_bytes: int = SLICE_BYTES, remembered: tuple[int, int] = REMEMBERED) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32 (and the ids).  Smaller ``slice_bytes`` and
+    ``remembered`` take less memory and more time."""
     spark = docs.sparkSession
     ship_package(spark)
     vocab = spark.sparkContext.broadcast(read_file(vocab_path))
@@ -132,7 +132,7 @@ def token_pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = vocab.value
-        tok = worker_once(("word", file_key(data)), lambda: WordTokenizer(data))
+        tok = worker_once(("word", file_key(data), remembered), lambda: WordTokenizer(data, remembered))
         for batch in batches:
             texts = batch.column(1).fill_null("")
             for first, part in text_slices(texts, slice_bytes):
